@@ -67,9 +67,9 @@ def fold(doc_id: str = "doc_id", n: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
 
 
-def salt_bits(rows: int, chunk: int = 50_000) -> int:
-    """So many leading bits of a uniform hash that one slice of a group of all rows has about `chunk` rows."""
-    return max(0, (max(rows, 1) // chunk).bit_length())
+def salt_bits(rows: int) -> int:
+    """So many leading bits of a uniform hash that a group of all rows has as many slices as a slice has rows."""
+    return max(rows, 1).bit_length() // 2
 
 
 def running_sum(df: DataFrame, key: str, order: str, ties: list[str], value: str, out: str, rows: int) -> DataFrame:

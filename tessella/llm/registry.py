@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, quality_rules, token_files
+from . import mixing, packing, quality_rules, suffix_dedup, token_files
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1,
     "op3_mixing": mixing.op3,
     "op5_quality_rules": quality_rules.op5,
     "op8_token_files": token_files.op8,
