@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, mixing, packing, quality_model, quality_rules, suffix_dedup, token_files
+from . import class_model, embedding_dedup, mixing, packing, quality_model, quality_rules, suffix_dedup, token_files
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_mixing": mixing.op3,
     "op4_embedding_dedup": embedding_dedup.op4,
     "op5_quality_rules": quality_rules.op5,
+    "op6_class_model": class_model.op6,
     "op8_token_files": token_files.op8,
     "op9_packing": packing.op9,
 }
