@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import class_model, embedding_dedup, mixing, packing, quality_model, quality_rules, suffix_dedup, token_files
+from . import class_model, embedding_dedup, line_dedup, mixing, packing, quality_model, quality_rules, suffix_dedup, token_files
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1,
@@ -11,8 +11,9 @@ QUERIES = {
     "op4_embedding_dedup": embedding_dedup.op4,
     "op5_quality_rules": quality_rules.op5,
     "op6_class_model": class_model.op6,
+    "op7_line_dedup": line_dedup.op7,
     "op8_token_files": token_files.op8,
     "op9_packing": packing.op9,
 }
 
-ORACLES = {"op5_quality_rules": quality_rules.ORACLE}
+ORACLES = {"op5_quality_rules": quality_rules.ORACLE, "op7_line_dedup": line_dedup.ORACLE}
