@@ -17,9 +17,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posts_from(read(spark, sf_dir, "documents"))
+
+
+def posts_from(documents: DataFrame) -> DataFrame:
     """Posts: a document each, accented letters as glyphs."""
     start = "timestamp_ntz'2023-01-01 00:00:00' + make_dt_interval(0, cast(doc_id % 100000 as int))"
-    return read(spark, sf_dir, "documents").selectExpr(
+    return documents.selectExpr(
         "source as did", "lpad(cast(doc_id as string), 8, '0') as rkey", f"{start} as created_at", "text",
         "if(doc_id % 5 = 0, array(lang, 'unknown'), array(lang)) as langs",
         f"slice(regexp_extract_all(coalesce(text, ''), '{GLYPHS}', 0), 1, 300) as emojis",
@@ -36,9 +40,14 @@ def posts_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def repo_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repo_events_from(read(spark, sf_dir, "events"))
+
+
+def repo_events_from(events: DataFrame) -> DataFrame:
+    """Crawl events of accounts: kind of event, host, shard, run, posts, bytes, error."""
     kinds = "map('view', 'loaded', 'signup', 'empty', 'error', 'failed', 'click', 'quarantined', 'purchase', 'unreachable')"
     errors = "map('error', 'http 451 refused', 'click', 'malformed car: unexpected eof while reading data', 'purchase', 'getaddrinfo ENOTFOUND host')"
-    return read(spark, sf_dir, "events").selectExpr(
+    return events.selectExpr(
         "event_id", "cast(ts as timestamp_ntz) as ts", "concat('u', user_id) as did",
         "concat(if(user_id % 7 = 0, 'overcap-', ''), 'shard', user_id % 6) as shard",
         "element_at(array('main-a', 'main-b', 'fail-x'), cast(user_id % 3 + 1 as int)) as run_id", "concat('host', user_id % 20) as pds_host",
