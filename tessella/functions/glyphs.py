@@ -79,11 +79,11 @@ def emojis_of(text: Column, cap: int = EMOJI_CAP) -> Column:
 
 def code_points(glyph: Column) -> Column:
     """Lower-case hex code points, four digits at least, by blanks."""
-    raw = F.hex(F.encode(glyph, "UTF-32BE"))
+    raw = F.hex(F.encode(glyph, "UTF-32"))
     points = F.regexp_extract_all(F.lower(raw), F.lit("[0-9a-f]{8}"), 0)
     return F.array_join(F.transform(points, lambda p: F.regexp_replace(p, "^0{1,4}", "")), " ")
 
 
 def from_code_points(points: Column) -> Column:
     padded = F.transform(F.split(points, " "), lambda p: F.lpad(p, 8, "0"))
-    return F.decode(F.unhex(F.array_join(padded, "")), "UTF-32BE")
+    return F.decode(F.unhex(F.array_join(padded, "")), "UTF-32")
