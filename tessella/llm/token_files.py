@@ -64,7 +64,9 @@ def write_files(docs: DataFrame, folder: str, file: str, dictionary: bytes, dtyp
         shard = TaskContext.get().partitionId()
         store, root = filesystem(folder)
         end = np.array([END], dtype).tobytes()
-        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary), write_content_size=True, write_checksum=False)
+        shared = zstandard.ZstdCompressionDict(dictionary)
+        shared.precompute_compress(level=LEVEL)
+        press = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared, write_content_size=True, write_checksum=False)
         sink, index, at, tokens = None, [], 0, 0
         temporary = f"{root}/.{shard}-{uuid.uuid4().hex}"
         for pdf in batches:

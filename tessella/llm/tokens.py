@@ -15,7 +15,7 @@ _WHITE = "\t-\r \x85\xa0  -     　"
 _BYTE_PIECES = re.compile(f" ?[^{_WHITE}]+|[{_WHITE}]+(?![^{_WHITE}])|[{_WHITE}]+")
 _WORD_PIECES = re.compile(f"[^{_WHITE}]+")
 #: Distinct pieces that a worker remembers; beyond that it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_500_000
 
 _kept: dict[tuple[str, str], "Encoder"] = {}
 
@@ -38,22 +38,39 @@ class Encoder:
         self.dtype = dtype
         self.pieces = _BYTE_PIECES if "byte_bpe" in os.path.basename(file) else _WORD_PIECES
         self.known: dict[str, bytes] = {}
+        # New pieces are encoded in one text, parted by a piece that no other one can hold or touch.
+        self.part, self.odd = ("\n", re.compile(f"[{_WHITE}]$")) if self.pieces is _BYTE_PIECES else (" \x01 ", re.compile("\x01"))
+        self.part_ids = self.tokenizer.encode(self.part, add_special_tokens=False).ids
 
-    def many(self, texts: list[str | None]) -> list[bytes]:
+    def learn(self, new: list[str]) -> None:
         import numpy as np
 
+        encode = self.tokenizer.encode_batch_fast
+        odd = [piece for piece in new if self.odd.search(piece)]
+        for piece, e in zip(odd, encode(odd, add_special_tokens=False), strict=True):
+            self.known[piece] = np.array(e.ids, self.dtype).tobytes()
+        plain = [piece for piece in new if not self.odd.search(piece)] if odd else new
+        width = int(self.dtype[-1])
+        for k in range(0, len(plain), 5000):
+            block = plain[k : k + 5000]
+            ids = np.array(encode([self.part.join(block)], add_special_tokens=False)[0].ids, self.dtype)
+            stop = np.append(np.flatnonzero(ids == self.part_ids[0]), len(ids))
+            start = np.append(0, stop[:-1] + 1)
+            raw = ids.tobytes()
+            self.known.update(zip(block, [raw[a:b] for a, b in zip((start * width).tolist(), (stop * width).tolist(), strict=True)], strict=True))
+
+    def many(self, texts: list[str | None]) -> list[bytes]:
         out = []
-        for text in texts:
-            cut = self.pieces.findall(text or "")
-            if new := list(set(cut) - self.known.keys()):
-                if len(self.known) + len(new) > REMEMBERED:
-                    self.known = {}
-                    new = list(set(cut))
-                for k in range(0, len(new), 10_000):
-                    block = new[k : k + 10_000]
-                    for piece, e in zip(block, self.tokenizer.encode_batch_fast(block, add_special_tokens=False), strict=True):
-                        self.known[piece] = np.array(e.ids, self.dtype).tobytes()
-            out.append(b"".join(map(self.known.__getitem__, cut)))
+        for k in range(0, len(texts), 50):
+            cuts = [self.pieces.findall(text or "") for text in texts[k : k + 50]]
+            every = set().union(*cuts)
+            new = [piece for piece in every if piece not in self.known]
+            if len(self.known) + len(new) > REMEMBERED:
+                self.known, new = {}, list(every)
+            if new:
+                self.learn(new)
+            get = self.known.__getitem__
+            out += [b"".join(map(get, cut)) for cut in cuts]
         return out
 
 
