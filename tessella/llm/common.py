@@ -2,56 +2,19 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..storage import materialize, new_path, shared_dir
+
+__all__ = ["SPACES", "SPACE_CLASS", "WORD_CLASS", "fold", "join_checked", "materialize", "n_words_of", "new_path", "running_sum", "salt_bits", "shared_dir", "small_enough", "words_of"]
+
 #: The six characters that separate words, as a class for Java regular expressions and as text.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\u000b\f\r"
 
-_written: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. It is the session's; only where none is set, a new temporary one."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="tessella-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
-    return path
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read again: lineage ends at files that outlive any executor."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-@atexit.register
-def _drop_written() -> None:
-    for spark, path in _written:
-        try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        except Exception:  # noqa: BLE001 - the session is gone, its scheduler clears the folder
-            return
-
-
 def words_of(text: Column) -> Column:
     """Array of words; null and blank texts have none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
