@@ -67,24 +67,25 @@ def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def with_runs(docs: DataFrame, words: int = WORDS, most: int = 200_000) -> DataFrame:
-    """Adds `runs` and `kept_text`. Only texts with runs are shuffled while their keys are few enough to broadcast."""
-    runs = materialize(repeated_runs(docs, words), "line-runs")
-    names, rows = docs.columns, keyed(docs)
-    none = F.lit(None).cast(runs.schema["runs"].dataType)
+    """Adds `_runs` and `_kept_text`. Only texts with runs are shuffled while their keys are few enough to broadcast."""
+    runs = materialize(repeated_runs(docs.select("doc_id", "text"), words).toDF("_k1", "_k2", "_runs"), "line-runs")
+    names, keys = docs.columns, ["_k1", "_k2"]
+    rows = docs.withColumn("_k1", F.xxhash64("doc_id", "text")).withColumn("_k2", F.xxhash64("text"))
+    none = F.lit(None).cast(runs.schema["_runs"].dataType)
     if small_enough(runs, most):
-        keys = F.broadcast(runs.select("k1", "k2"))
-        rest = rows.join(keys, ["k1", "k2"], "left_anti").select(*names, none.alias("runs"))
-        rows = rows.join(keys, ["k1", "k2"], "left_semi").join(runs, ["k1", "k2"]).select(*names, "runs").unionByName(rest)
+        few = F.broadcast(runs.select(*keys))
+        rest = rows.join(few, keys, "left_anti").select(*names, none.alias("_runs"))
+        rows = rows.join(few, keys, "left_semi").join(runs, keys).select(*names, "_runs").unionByName(rest)
     else:
-        rows = rows.join(runs, ["k1", "k2"], "left").select(*names, "runs")
-    inside = lambda i: F.exists("runs", lambda r: (i >= r.start) & (i <= r["last"]))
+        rows = rows.join(runs, keys, "left").select(*names, "_runs")
+    inside = lambda i: F.exists("_runs", lambda r: (i >= r.start) & (i <= r["last"]))
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~inside(i)), "\n")
-    return rows.withColumn("kept_text", F.when(F.col("runs").isNull(), F.col("text")).otherwise(kept))
+    return rows.withColumn("_kept_text", F.when(F.col("_runs").isNull(), F.col("text")).otherwise(kept))
 
 
 def dedup_lines(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """The documents without later repeated runs; those of which no word is left go. Columns as they were, n_chars renewed."""
-    out = with_runs(docs, words).where(F.col("runs").isNull() | has_word(F.col("kept_text"))).withColumn("text", F.col("kept_text"))
+    out = with_runs(docs, words).where(F.col("_runs").isNull() | has_word(F.col("_kept_text"))).withColumn("text", F.col("_kept_text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
     return out.select(*docs.columns)
@@ -93,11 +94,11 @@ def dedup_lines(docs: DataFrame, words: int = WORDS) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     text = F.coalesce("text", F.lit(""))
-    kept = F.coalesce("kept_text", F.lit(""))
+    kept = F.coalesce("_kept_text", F.lit(""))
     lines = lambda t: F.size(F.filter(F.split(t, "\n"), has_word)).cast("long")
     return with_runs(docs).select(
-        "doc_id", lines(text).alias("n_lines"), (lines(text) - F.when(F.col("runs").isNull(), lines(text)).otherwise(lines(kept))).alias("n_removed_lines"),
-        F.coalesce(F.size("runs"), F.lit(0)).cast("long").alias("n_runs"), F.sha2(kept.cast("binary"), 256).alias("kept_sha256"),
+        "doc_id", lines(text).alias("n_lines"), (lines(text) - F.when(F.col("_runs").isNull(), lines(text)).otherwise(lines(kept))).alias("n_removed_lines"),
+        F.coalesce(F.size("_runs"), F.lit(0)).cast("long").alias("n_runs"), F.sha2(kept.cast("binary"), 256).alias("kept_sha256"),
     )
 
 
