@@ -150,3 +150,18 @@ def near_duplicates(vectors: DataFrame, limit: float = LIMIT, bits: int = BITS,
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e)) / sqrt(list_inner_product(b.e, b.e)) >= 0.93
+), reach(vec_id, root) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT links.b, reach.root FROM reach JOIN links ON reach.vec_id = links.a
+), r AS (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id)
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN r ON r.vec_id = e.vec_id LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = e.vec_id
+"""
