@@ -2,8 +2,8 @@
 
 A document is the set of its distinct word n-grams, hashed to 64 bits; equal sets become one node. Documents that can
 link are first gathered, without loss: two sets with Jaccard similarity of at least J differ in at most D members, so of
-the D + 3 parts into which a hash deals the members at least one is equal and not empty in both (a set with more than
-two empty parts adds a key for "empty"). D depends on a band of set sizes; a set near its band's lower end has keys of
+the D + 1 + s parts into which a hash deals the members at least one is equal and not empty in both, unless both leave
+more than s parts empty; such sets are dealt out by further hashes, at last by one key for all of them. D depends on a band of set sizes; a set near its band's lower end has keys of
 the band below as well. Sets that share a key fall into one candidate group.
 
 A group is joined by signature trees. Leaves are bitmaps of the sets by rising size; a node holds the OR of its
@@ -19,17 +19,19 @@ gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .common import materialize, small_enough
+from .common import join_checked, materialize, small_enough
 from .components import components
 from .suffix_dedup import mixed, powers
 
-SPARE, RATIO, BITS, FAN, BLOCK = 2, 1.5, 8192, 8, 2000
+SPARE, DEALS, RATIO, BITS, FAN, BLOCK = 2, 8, 1.5, 8192, 8, 2000
 _SET, _PART, _KEY, _TWO = (np.uint64(x) for x in (0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165))
 
 
@@ -69,21 +71,44 @@ def differences(b: int, num: int, den: int) -> int:
     return (top + top * den // num) * (den - num) // (den + num)
 
 
+@cache
+def parts_of(b: int, num: int, den: int) -> tuple[int, int] | None:
+    """(parts, spare) of a band: spare is how many parts a set of its least size may leave empty, as good as always.
+
+    None where linked sets are equal.
+    """
+    most = differences(b, num, den)
+    if not most:
+        return None
+    spare, n = SPARE, -(-(RATIO**b) // 1)
+    while True:
+        parts = most + 1 + spare
+        empty = parts * np.exp(-n / parts)
+        if spare >= empty + 3 * np.sqrt(empty) or spare > most // 3 + SPARE:
+            return parts, spare
+        spare += 1
+
+
 def part_keys(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Hashes of a set's parts. A set with more empty parts than its band spares is dealt out by another hash as well:
+    two such sets may share empty parts only, while one of any other kind shares a part that holds something."""
     n = len(tokens)
     if not n:
         return np.zeros(0, np.uint64)
     b, out = band_of(n), []
     for band in (b, b - 1):
-        if band < 0 or (band < b and -(-n * num // den) > band_top(band)) or not (most := differences(band, num, den)):
+        if band < 0 or (band < b and -(-n * num // den) > band_top(band)) or not (found := parts_of(band, num, den)):
             continue
-        parts = most + 1 + SPARE
-        part = (mixed(tokens ^ _PART) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        own, at = np.unique(part[order], return_index=True)
-        sums = np.add.reduceat(mixed(tokens ^ _KEY)[order], at)
-        out.append(mixed(sums + (own * 64 + band + 1).astype(np.uint64) * _TWO))
-        if parts - len(own) > SPARE:
+        parts, spare = found
+        for deal in range(DEALS):
+            part = (mixed(tokens ^ (_PART + np.uint64(deal))) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            own, at = np.unique(part[order], return_index=True)
+            sums = np.add.reduceat(mixed(tokens ^ _KEY)[order], at)
+            out.append(mixed(sums + ((own * DEALS + deal) * 64 + band + 1).astype(np.uint64) * _TWO))
+            if parts - len(own) <= spare:
+                break
+        else:
             out.append(mixed(np.array([(parts * 64 + band + 1) * 3], np.uint64)))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
@@ -247,9 +272,33 @@ def member_sets(rows: DataFrame, k: int) -> DataFrame:
         for pdf in batches:
             for s in range(0, len(pdf), 1000):
                 part = pdf.iloc[s : s + 1000]
-                yield part[["bucket", "side", "node"]].assign(tokens=[shingles(raw, k).tobytes() for raw in part["raw"]])
+                yield part[["component", "own", "node"]].assign(tokens=[shingles(raw, k).tobytes() for raw in part["raw"]])
+
+    return rows.mapInPandas(run, "component long, own int, node long, tokens binary")
+
 
-    return rows.mapInPandas(run, "bucket long, side int, node long, tokens binary")
+def in_blocks(members: DataFrame, block: int) -> DataFrame:
+    """Adds `own`, the block of a set in its group: by size, about `block` sets each.
+
+    Places in the order of sizes come from the counts of each size, and within a size from a hash, so no task orders a group.
+    """
+    sizes = members.groupBy("component", "n").agg(F.count("*").alias("same"))
+    upto = Window.partitionBy("component").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("below", F.coalesce(F.sum("same").over(upto), F.lit(0))).withColumn("size", F.sum("same").over(Window.partitionBy("component")))
+    rows = members.join(sizes, ["component", "n"])
+    place = F.col("below") + F.col("same") * F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / float(1 << 20)
+    return rows.withColumn("own", F.floor(place / F.col("size") * F.ceil(F.col("size") / block)).cast("int")).drop("same", "below", "size")
+
+
+def block_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(component, own, side, bucket): the pairs of blocks of a group in which each block takes part, by size ranges."""
+    blocks = members.groupBy("component", "own").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("rows"))
+    a, b = blocks.alias("a"), blocks.alias("b")
+    fits = (F.col("a.own") <= F.col("b.own")) & (F.col("a.high") * den >= F.col("b.low") * num)
+    pairs = a.join(b, (F.col("a.component") == F.col("b.component")) & fits).select("a.component", F.col("a.own").alias("x"), F.col("b.own").alias("y"))
+    pairs = pairs.withColumn("bucket", F.xxhash64("component", "x", "y"))
+    first = pairs.select("component", F.col("x").alias("own"), F.lit(0).alias("side"), "bucket")
+    return first.unionByName(pairs.where("x <> y").select("component", F.col("y").alias("own"), F.lit(1).alias("side"), "bucket"))
 
 
 def joined(rows: DataFrame, num: int, den: int) -> DataFrame:
@@ -286,20 +335,15 @@ def jaccard_groups(docs: DataFrame, k: int, num: int, den: int = 100, block: int
     candidates = materialize(components(candidate_edges(sketched, parts)), "candidate-groups")
     # one text for each node of a candidate group
     meta = sketched.drop("keys")
-    nodes = meta.where("n > 0").groupBy("node").agg(F.min(F.struct("doc_id", "k1", "k2")).alias("rep"))
-    sizes = candidates.groupBy("component").agg(F.count("*").alias("size"))
-    members = candidates.join(sizes, "component").join(nodes, "node")
-    members = materialize(members.select("node", "component", "size", "rep.doc_id", "rep.k1", "rep.k2"), "group-members")
-    same = texts.alias("t").join(members.alias("m"), (F.col("t.doc_id").eqNullSafe(F.col("m.doc_id"))) & (F.col("t.k1") == F.col("m.k1")) & (F.col("t.k2") == F.col("m.k2")))
-    if small_enough(members, 300_000):
-        few = texts.join(F.broadcast(members.select("k1", "k2")), ["k1", "k2"], "left_semi")
-        same = few.alias("t").join(members.alias("m"), (F.col("t.doc_id").eqNullSafe(F.col("m.doc_id"))) & (F.col("t.k1") == F.col("m.k1")) & (F.col("t.k2") == F.col("m.k2")))
-    rows = same.select("node", "component", "size", "raw").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("peer", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.withColumn("side", (F.col("own") > F.col("peer")).cast("int"))
-    rows = rows.withColumn("bucket", F.xxhash64("component", F.least("own", "peer"), F.greatest("own", "peer")))
-    dealt = member_sets(rows.select("bucket", "side", "node", "raw"), k).repartition(parts, "bucket").sortWithinPartitions("bucket", "node")
+    nodes = meta.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min(F.struct("doc_id", "k1", "k2")).alias("rep"))
+    members = candidates.join(nodes, "node").select("node", "component", "n", "rep.doc_id", "rep.k1", "rep.k2")
+    members = materialize(in_blocks(members, block), "group-members")
+    pairs = materialize(block_pairs(members, num, den), "block-pairs")
+    few = texts.join(F.broadcast(members.select("k1", "k2")), ["k1", "k2"], "left_semi") if small_enough(members, 300_000) else texts
+    on = F.col("t.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("t.k1") == F.col("m.k1")) & (F.col("t.k2") == F.col("m.k2"))
+    rows = few.alias("t").join(members.alias("m"), on).select("component", "own", "node", "raw")
+    dealt = join_checked(member_sets(rows, k), pairs, ["component", "own"], "inner").drop("component", "own")
+    dealt = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket", "node")
     links = materialize(joined(dealt, num, den), "shingle-links")
     groups = components(links)
     # the least id of each group, by way of its nodes; only groups of several rows are joined back
@@ -316,14 +360,30 @@ def jaccard_groups(docs: DataFrame, k: int, num: int, den: int = 100, block: int
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One document of each group: the row of the least id, then of the least text key. Columns as they were."""
     names = docs.columns
-    groups = jaccard_groups(docs, k, num, den).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "k1", "k2")
-    groups = materialize(groups.groupBy("doc_id").agg(F.min(F.struct("k1", "k2")).alias("k")).select(F.col("doc_id").alias("_id"), "k.k1", "k.k2"), "kept-documents")
+    groups = jaccard_groups(docs.select("doc_id", "text"), k, num, den).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = groups.groupBy(F.col("doc_id").alias("_id")).agg(F.min(F.struct("k1", "k2")).alias("_k"))
+    first = materialize(first.select("_id", F.col("_k.k1").alias("_g1"), F.col("_k.k2").alias("_g2")), "kept-documents")
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     rows = docs.withColumn("_k1", F.xxhash64(raw)).withColumn("_k2", F.xxhash64(F.lit(2), raw))
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2"))
-    return rows.join(groups, on, "left_semi").dropDuplicates(["doc_id", "_k1", "_k2"]).select(*names)
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_g1")) & (F.col("_k2") == F.col("_g2"))
+    return rows.join(first, on, "left_semi").dropDuplicates(["doc_id", "_k1", "_k2"]).select(*names)
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return jaccard_groups(docs, 4, 85).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, list_aggregate(w[i:i + 3], 'string_agg', ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+half AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
+links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+reach(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT links.b, reach.root FROM reach JOIN links ON reach.doc_id = links.a),
+r AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
+SELECT r.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id FROM r LEFT JOIN n ON n.doc_id = r.doc_id
+"""

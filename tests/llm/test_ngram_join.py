@@ -86,7 +86,7 @@ def test_keys_meet():
 
 def test_keep_one_and_empty(spark):
     rows = corpus(12, 25)
-    df = spark.createDataFrame([(*r, 5) for r in rows + rows[:1]], SCHEMA + ", node int")
+    df = spark.createDataFrame([(*r, 5) for r in rows + rows[:1]], SCHEMA + ", k1 int")
     out = N.keep_one(df)
     want = sorted(d for d, v in brute(rows, 5, 80).items() if v[1] == d)
     assert sorted(r.doc_id for r in out.collect()) == want and out.columns == df.columns
