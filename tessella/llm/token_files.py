@@ -91,6 +91,8 @@ def write_files(docs: DataFrame, folder: str, file: str, dictionary: bytes, dtyp
             sink.write(struct.pack(_TAIL, at, len(index), MAGIC))
             sink.close()
             path = f"{root}/{shard:06d}.tokz"
+            if store.get_file_info(path).is_file:  # of an attempt before; the same bytes
+                store.delete_file(path)
             store.move(temporary, path)
             yield pd.DataFrame({"shard": [shard], "path": [f"{folder}/{shard:06d}.tokz"], "n_docs": [len(index)], "n_tokens": [tokens]})
 
@@ -104,7 +106,7 @@ def read_document(store, path: str, entry: tuple, dictionary: bytes, dtype: str
     import numpy as np
     import zstandard
 
-    _, _, at, size, n = entry
+    _, _, at, size, n, _ = entry
     with store.open_input_file(path) as f:
         f.seek(at)
         blob = f.read(size)

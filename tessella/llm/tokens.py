@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 
 #: The characters of Unicode's White_Space property.
 _WHITE = "\t-\r \x85\xa0  -     　"
@@ -17,9 +18,19 @@ _WORD_PIECES = re.compile(f"[^{_WHITE}]+")
 #: Distinct pieces that a worker remembers; beyond that it starts anew.
 REMEMBERED = 1_500_000
 
+#: ASCII signs that form a token of their own after a word; the apostrophe is left out, as contractions start with it.
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
 _kept: dict[tuple[str, str], "Encoder"] = {}
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: printable ones for themselves, the others by turn from U+0100."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 def public_path(name: str) -> str:
     import public_tokenizers
 
@@ -38,11 +49,49 @@ class Encoder:
         self.dtype = dtype
         self.pieces = _BYTE_PIECES if "byte_bpe" in os.path.basename(file) else _WORD_PIECES
         self.known: dict[str, bytes] = {}
-        # New pieces are encoded in one text, parted by a piece that no other one can hold or touch.
         self.part, self.odd = ("\n", re.compile(f"[{_WHITE}]$")) if self.pieces is _BYTE_PIECES else (" \x01 ", re.compile("\x01"))
         self.part_ids = self.tokenizer.encode(self.part, add_special_tokens=False).ids
+        self.letters = _byte_letters()
+        self.lower = self.pieces is _WORD_PIECES
+        self.model, self.width = self.tokenizer.model, int(dtype[-1])
+
+    def plain_word(self, piece: str) -> str | None:
+        """What the model itself takes for a word of letters alone, which needs no normalizing or cutting."""
+        if not piece.removeprefix(" ").isalpha():
+            return None
+        if self.lower and not piece.isascii() and (piece != piece.lower() or not unicodedata.is_normalized("NFC", piece)):
+            return None
+        word = piece.lower() if self.lower else piece
+        # an ASCII letter stands for itself
+        return word.replace(" ", self.letters[32]) if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
 
     def learn(self, new: list[str]) -> None:
+        """Words go to the model as they are, signs after a word on their own, all else through the whole tokenizer."""
+        known, rest, signed = self.known, set(), []
+        for piece in new:
+            core = piece.rstrip(_SIGNS)
+            if core == piece or not core.removeprefix(" ").isalpha():
+                if not self.learn_word(piece):
+                    rest.add(piece)
+                continue
+            tail = piece[len(core) :]
+            if core not in known and not self.learn_word(core):
+                rest.add(core)
+            if tail not in known:
+                rest.add(tail)
+            signed.append((piece, core, tail))
+        self.learn_texts(list(rest))
+        for piece, core, tail in signed:
+            known[piece] = known[core] + known[tail]
+
+    def learn_word(self, piece: str) -> bool:
+        word = self.plain_word(piece)
+        if word is not None:
+            self.known[piece] = b"".join([t.id.to_bytes(self.width, "little") for t in self.model.tokenize(word)])
+        return word is not None
+
+    def learn_texts(self, new: list[str]) -> None:
+        """Many pieces in one text, parted by one that no piece can hold or touch."""
         import numpy as np
 
         encode = self.tokenizer.encode_batch_fast
