@@ -153,7 +153,8 @@ def read_files(shards: DataFrame, dictionary: bytes, dtype: str = "<u2") -> Data
                             rows = []
                 yield pd.DataFrame(rows, columns=["doc_id", "start", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
 
-    return based.repartition("shard").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    tasks = max(int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)  # rows are few, files are not small
+    return based.repartition(tasks, "shard").mapInPandas(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
