@@ -23,7 +23,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import join_checked, materialize, small_enough
 
@@ -236,8 +235,8 @@ def repeated_marks(keyed: DataFrame, length: int = LENGTH, window: int = WINDOW,
     rows = materialize(suffixes(keyed, length, window), "suffix-digits")
     # pass 2 is counted before pass 1, so that copies shrink to a row before groups meet
     counted = rows.groupBy("first", "whole").agg(F.sum("n").alias("c"))
-    by_first = Window.partitionBy("first")
-    counted = counted.withColumn("m", F.count("*").over(by_first)).where("c > 1 or m > 1")
+    groups = counted.groupBy("first").agg(F.count("*").alias("m")).where("m > 1")
+    counted = counted.join(groups, "first", "left").withColumn("m", F.coalesce("m", F.lit(1).cast("long"))).where("c > 1 or m > 1")
     status = materialize(counted, "suffix-groups")
     held = materialize(rows.select("k1", "k2", "first", "whole").join(status, ["first", "whole"]), "suffixes-held")
     # pass 3: one text shows each surrounding
