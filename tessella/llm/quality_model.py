@@ -5,7 +5,8 @@ shallow tree (up to four leaves over one feature's bins) to the logistic gradien
 lookup table. The residual then ranks pairs of features, and the best pairs get two-way tables by the same cycle. A
 score is a sum of table entries, one gather a table for a whole batch.
 
-Labels are learned from a bounded sample: at most TRAIN_ROWS labelled rows, those with the least hash of their id.
+Labels are learned from a bounded sample: at most TRAIN_ROWS labelled rows, those whose id's
+hash falls in a share of its range.
 Defined cases: null text is empty and scored as such; rows that repeat an id are scored each; without any labelled row
 the score is 1/2; labels that are null do not count; an empty table gives an empty result.
 """
@@ -172,7 +173,8 @@ def train(featured: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Mod
     """Fit on rows out of the held-out fold. `labels` (doc_id, quality) may repeat an id: its labels' mean counts."""
     one = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.avg(F.col("quality").cast("double")).alias("y"))
     known = featured.where(fold() != 0).join(one, "doc_id").select("x", "y", F.xxhash64("doc_id", F.lit("train")).alias("o"))
-    rows = known.orderBy("o").limit(most).toPandas()  # bounded by `most`
+    every = -(-known.count() // most) or 1  # a share of the hash's range, so that no task sends more than its part
+    rows = known.where(F.pmod("o", F.lit(every)) == 0).orderBy("o").limit(most).toPandas()
     return fit(np.array(rows["x"].tolist(), float).reshape(len(rows), -1), (rows["y"].to_numpy(float) > 0.5).astype(float))
 
 
