@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD_CLASS, materialize, small_enough
+from .common import WORD_CLASS, join_checked, materialize, small_enough
 from .quality_rules import has_word, line_hash
 
 WORDS = 50
@@ -50,7 +50,7 @@ def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(k1, k2, runs, n_runs): runs of lines to delete, first and last line, for each document that has any."""
     every = materialize(windows(docs, words), "line-windows")
     marks = every.select("mark", "k1", "k2", "mark_at").distinct().groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
-    met = every.join(materialize(marks, "line-marks"), "mark", "left_semi")
+    met = join_checked(every, materialize(marks, "line-marks"), "mark", "left_semi", 500_000)
     met = materialize(met, "windows-met")
     place = F.struct("doc_id", "k2", "start")
     first = met.groupBy("lines").agg(F.min(F.struct(place.alias("place"), F.col("after.h").alias("h"))).alias("first"), F.count("*").alias("n")).where("n > 1")
