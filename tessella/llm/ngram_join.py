@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import join_checked, materialize, small_enough
+from .common import SPACES, join_checked, materialize, small_enough
 from .components import components
 from .suffix_dedup import mixed, powers
 
@@ -337,7 +337,10 @@ def joined(rows: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def jaccard_groups(docs: DataFrame, k: int, num: int, den: int = 100, block: int = BLOCK) -> DataFrame:
-    """doc_id, k1, k2 (of the text), n_shingles, component_id for each row of docs (doc_id, text)."""
+    """doc_id, k1, k2 (of the text), n_shingles, component_id, group for each row of docs (doc_id, text).
+
+    `group` is a node of the component, the same for all of its rows whatever their ids; null for texts without words.
+    """
     spark = docs.sparkSession
     texts = with_text_keys(docs)
     sketched = materialize(sketch(texts, k, num, den), "shingle-sketches")
@@ -360,23 +363,30 @@ def jaccard_groups(docs: DataFrame, k: int, num: int, den: int = 100, block: int
     known = meta.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).join(groups, "node", "left")
     known = known.withColumn("component", F.coalesce("component", "node"))
     roots = known.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("rows").alias("all"))
-    several = known.join(roots.where(F.col("all") > 1), "component").select("node", F.col("component_id").alias("group_id"))
+    several = known.join(roots.where(F.col("all") > 1), "component").select("node", F.col("component").alias("group"), F.col("component_id").alias("group_id"))
     several = materialize(several, "grouped-nodes")
     out = meta.join(F.broadcast(several) if small_enough(several, 300_000) else several, "node", "left")
     own = F.when(F.col("n") > 0, F.coalesce("group_id", "doc_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles"), own.alias("component_id"))
+    group = F.when(F.col("n") > 0, F.coalesce("group", "node"))
+    return out.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles"), own.alias("component_id"), group.alias("group"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One document of each group: the row of the least id, then of the least text key. Columns as they were."""
+    """One document of each group: the row of the least id, then of the least text key; a null id comes last.
+
+    Groups go by their nodes, so null and repeated ids are no reason to drop a row. Texts without words all stay.
+    Columns as they were.
+    """
     names = docs.columns
-    groups = jaccard_groups(docs.select("doc_id", "text"), k, num, den).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = groups.groupBy(F.col("doc_id").alias("_id")).agg(F.min(F.struct("k1", "k2")).alias("_k"))
-    first = materialize(first.select("_id", F.col("_k.k1").alias("_g1"), F.col("_k.k2").alias("_g2")), "kept-documents")
+    groups = jaccard_groups(docs.select("doc_id", "text"), k, num, den).where("n_shingles > 0")
+    first = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")).alias("_k"))
+    first = materialize(first.select(F.col("_k.doc_id").alias("_id"), F.col("_k.k1").alias("_g1"), F.col("_k.k2").alias("_g2")), "kept-documents")
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = docs.withColumn("_k1", F.xxhash64(raw)).withColumn("_k2", F.xxhash64(F.lit(2), raw))
+    textless = F.btrim(F.coalesce(F.col("text"), F.lit("")), F.lit(SPACES)) == ""
+    rows = docs.where(~textless).withColumn("_k1", F.xxhash64(raw)).withColumn("_k2", F.xxhash64(F.lit(2), raw))
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_g1")) & (F.col("_k2") == F.col("_g2"))
-    return rows.join(first, on, "left_semi").dropDuplicates(["doc_id", "_k1", "_k2"]).select(*names)
+    kept = rows.join(first, on, "left_semi").dropDuplicates(["doc_id", "_k1", "_k2"]).select(*names)
+    return kept.unionByName(docs.where(textless))
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

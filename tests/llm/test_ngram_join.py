@@ -91,3 +91,15 @@ def test_keep_one_and_empty(spark):
     want = sorted(d for d, v in brute(rows, 5, 80).items() if v[1] == d)
     assert sorted(r.doc_id for r in out.collect()) == want and out.columns == df.columns
     assert N.keep_one(df.limit(0)).count() == 0
+
+
+def test_keep_one_null_and_repeated_ids(spark):
+    """Unlinked documents stay whatever their ids; of each group one row stays."""
+    rng = Random(3)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(None, a), (None, b), (None, b + " more"), (7, c), (7, d), (9, d + " more"), (5, e), (None, e + " more"), (None, None), (None, " "), (3, "")]
+    got = [(r.doc_id, r.text) for r in N.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    texts = [t for _, t in got]
+    assert {(None, a), (7, c), (7, d), (5, e), (None, None), (None, " "), (3, "")} <= set(got)
+    assert sum(t in (b, b + " more") for t in texts) == 1 and len(got) == 8
