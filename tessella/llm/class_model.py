@@ -1,11 +1,12 @@
 """Language-model scores by a Brown class bigram model.
 
-The most frequent words are clustered by exchange: each word moves to the class that raises the class-bigram likelihood
-most, from counts of its neighbours' classes, in rounds over all words. Other words get a class of the last characters.
+Every training word is clustered by exchange: it moves to the class that raises the class-bigram likelihood most, from
+counts of its neighbours' classes, in rounds over all words. Words that training lacks get a class of the last characters.
 P(text) is the product over its tokens of P(class | class before) * P(word | class), each smoothed, the end included.
 
-All counts are over every training text. The model's size is bounded: CLUSTERED words take part in the exchange, and
-LOOKED_UP words are looked up in memory while scoring; rarer words meet their counts by a join.
+All counts are over every training text. Words go by 64-bit hashes, dealt into parts, then by their places in these; the
+driver holds a byte a distinct word (its class) and counts of class pairs. LOOKED_UP words are looked up in memory while
+scoring; rarer words meet their counts and classes by a join.
 
 Defined cases: null text is the end token alone; rows that repeat an id are scored each; an empty table gives an empty
 result, and with no training text all counts are 0 and every token is unknown.
@@ -13,7 +14,6 @@ result, and with no training text all counts are 0 and every token is unknown.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -23,13 +23,21 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..storage import hadoop
 from .common import fold, materialize
+from .suffix_dedup import mixed, powers
 
-CLASSES, TAIL_CLASSES, CLUSTERED, LOOKED_UP, ROUNDS = 64, 64, 4000, 100_000, 6
+CLASSES, TAIL_CLASSES, LOOKED_UP, ROUNDS = 64, 64, 100_000, 6
+#: Class symbols: learned classes, tail classes, start, end.
+START, STOP, SYMBOLS = CLASSES + TAIL_CLASSES, CLASSES + TAIL_CLASSES + 1, CLASSES + TAIL_CLASSES + 2
 #: Weight of the class bigram against the class's own share; floor of unseen events.
 BIGRAM_WEIGHT, FLOOR = 0.95, 0.5
 #: A word longer than this many bytes is not looked up in memory.
 LONGEST = 64
+#: Words whose neighbours are held together; place of a rare word in a text.
+CHUNK, RARE = 1024, 255
+#: Hashes of start and end.
+_START, _STOP = np.uint64(1), np.uint64(2)
 
 
 def tokens(raw: bytes | None) -> list[bytes]:
@@ -37,8 +45,17 @@ def tokens(raw: bytes | None) -> list[bytes]:
     return (raw or b"").lower().split()
 
 
-def tail_class(word: bytes) -> int:
-    return CLASSES + zlib.crc32(word[-3:]) % TAIL_CLASSES
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words without spaces."""
+    if not words:
+        return np.zeros(0, np.uint64)
+    joined = np.frombuffer(b" ".join(words) + b" ", np.uint8)
+    table, up, down = powers(len(joined) + 1)
+    prefix = np.zeros(len(joined) + 1, np.uint64)
+    np.cumsum(table[joined] * up[: len(joined)], out=prefix[1:])
+    stop = np.flatnonzero(joined == 32)
+    start = np.concatenate(([0], stop[:-1] + 1))
+    return mixed((prefix[stop] - prefix[start]) * down[start] + (stop - start).astype(np.uint64))
 
 
 def raw_text(df: DataFrame) -> DataFrame:
@@ -62,104 +79,144 @@ def count_words(train: DataFrame) -> DataFrame:
     return train.select("raw").mapInPandas(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def symbols(raw: bytes, index: dict[bytes, int]) -> np.ndarray:
-    """Ids of a text's tokens: clustered words, else CLUSTERED + tail class, with start and end at the ends."""
-    get = index.get
-    out = [CLUSTERED + CLASSES + TAIL_CLASSES]
-    for w in tokens(raw):
-        k = get(w)
-        out.append(CLUSTERED + tail_class(w) if k is None else k)
-    out.append(CLUSTERED + CLASSES + TAIL_CLASSES + 1)
-    return np.array(out, np.int64)
-
-
-#: Ids after the clustered words: CLASSES places unused, tail classes, start, end.
-SYMBOLS = CLUSTERED + CLASSES + TAIL_CLASSES + 2
-START, STOP = CLASSES + TAIL_CLASSES, CLASSES + TAIL_CLASSES + 1
-
-
-def count_bigrams(train: DataFrame, index: dict[bytes, int], parts: int) -> DataFrame:
-    """(a, b, n) of neighbouring symbols. Tasks count in arrays; a shuffled row holds all of a task's counts of a part."""
+def words_and_pairs(train: DataFrame, parts: int) -> DataFrame:
+    """(part, dst, own, other, n): neighbours (a, b) dealt by a, then b. `own` is a's place among the part's words, `other`
+    the hash of b; of each part, a row without dst holds its words' hashes."""
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
-
-        def rows(pairs: np.ndarray, n: np.ndarray) -> pd.DataFrame:
-            part = pairs // SYMBOLS % parts
+        def rows(held: list[np.ndarray]) -> pd.DataFrame:
+            word, at = np.unique(np.concatenate(held), return_inverse=True)
+            pair = at[:-1] * len(word) + at[1:]
+            pair = pair[at[:-1] != np.searchsorted(word, _STOP)]
+            pair, n = np.unique(pair, return_counts=True)
+            a, b = word[pair // len(word)], word[pair % len(word)]
+            part = a % np.uint64(parts)
             order = np.argsort(part, kind="stable")
-            cut = np.searchsorted(part[order], np.arange(parts + 1))
+            cut = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
             keep = [k for k in range(parts) if cut[k] < cut[k + 1]]
             slices = [order[cut[k] : cut[k + 1]] for k in keep]
-            return pd.DataFrame({"part": keep, "pairs": [pairs[s].astype("<u4").tobytes() for s in slices], "n": [n[s].astype("<u4").tobytes() for s in slices]})
+            return pd.DataFrame({"part": keep, "a": [a[x].tobytes() for x in slices], "b": [b[x].tobytes() for x in slices], "n": [n[x].astype("<u4").tobytes() for x in slices]})
 
+        held, size = [], 0
         for pdf in batches:
             for raw in pdf["raw"]:
-                ids = symbols(raw, index)
-                held.append(ids[:-1] * SYMBOLS + ids[1:])
+                held.append(np.concatenate(([_START], word_hashes(tokens(raw)), [_STOP])))
                 size += len(held[-1])
-                if size > 8_000_000:
-                    yield rows(*np.unique(np.concatenate(held), return_counts=True))
+                if size > 2_000_000:
+                    yield rows(held)
                     held, size = [], 0
-        if size:
-            yield rows(*np.unique(np.concatenate(held), return_counts=True))
-
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pairs, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for pdf in batches:
-            pairs = np.concatenate([pairs, *(np.frombuffer(x, "<u4").astype(np.int64) for x in pdf["pairs"])])
-            n = np.concatenate([n, *(np.frombuffer(x, "<u4").astype(np.int64) for x in pdf["n"])])
-            pairs, where = np.unique(pairs, return_inverse=True)
-            n = np.bincount(where, n, len(pairs)).astype(np.int64)
-        for k in range(0, len(pairs), 500_000):
-            yield pd.DataFrame({"a": (pairs[k : k + 500_000] // SYMBOLS), "b": pairs[k : k + 500_000] % SYMBOLS, "n": n[k : k + 500_000]})
-
-    shuffled = train.select("raw").mapInPandas(partial, "part int, pairs binary, n binary").repartition(parts, "part")
-    return shuffled.mapInPandas(whole, "a long, b long, n long")
-
-
-def class_counts(bigrams: DataFrame, classes: np.ndarray) -> np.ndarray:
-    """Counts of class pairs under a class for each symbol: partial sums in arrays, then by Spark."""
-    size = STOP + 1
+        if held:
+            yield rows(held)
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        a, b, n = (np.concatenate([np.frombuffer(x, t) for x in pdf[c]]) for c, t in (("a", "<u8"), ("b", "<u8"), ("n", "<u4")))
+        order = np.lexsort((b, a))
+        a, b, n = a[order], b[order], n[order]
+        new = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+        a, b, n = a[new], b[new], np.add.reduceat(n.astype(np.int64), new)
+        word = np.unique(a[a != _START])
+        own = np.where(a == _START, -1, np.searchsorted(word, a)).astype("<i4")
+        part = b % np.uint64(parts)
+        order = np.argsort(part, kind="stable")
+        cut = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+        out = [(int(pdf["part"].iloc[0]), k, own[x].tobytes(), b[x].tobytes(), n[x].astype("<u4").tobytes()) for k in range(parts) if len(x := order[cut[k] : cut[k + 1]])]
+        out.append((int(pdf["part"].iloc[0]), None, None, word.tobytes(), None))
+        return pd.DataFrame(out, columns=["part", "dst", "own", "other", "n"]).astype({"dst": "Int32"})
+
+    shuffled = train.select("raw").mapInPandas(partial, "part int, a binary, b binary, n binary")
+    return shuffled.groupBy("part").applyInPandas(whole, "part int, dst int, own binary, other binary, n binary")
+
+
+def word_sides(pairs: DataFrame, first: np.ndarray, parts: int) -> DataFrame:
+    """(chunk, first, words, own, other, n): both neighbours of each word, all of a word's in one row.
+
+    A word's id is first[part] and its place in the part; start and end follow all words. `own` is the word's place in
+    the chunk, `other` twice the neighbour's id, and 1 more where it follows. A chunk of -1 holds what stands before the end.
+    """
+    total = int(first[-1])
+
+    def numbered(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Blocks of one dst, with ids, for the parts of either word."""
+        dst, out = int(pdf["dst"].iloc[0]), []
+        blocks = [(int(p), np.frombuffer(o, "<i4").astype(np.int64), np.frombuffer(b, "<u8"), n) for p, o, b, n in zip(pdf["part"], pdf["own"], pdf["other"], pdf["n"], strict=True)]
+        # each word has a neighbour on either side, so the words that follow are the part's words
+        word = np.unique(np.concatenate([b for _, _, b, _ in blocks]))
+        word = word[word != _STOP]
+        for part, own, b, n in blocks:
+            x = np.where(own < 0, total, own + first[part]).astype("<u4").tobytes()
+            y = np.where(b == _STOP, total + 1, np.searchsorted(word, b) + first[dst]).astype("<u4").tobytes()
+            out += [(dst, 0, y, x, n), (part, 1, x, y, n)]
+        return pd.DataFrame(out, columns=["part", "ahead", "own", "other", "n"])
+
+    def chunks(pdf: pd.DataFrame) -> pd.DataFrame:
+        part, word = int(pdf["part"].iloc[0]), np.zeros(0, np.uint64)
+        held = []
+        for ahead, own, other, n in zip(pdf["ahead"], pdf["own"], pdf["other"], pdf["n"], strict=True):
+            if ahead == 2:
+                word = np.frombuffer(other, "<u8")
+            else:
+                held.append((np.frombuffer(own, "<u4"), np.frombuffer(other, "<u4") * np.uint32(2) + np.uint32(ahead), np.frombuffer(n, "<u4")))
+        own, other, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        order = np.argsort(own, kind="stable")
+        own, other, n = own[order], other[order], n[order]
+        edges, out = [*range(int(first[part]), int(first[part + 1]), CHUNK), int(first[part + 1])], []
+        for k, (low, high) in enumerate(zip(edges, edges[1:], strict=False)):
+            s = slice(*np.searchsorted(own, np.array((low, high), np.uint32)))
+            out.append((part + k, low, word[low - edges[0] : high - edges[0]].tobytes(), (own[s] - np.uint32(low)).astype("<u2").tobytes(), other[s].tobytes(), n[s].tobytes()))
+        s = (own == total + 1) & (other % 2 == 0)
+        if s.any():
+            out.append((-1, total + 1, b"", np.zeros(s.sum(), "<u2").tobytes(), other[s].tobytes(), n[s].tobytes()))
+        return pd.DataFrame(out, columns=["chunk", "first", "words", "own", "other", "n"])
+
+    both = pairs.where("dst is not null").groupBy("dst").applyInPandas(numbered, "part int, ahead int, own binary, other binary, n binary")
+    names = pairs.where("dst is null").select("part", F.lit(2).alias("ahead"), "own", "other", "n")
+    return both.unionByName(names).groupBy("part").applyInPandas(chunks, "chunk int, first long, words binary, own binary, other binary, n binary")
+
+
+def class_counts(sides: DataFrame, classes) -> np.ndarray:
+    """Counts of class pairs under a class (of a broadcast array) for each word: partial sums in arrays, then by Spark."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size * size)
+        cls, total = classes.value, np.zeros(SYMBOLS * SYMBOLS)
         for pdf in batches:
-            total += np.bincount(classes[pdf["a"].to_numpy()] * size + classes[pdf["b"].to_numpy()], pdf["n"].to_numpy(), size * size)
+            for first, own, other, n in zip(pdf["first"], pdf["own"], pdf["other"], pdf["n"], strict=True):
+                other = np.frombuffer(other, "<u4")
+                s = np.flatnonzero(other % 2 == 0)
+                b = cls[first + np.frombuffer(own, "<u2")[s].astype(np.int64)]
+                total += np.bincount(cls[other[s] >> 1].astype(np.int64) * SYMBOLS + b, np.frombuffer(n, "<u4")[s], SYMBOLS * SYMBOLS)
         own = np.flatnonzero(total)
         yield pd.DataFrame({"pair": own, "n": total[own].astype(np.int64)})
 
-    rows = bigrams.mapInPandas(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()  # at most size^2
-    out = np.zeros(size * size)
+    rows = sides.select("first", "own", "other", "n").mapInPandas(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()  # at most SYMBOLS^2
+    out = np.zeros(SYMBOLS * SYMBOLS)
     out[rows["pair"].to_numpy(np.int64)] = rows["n"].to_numpy(float)
-    return out.reshape(size, size)
+    return out.reshape(SYMBOLS, SYMBOLS)
 
 
-def exchange(sides: DataFrame, classes: np.ndarray, counts: np.ndarray, words: int, parity: int) -> pd.DataFrame:
-    """The best class of each word of one parity. `sides` (word, other, ahead, n) is dealt by word.
+def exchange(sides: DataFrame, classes, counts: np.ndarray, parity: int) -> list:
+    """(first, cls): the best classes of the words of each chunk of one parity, a byte a word.
 
-    A word's gain in a class is the likelihood of its neighbours' classes and of itself there, its own counts added.
+    A word's gain in a class is the likelihood of its neighbours' classes there. P(word | class) and the class's own share
+    offset each other.
     """
+    alpha = 0.1
+    log_in = np.log((counts + alpha) / (counts.sum(axis=0) + alpha * SYMBOLS)[None, :])[:, :CLASSES]  # of what stands before, given the class
+    log_out = np.log((counts + alpha) / (counts.sum(axis=1) + alpha * SYMBOLS)[:, None])[:CLASSES].T  # of what follows
+    both = np.concatenate((log_in, log_out))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = [p for p in batches if len(p)]
-        if not parts:
-            return
-        pdf = pd.concat(parts)
-        own, row = np.unique(pdf["word"].to_numpy(), return_inverse=True)
-        size = counts.shape[0]
-        other, ahead, n = classes[pdf["other"].to_numpy()], pdf["ahead"].to_numpy(), pdf["n"].to_numpy()
-        grid = np.bincount((row * 2 + ahead) * size + other, n, len(own) * 2 * size).reshape(len(own), 2, size)
-        margin = counts.sum(axis=1)
-        alpha = 0.1
-        log_in = np.log((counts + alpha) / (counts.sum(axis=0) + alpha * size)[None, :])  # of what stands before, given the class
-        log_out = np.log((counts + alpha) / (margin + alpha * size)[:, None])  # of what follows
-        gain = grid[:, 0] @ log_in[:, :CLASSES] + grid[:, 1] @ log_out[:CLASSES].T
-        # P(word | class): a fuller class gives each member less; counted once, as the prior of the class offsets it
-        total = grid.sum(axis=(1, 2))[:, None] / 2
-        gain += total * np.log((margin[:CLASSES] + 1) / margin.sum())[None, :] - total * np.log(margin[:CLASSES] + 1)[None, :]
-        yield pd.DataFrame({"word": own, "cls": gain.argmax(axis=1)})
-
-    return sides.where(F.col("word") % 2 == parity).mapInPandas(run, "word long, cls long").toPandas()  # at most CLUSTERED rows
+        cls = classes.value
+        for pdf in batches:
+            best = []
+            for words, own, other, n in zip(pdf["words"], pdf["own"], pdf["other"], pdf["n"], strict=True):
+                other, size = np.frombuffer(other, "<u4"), len(words) // 8
+                place = (np.frombuffer(own, "<u2").astype(np.int64) * 2 + (other & 1)) * SYMBOLS + cls[other >> 1]
+                grid = np.bincount(place, np.frombuffer(n, "<u4"), size * 2 * SYMBOLS).reshape(size, 2 * SYMBOLS)
+                best.append((grid @ both).argmax(axis=1).astype(np.uint8).tobytes())
+            yield pd.DataFrame({"first": pdf["first"], "cls": best})
+
+    return sides.where((F.col("chunk") >= 0) & (F.col("chunk") % 2 == parity)).drop("chunk").mapInPandas(run, "first long, cls binary").collect()  # a byte a word
 
 
 class Model:
@@ -180,58 +237,76 @@ class Model:
         return np.log10(c + FLOOR) - self.room[cls]
 
 
-def train_model(train: DataFrame, vocabulary: DataFrame, top: list[tuple[bytes, int]], parts: int) -> Model:
-    clustered = top[:CLUSTERED]
-    index = {w: k for k, (w, _) in enumerate(clustered)}
-    bigrams = materialize(count_bigrams(train, index, parts), "symbol-bigrams")
-    classes = np.arange(SYMBOLS) - CLUSTERED
-    classes[:CLUSTERED] = np.arange(CLUSTERED) % CLASSES
-    classes = np.clip(classes, 0, STOP)
-    # both neighbours of each clustered word; dealt by word once, used by every round
-    left = bigrams.where(F.col("b") < CLUSTERED).select(F.col("b").alias("word"), F.col("a").alias("other"), F.lit(0).alias("ahead"), "n")
-    right = bigrams.where(F.col("a") < CLUSTERED).select(F.col("a").alias("word"), F.col("b").alias("other"), F.lit(1).alias("ahead"), "n")
-    sides = materialize(left.unionByName(right).repartition(parts, "word"), "symbol-sides")
+def drop(df: DataFrame) -> None:
+    """Delete a materialized table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        path, fs = hadoop(spark, folder)
+        fs.delete(path, True)
+
+
+def learn_classes(train: DataFrame, parts: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """(hash, cls) of every training word, the class of each word id (then start and end), counts of class pairs."""
+    spark = train.sparkSession
+    pairs = materialize(words_and_pairs(train, parts), "word-pairs")
+    spark.sparkContext._jvm.System.gc()  # shuffle files that nothing refers to leave the disk
+    sizes = np.zeros(parts, np.int64)
+    for r in pairs.where("dst is null").select("part", (F.length("other") / 8).cast("long").alias("n")).collect():  # a row a part
+        sizes[r.part] = r.n
+    first = np.concatenate(([0], np.cumsum(sizes)))
+    sides = materialize(word_sides(pairs, first, parts), "word-sides")
+    drop(pairs)
+    spark.sparkContext._jvm.System.gc()
+    classes = np.append(np.arange(first[-1]) % CLASSES, (START, STOP)).astype(np.uint8)
+    still, rows = 0, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(rows)
+    spark.conf.set(rows, 16)  # a row of sides holds up to some MB
     for step in range(ROUNDS * 2):
-        counts = class_counts(bigrams, classes)
-        # whole files may be split among tasks: sums by word stay whole when dealt by word again
-        moved = exchange(sides.repartition(parts, "word"), classes, counts, len(clustered), step % 2)
+        sent = spark.sparkContext.broadcast(classes)
         new = classes.copy()
-        new[moved["word"].to_numpy(np.int64)] = moved["cls"].to_numpy(np.int64)
-        if (new == classes).all():
+        for r in exchange(sides, sent, class_counts(sides, sent), step % 2):
+            new[r.first : r.first + len(r.cls)] = np.frombuffer(r.cls, np.uint8)
+        sent.unpersist()
+        still = still + 1 if (new == classes).all() else 0
+        if still == 2:  # neither half moves
             break
         classes = new
-    counts = class_counts(bigrams, classes)
-    mass, types = class_mass(vocabulary, index, classes)
-    return Model(classes, counts, mass, types)
+    sent = spark.sparkContext.broadcast(classes)
+    counts = class_counts(sides, sent)
+    spark.conf.set(rows, usual)
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for k, words in zip(pdf["first"], pdf["words"], strict=True):
+                hashes = np.frombuffer(words, "<i8")
+                yield pd.DataFrame({"hash": hashes, "cls": sent.value[k : k + len(hashes)].astype(np.int32)})
 
-def class_of(word: bytes, index: dict[bytes, int], classes: np.ndarray) -> int:
-    k = index.get(word)
-    return tail_class(word) if k is None else int(classes[k])
+    learned = materialize(sides.where("chunk >= 0").select("first", "words").mapInPandas(run, "hash long, cls int"), "word-classes")
+    drop(sides)
+    return learned, classes, counts
 
 
-def class_mass(vocabulary: DataFrame, index: dict[bytes, int], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def class_mass(vocabulary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Tokens and distinct words of each class, over the whole vocabulary."""
+    mass, types = np.zeros(SYMBOLS), np.zeros(SYMBOLS)
+    for r in vocabulary.groupBy("cls").agg(F.sum("c").alias("mass"), F.count("*").alias("types")).collect():  # a row a class
+        mass[r.cls], types[r.cls] = r.mass, r.types
+    return mass, types
 
+
+def with_hashes(vocabulary: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mass, types = np.zeros(STOP + 1), np.zeros(STOP + 1)
         for pdf in batches:
-            cls = np.fromiter((class_of(w, index, classes) for w in pdf["word"]), np.int64, len(pdf))
-            mass += np.bincount(cls, pdf["c"].to_numpy(), STOP + 1)
-            types += np.bincount(cls, minlength=STOP + 1)
-        yield pd.DataFrame({"cls": np.arange(STOP + 1), "mass": mass.astype(np.int64), "types": types.astype(np.int64)})
-
-    rows = vocabulary.mapInPandas(run, "cls int, mass long, types long").groupBy("cls").agg(F.sum("mass").alias("mass"), F.sum("types").alias("types")).toPandas()
-    mass, types = np.zeros(STOP + 1), np.zeros(STOP + 1)
-    mass[rows["cls"].to_numpy(int)], types[rows["cls"].to_numpy(int)] = rows["mass"].to_numpy(float), rows["types"].to_numpy(float)
-    return mass, types
+            yield pdf.assign(hash=word_hashes([bytes(w) for w in pdf["word"]]).view(np.int64))
+
+    return vocabulary.mapInPandas(run, "word binary, c long, hash long")
 
 
-def score(docs: DataFrame, model: Model, vocabulary: DataFrame, top: list[tuple[bytes, int]], ends: int, total: int, distinct: int) -> DataFrame:
+def score(docs: DataFrame, model: Model, vocabulary: DataFrame, top: list[tuple[bytes, int, int]], ends: int, total: int, distinct: int) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for rows (doc_id, held_out, raw)."""
-    index = {w: k for k, (w, _) in enumerate(top)}
-    c = np.array([n for _, n in top] or [0], float)
-    cls = np.array([class_of(w, {}, model.classes) if k >= CLUSTERED else model.classes[k] for k, (w, _) in enumerate(top)] or [0], np.int64)
+    index = {w: k for k, (w, _, _) in enumerate(top)}
+    c = np.array([n for _, n, _ in top] or [0], float)
+    cls = np.array([k for _, _, k in top] or [0], np.int64)
     room = np.log10(total + 0.5 * (distinct + 1))
     base = np.log10(c + 0.5) - room
     emitted = model.emission(c, cls)
@@ -247,36 +322,53 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame, top: list[tuple[
                     ids = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
                     rare = np.flatnonzero(ids < 0)
                     seq = cls[ids]
-                    names: list[bytes] = []
-                    if len(rare):
-                        names = [words[i] for i in rare.tolist()]
-                        seq[rare] = [tail_class(w) for w in names]
+                    seq[rare] = RARE
                     path = np.concatenate(([START], seq, [STOP]))
+                    x, y = path[:-1], path[1:]
+                    plain = (x != RARE) & (y != RARE)
                     known = ids[ids >= 0]
-                    own = float(transition[path[:-1], path[1:]].sum() + emitted[known].sum())
-                    few = Counter(names)
-                    rows.append((doc_id, bool(held), len(words) + 1, len(known) + (ends > 0), float(base[known].sum()) + end_base, own, list(few), list(few.values())))
-                yield pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "times"]).astype({"doc_id": "Int64"})
-
-    scored = docs.select("doc_id", "held_out", "raw").mapInPandas(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<binary>, times array<int>")
+                    own = float(transition[x[plain], y[plain]].sum() + emitted[known].sum())
+                    names: dict[bytes, int] = {}
+                    which = np.array([names.setdefault(words[i], len(names)) for i in rare.tolist()], "<i4")
+                    sides = [path[rare + d].astype(np.uint8).tobytes() for d in (0, 2)]
+                    rows.append((doc_id, bool(held), len(words) + 1, len(known) + (ends > 0), float(base[known].sum()) + end_base, own, list(names), which.tobytes(), *sides))
+                yield pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "which", "before", "after"]).astype({"doc_id": "Int64"})
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The rare words of each row, at their places."""
+        for pdf in batches:
+            more = []
+            for which, before, after, place, seen, kind in zip(pdf["which"], pdf["before"], pdf["after"], pdf["place"], pdf["seen"], pdf["kind"], strict=True):
+                if place is None or not len(place):
+                    more.append((0, 0.0, 0.0))
+                    continue
+                order = np.argsort(place)
+                at = np.frombuffer(which, "<i4")
+                n, k = np.asarray(seen, float)[order][at], np.asarray(kind, np.int64)[order][at]
+                left, right = np.frombuffer(before, np.uint8).astype(np.int64), np.frombuffer(after, np.uint8)
+                left = np.where(left == RARE, np.roll(k, 1), left)
+                out = right != RARE
+                moves = transition[left, k].sum() + transition[k[out], right[out]].sum()
+                more.append((int((n > 0).sum()), float((np.log10(n + 0.5) - room).sum()), float(model.emission(n, k).sum() + moves)))
+            known, b, s = (np.array(x) for x in zip(*more, strict=True)) if more else (0, 0.0, 0.0)
+            out = pdf[["doc_id", "held_out", "n_tokens"]].astype({"doc_id": "Int64"})
+            yield out.assign(n_known=pdf["n_known"] + known, base_score=pdf["base_score"] + b, score=pdf["score"] + s)
+
+    scored = docs.select("doc_id", "held_out", "raw").mapInPandas(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<binary>, which binary, before binary, after binary")
     scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "partial-scores")
-    # words that are not looked up meet their counts here
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("word"), F.col("x.times").alias("times"))
-    seen = vocabulary.select("word", F.col("c").alias("seen"))
-    met = rare.join(seen, "word", "left").withColumn("seen", F.coalesce("seen", F.lit(0)))
+    # words that are not looked up meet their counts and classes here
+    rare = scored.select("row", F.posexplode("rare").alias("place", "word"))
     suffix = F.when(F.length("word") > 3, F.expr("substring(word, -3, 3)")).otherwise(F.col("word"))
-    tail = F.element_at(F.array(*[F.lit(float(x)) for x in model.room[CLASSES : CLASSES + TAIL_CLASSES]]), (F.crc32(suffix) % TAIL_CLASSES + 1).cast("int"))
-    add = met.groupBy("row").agg(
-        F.sum(F.when(F.col("seen") > 0, F.col("times")).otherwise(0)).alias("k"),
-        F.sum(F.col("times") * (F.log10(F.col("seen") + 0.5) - float(room))).alias("b"),
-        F.sum(F.col("times") * (F.log10(F.col("seen") + FLOOR) - tail)).alias("s"),
-    )
-    out = scored.drop("rare", "times").join(add, "row", "left")
-    plus = lambda a, b: F.col(a) + F.coalesce(b, F.lit(0))
-    return out.select("doc_id", "held_out", "n_tokens", plus("n_known", "k").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"), plus("base_score", "b").alias("base_score"), plus("score", "s").alias("score"))
-
-
-def most_frequent(vocabulary: DataFrame, most: int) -> list[tuple[bytes, int]]:
+    met = rare.join(vocabulary.select("word", F.col("c").alias("seen"), "cls"), "word", "left")
+    met = met.select("row", "place", F.coalesce("seen", F.lit(0)).alias("seen"), F.coalesce("cls", (F.crc32(suffix) % TAIL_CLASSES + CLASSES).cast("int")).alias("kind"))
+    met = met.groupBy("row").agg(F.collect_list(F.struct("place", "seen", "kind")).alias("x"))
+    met = met.select("row", *[F.col(f"x.{name}").alias(name) for name in ("place", "seen", "kind")])
+    out = scored.drop("rare").join(met, "row", "left").drop("row")
+    out = out.mapInPandas(add, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def most_frequent(vocabulary: DataFrame, most: int) -> list[tuple[bytes, int, int]]:
     """Words by falling count, at most `most`: a histogram of counts gives the least count that all of them fit above."""
     step = F.floor(F.log2("c") * 64)
     short = vocabulary.where(F.length("word") <= LONGEST)
@@ -288,7 +380,7 @@ def most_frequent(vocabulary: DataFrame, most: int) -> list[tuple[bytes, int]]:
         least = r.step
     if least is None:
         return []
-    return sorted(((bytes(r.word), r.c) for r in short.where(step >= least).collect()), key=lambda x: (-x[1], x[0]))
+    return sorted(((bytes(r.word), r.c, r.cls) for r in short.where(step >= least).collect()), key=lambda x: (-x[1], x[0]))
 
 
 def score_documents(docs: DataFrame, held_out=None) -> DataFrame:
@@ -300,9 +392,11 @@ def score_documents(docs: DataFrame, held_out=None) -> DataFrame:
     sums = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = train.count()
     total, distinct = sums.n + ends, sums.v + (ends > 0)
-    top = most_frequent(vocabulary, LOOKED_UP)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    model = train_model(train, vocabulary, top, parts)
+    learned, classes, counts = learn_classes(train, parts)
+    vocabulary = materialize(with_hashes(vocabulary).join(learned, "hash").select("word", "c", "cls"), "vocabulary-classes")
+    top = most_frequent(vocabulary, LOOKED_UP)
+    model = Model(classes, counts, *class_mass(vocabulary))
     return score(docs, model, vocabulary, top, ends, total, distinct)
 
 

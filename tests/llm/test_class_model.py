@@ -50,3 +50,19 @@ def test_classes_help_and_empty(spark):
     rows = [r for r in C.score_documents(df).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows) * 0.85
     assert C.score_documents(df.limit(0)).count() == 0
+
+
+def test_every_training_word_is_clustered(spark):
+    """Rare words too: 5,000 words of two kinds, each seen four times after a word of its kind, get classes that tell the kinds apart."""
+    import random
+
+    rng = random.Random(1)
+    x, y = ([f"{rng.randrange(10**9)}{k}" for k in range(2500)] for _ in "xy")
+    bags = [rng.sample(kind * 4, 10_000) for kind in (x, y)]
+    texts = [" ".join(w for a, b in zip(bags[0][k : k + 50], bags[1][k : k + 50], strict=True) for w in ("the", a, "to", b)) for k in range(0, 10_000, 50)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").select(C.F.col("text").cast("binary").alias("raw"))
+    learned, _, counts = C.learn_classes(docs, 4)
+    cls = {r["hash"]: r.cls for r in learned.collect()}
+    assert len(cls) == len({*x, *y}) + 2 and counts.sum() == 40_000 + len(texts)
+    of = [{cls[int(h)] for h in C.word_hashes([w.encode() for w in kind]).view(np.int64)} for kind in (x, y)]
+    assert max(max(s) for s in of) < C.CLASSES and not of[0] & of[1]
