@@ -12,9 +12,11 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. It is the session's; only where none is set, a new temporary one."""
+    """The folder that driver and executors share. It is the session's; a temporary one only where all run on this machine."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="tessella-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -34,6 +36,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete materialized tables that nothing will read again: what was made of them is written down itself."""
+    for df in tables:
+        spark = df.sparkSession
+        for path in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+            p, fs = hadoop(spark, path)
+            fs.delete(p, True)
+
+
 def hadoop(spark: SparkSession, path: str):
     """The path as Hadoop knows it, and its file system."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

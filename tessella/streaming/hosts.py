@@ -1,4 +1,4 @@
-"""State per host: hard-failure streaks and adaptive caps, as streams with state, and streaks as a batch of windows."""
+"""State per host: hard-failure streaks, as a stream with state and as a batch of windows."""
 
 from __future__ import annotations
 
@@ -19,8 +19,6 @@ from .ingest import stream_of
 
 #: Failures in a row and seconds they must span before a host is given up; silent hosts need fewer but longer.
 TRIP, TRIP_STALL = (30, 30), (6, 120)
-#: Fixed values of the adaptive cap: first and longest cooldown, memory of strikes, successes a raise, time to full amnesty (seconds).
-COOLDOWN, COOLDOWN_MOST, DECAY, RAISE_EVERY, AMNESTY = 5, 120, 120, 20, 600
 
 
 def outcomes(events: DataFrame) -> DataFrame:
@@ -85,37 +83,6 @@ def watch_hosts(rows: DataFrame, trip: tuple[int, int] = TRIP, stall: tuple[int,
     return rows.groupBy("host").applyInPandasWithState(step, "host string, kind string, at timestamp, failures long", "kind string, n long, first double, dead boolean", "append", "NoTimeout")
 
 
-def cap_step(state: tuple, kind: str, at: float, cap: int) -> tuple:
-    """(cap or -1 for none, strikes, until, last strike, successes) after a strike (429 or stall) or a success."""
-    now, strikes, until, last, good = state
-    if kind == "strike":
-        cooldown = lambda n: min(COOLDOWN * 2 ** (n - 1), COOLDOWN_MOST)
-        if strikes and at < until:  # one burst halves once and can only lengthen the wait
-            return (now, strikes, max(until, at + cooldown(strikes)), at, good)
-        strikes = strikes + 1 if strikes and at - last < DECAY else 1
-        return (max(1, (cap if now < 0 else now) // 2), strikes, max(until, at + cooldown(strikes)), at, 0)
-    if now < 0:
-        return state
-    if at - last >= AMNESTY:
-        return (-1, 0, until, last, 0)
-    good += 1
-    return (min(cap, now + 1) if good % RAISE_EVERY == 0 else now, strikes, until, last, good)
-
-
-def adapt_caps(rows: DataFrame, cap: int) -> DataFrame:
-    """A stream of each host's cap after each batch, from a stream (host, ts, event_id, kind) of strikes and successes."""
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = tuple(state.get) if state.exists else (-1, 0, 0.0, 0.0, 0)
-        own = pd.concat(list(batches)).sort_values(["ts", "event_id"])
-        for kind, ts in zip(own["kind"], own["ts"], strict=True):
-            now = cap_step(now, kind, ts.timestamp(), cap)
-        state.update(now)
-        yield pd.DataFrame([(key[0], cap if now[0] < 0 else now[0], now[1])], columns=["host", "cap", "strikes"])
-
-    return rows.groupBy("host").applyInPandasWithState(step, "host string, cap long, strikes long", "cap long, strikes long, until double, last double, good long", "append", "NoTimeout")
-
-
 def _collected(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     out = new_path(spark, name)
     query = stream.writeStream.foreachBatch(lambda batch, k: batch.write.mode("overwrite").parquet(f"{out}/batch={k}"))
@@ -132,9 +99,3 @@ def stream_host_trips(spark: SparkSession, sf: str) -> DataFrame:
     """The stateful stream, held against the windows of host_trips."""
     rows = _collected(spark, watch_hosts(outcomes(_stream(spark, sf)), (3, 600), (3, 600)), "host-trips")
     return rows.select("host", "kind", F.col("at").cast("timestamp_ntz").alias("tripped_at"), "failures")
-
-
-@query("stream_host_caps")
-def stream_host_caps(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _stream(spark, sf).select(F.col("pds_host").alias("host"), "ts", "event_id", F.when(F.col("event").isin("loaded", "empty"), "success").when(F.col("event") == "failed", "strike").alias("kind"))
-    return _collected(spark, adapt_caps(rows.where("kind is not null"), 16), "host-caps")

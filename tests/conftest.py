@@ -8,8 +8,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from tessella.session import session  # noqa: E402
 from tessella.shipping import ship  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

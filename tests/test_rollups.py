@@ -12,7 +12,7 @@ from tessella.operators.ledger import balanced_parts, upsert
 from tessella.operators.rollups import RollupStore
 from tessella.schemas import POSTS, check_schema, empty
 from tessella.sources import archive
-from tessella.streaming.hosts import cap_step, streak_step
+from tessella.streaming.hosts import streak_step
 from tessella.streaming.ingest import raw_events, start_ingest
 
 T0 = dt.datetime(2024, 5, 1)
@@ -92,11 +92,6 @@ def test_state_machines():
     s = streak_step(s, "dns", 40.0)
     assert s[3] and streak_step(s, "ok", 50.0)[3]
     assert streak_step(("dns", 29, 0.0, False), "stall", 99.0)[1] == 1
-    c = cap_step((-1, 0, 0.0, 0.0, 0), "strike", 0.0, 16)
-    assert c[0] == 8 and cap_step(c, "strike", 1.0, 16)[0] == 8
-    for k in range(20):
-        c = cap_step(c, "success", 10.0 + k, 16)
-    assert c[0] == 9 and cap_step(c, "success", 1000.0, 16)[0] == -1
 
 
 def test_balance_and_upsert(spark):
