@@ -28,8 +28,9 @@ from .tokens import encoder, public_path
 
 END = 1
 MAGIC = b"TOKZ0001"
-#: The dictionary is fitted on about SAMPLE documents, of which it sees up to SAMPLE_CHARS characters each.
-SAMPLE, SAMPLE_CHARS, DICTIONARY_BYTES, LEVEL = 1000, 4000, 64 * 1024, 3
+#: The dictionary is fitted on about SAMPLE documents, encoded whole, of which it sees up to SLICES slices of SLICE_IDS ids
+#: spread over the whole length.
+SAMPLE, SLICES, SLICE_IDS, DICTIONARY_BYTES, LEVEL = 1000, 4, 500, 64 * 1024, 3
 _HEAD, _ENTRY, _TAIL = "<8sB32s", "<BqQII", "<QI8s"
 
 
@@ -43,9 +44,20 @@ def train_dictionary(docs: DataFrame, file: str, sample: int = SAMPLE, dtype: st
     """A dictionary from serialized id arrays of a bounded sample: documents whose hash falls in a share of the range."""
     import zstandard
 
+    width = int(dtype[-1])
+
+    def slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for ids in encoder(file, dtype).many([x if isinstance(x, str) else None for x in pdf["text"]]):
+                n = len(ids) // width
+                step = max(-(-n // SLICES), SLICE_IDS)
+                out += [ids[k * width : (k + SLICE_IDS) * width] for k in range(0, n, step)]
+            yield pd.DataFrame({"ids": out})
+
     every = max(1, docs.count() // sample)
-    rows = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(every)) == 0).select(F.substring("text", 1, SAMPLE_CHARS).alias("text")).limit(2 * sample).collect()
-    arrays = [x for x in encoder(file, dtype).many([r.text for r in rows]) if x]
+    rows = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(every)) == 0).select("text")
+    arrays = sorted(bytes(r.ids) for r in rows.mapInPandas(slices, "ids binary").limit(2 * SLICES * sample).collect())
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, arrays, level=LEVEL).as_bytes()
     except zstandard.ZstdError:  # too little to train on: the arrays themselves are the dictionary

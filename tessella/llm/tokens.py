@@ -1,7 +1,10 @@
 """Token ids of whole texts by a public tokenizer, by way of its distinct pieces.
 
 Both vocabularies cut a text at white space before any merge, so the ids of a text are the ids of its pieces in turn.
-Each distinct piece is encoded once a worker by the tokenizers library; a text is then a join of byte strings.
+Each distinct piece is encoded once a worker by the tokenizers library; a text is then a join of byte strings. A text
+that holds the string of a special token goes through the library whole, which makes that string its special id.
+
+Defined cases: null is the empty text, which has no ids; texts of any length are encoded whole; equal texts get equal ids.
 """
 
 from __future__ import annotations
@@ -45,7 +48,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True
+        special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special)) if special else r"(?!)")
         self.dtype = dtype
         self.pieces = _BYTE_PIECES if "byte_bpe" in os.path.basename(file) else _WORD_PIECES
         self.known: dict[str, bytes] = {}
@@ -70,7 +74,8 @@ class Encoder:
         known, rest, signed = self.known, set(), []
         for piece in new:
             core = piece.rstrip(_SIGNS)
-            if core == piece or not core.removeprefix(" ").isalpha():
+            # a letter may end in a mark once it is lower-cased (U+0130 does), and marks go with the signs after them
+            if core == piece or not core.removeprefix(" ").isalpha() or not core[-1].lower().isalpha():
                 if not self.learn_word(piece):
                     rest.add(piece)
                 continue
@@ -96,8 +101,7 @@ class Encoder:
 
         encode = self.tokenizer.encode_batch_fast
         odd = [piece for piece in new if self.odd.search(piece)]
-        for piece, e in zip(odd, encode(odd, add_special_tokens=False), strict=True):
-            self.known[piece] = np.array(e.ids, self.dtype).tobytes()
+        self.known.update((piece, self.whole(piece)) for piece in odd)
         plain = [piece for piece in new if not self.odd.search(piece)] if odd else new
         width = int(self.dtype[-1])
         for k in range(0, len(plain), 5000):
@@ -108,10 +112,17 @@ class Encoder:
             raw = ids.tobytes()
             self.known.update(zip(block, [raw[a:b] for a, b in zip((start * width).tolist(), (stop * width).tolist(), strict=True)], strict=True))
 
+    def whole(self, text: str) -> bytes:
+        import numpy as np
+
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
     def many(self, texts: list[str | None]) -> list[bytes]:
         out = []
         for k in range(0, len(texts), 50):
-            cuts = [self.pieces.findall(text or "") for text in texts[k : k + 50]]
+            block = texts[k : k + 50]
+            odd = {j for j, text in enumerate(block) if self.special.search(text or "")}
+            cuts = [() if j in odd else self.pieces.findall(text or "") for j, text in enumerate(block)]
             every = set().union(*cuts)
             new = [piece for piece in every if piece not in self.known]
             if len(self.known) + len(new) > REMEMBERED:
@@ -119,7 +130,7 @@ class Encoder:
             if new:
                 self.learn(new)
             get = self.known.__getitem__
-            out += [b"".join(map(get, cut)) for cut in cuts]
+            out += [self.whole(block[j]) if j in odd else b"".join(map(get, cut)) for j, cut in enumerate(cuts)]
         return out
 
 

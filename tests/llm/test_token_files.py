@@ -1,19 +1,26 @@
 import zlib
+from functools import cache
 
 import numpy as np
 from corpus import SCHEMA, corpus
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tessella.llm import token_files as T
 from tessella.llm.tokens import encoder, public_path
 from tessella.storage import new_path
 
 
-def ids_of(texts, name):
+@cache
+def library(name):
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(public_path(name))
-    t.encode_special_tokens = True
-    return [[*e.ids, 1] for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
+    return Tokenizer.from_file(public_path(name))
+
+
+def ids_of(texts, name):
+    t = library(name)
+    return [[*t.encode(x or "", add_special_tokens=False).ids, 1] for x in texts]
 
 
 def test_encoder_equals_library():
@@ -23,6 +30,16 @@ def test_encoder_equals_library():
         assert got == [x[:-1] for x in ids_of(odd, name)]
 
 
+PARTS = ["<|endoftext|>", "<|startoftext|>", "MERKEZ\u0130", "\u0130", "gaz\u0131", "Stra\u00dfe", "\u03a3\u03b1\u03c2", "e\u0301", "\u0307", "\u0338", "\u200d", "don't", "we'LL", "o'clock", "a", "Bc", "123", "4\u00bd", "\u4e2d\u6587", "\U0001f600", "\x01", "\x85", "\xa0", "\u3000", "\r\n", "\t", " ", "  ", ".", ",", "...", "!?", "-", "_", "#", "'", "\"", "<|", "|>", "="]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(PARTS) | st.text(max_size=3), max_size=12).map("".join))
+def test_any_text_equals_library(text):
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        assert [*np.frombuffer(encoder(public_path(name)).many([text])[0], "<u2").tolist(), 1] == ids_of([text], name)[0]
+
+
 def test_round_trip(spark):
     rows = corpus(7)
     docs = spark.createDataFrame(rows[::-1], SCHEMA).repartition(5)
