@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..storage import materialize, new_path, shared_dir
+from ..storage import discard, materialize, new_path, shared_dir
 
-__all__ = ["SPACES", "SPACE_CLASS", "WORD_CLASS", "fold", "join_checked", "materialize", "n_words_of", "new_path", "running_sum", "salt_bits", "shared_dir", "small_enough", "words_of"]
+__all__ = ["SPACES", "SPACE_CLASS", "WORD_CLASS", "discard", "fold", "join_checked", "materialize", "n_words_of", "new_path", "running_sum", "salt_bits", "shared_dir", "slice_sums", "small_enough", "words_of"]
 
 #: The six characters that separate words, as a class for Java regular expressions and as text.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
@@ -35,19 +35,30 @@ def salt_bits(rows: int) -> int:
     return max(rows, 1).bit_length() // 2
 
 
-def running_sum(df: DataFrame, key: str, order: str, ties: list[str], value: str, out: str, rows: int) -> DataFrame:
+def _slice(order: str, rows: int) -> Column:
+    return F.shiftright(order, 64 - salt_bits(rows)) if salt_bits(rows) else F.lit(0).cast("long")
+
+
+def slice_sums(df: DataFrame, key: str, order: str, value: str, rows: int) -> DataFrame:
+    """(_part, _slice2, _base): for each slice of each key, the sum of `value` over the key's slices before it."""
+    before = Window.partitionBy("_part").orderBy("_slice2").rowsBetween(Window.unboundedPreceding, -1)
+    base = df.groupBy(key, _slice(order, rows).alias("_slice2")).agg(F.sum(value).alias("_sum"))
+    base = base.select(F.xxhash64(F.col(key), F.col(key).isNull()).alias("_part"), "_slice2", "_sum")
+    return base.select("_part", "_slice2", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
+
+
+def running_sum(df: DataFrame, key: str, order: str, ties: list[str], value: str, out: str, rows: int, base: DataFrame | None = None) -> DataFrame:
     """`out`: sum of `value` over the rows of the same `key` before this one, by `order` (a uniform 64-bit hash), then `ties`.
 
     A key may hold any share of all rows: each is cut along its order into slices that grow in number with the
-    rows; slice totals are summed first, then rows within their slice. No task sees a whole key.
+    rows; slice totals (`base`, by slice_sums) are summed first, then rows within their slice. No task sees a whole key.
+    Keys go by a 64-bit hash, so that rows are dealt out once, by (hash, slice), for the join and the window.
     """
-    sliced = df.withColumn("_slice", F.shiftright(order, 64 - salt_bits(rows)) if salt_bits(rows) else F.lit(0).cast("long"))
-    before = Window.partitionBy("_key").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    base = sliced.groupBy(F.col(key).alias("_key"), F.col("_slice")).agg(F.sum(value).alias("_sum"))
-    base = base.select("_key", F.col("_slice").alias("_slice2"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
-    within = Window.partitionBy(key, "_slice").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
-    joined = sliced.join(base, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_slice") == F.col("_slice2")))
-    return joined.withColumn(out, F.col("_base") + F.coalesce(F.sum(value).over(within), F.lit(0))).drop("_slice", "_slice2", "_key", "_base")
+    base = slice_sums(df, key, order, value, rows) if base is None else base
+    sliced = df.withColumn("_own", F.xxhash64(F.col(key), F.col(key).isNull())).withColumn("_slice", _slice(order, rows))
+    within = Window.partitionBy("_own", "_slice").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
+    joined = sliced.join(base, (F.col("_own") == F.col("_part")) & (F.col("_slice") == F.col("_slice2")))
+    return joined.withColumn(out, F.col("_base") + F.coalesce(F.sum(value).over(within), F.lit(0))).drop("_own", "_slice", "_slice2", "_part", "_base")
 
 
 def small_enough(df: DataFrame, most: int) -> bool:

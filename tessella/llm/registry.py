@@ -17,4 +17,4 @@ QUERIES = {
     "op10_ngram_join": ngram_join.op10,
 }
 
-ORACLES = {"op5_quality_rules": quality_rules.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op4_embedding_dedup": embedding_dedup.ORACLE, "op10_ngram_join": ngram_join.ORACLE}
+ORACLES = {"op3_mixing": mixing.ORACLE, "op5_quality_rules": quality_rules.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op4_embedding_dedup": embedding_dedup.ORACLE, "op10_ngram_join": ngram_join.ORACLE}
