@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD_CLASS, join_checked, materialize, small_enough
+from .common import WORD_CLASS, materialize
 from .quality_rules import has_word, line_hash
 
 WORDS = 50
@@ -30,35 +30,50 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def windows(docs: DataFrame, words: int) -> DataFrame:
-    """A row for each window: place, fingerprint and its place, hash of its lines, and the lines after it."""
+    """A row for each line with a word: its place, whether a window starts there, that window's last line, fingerprint,
+    the fingerprint's place (a hash) and the hash of its lines; and the lines after this one, within `words` words."""
     parts = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x, i: F.struct(i.alias("i"), line_hash(x).alias("h"), F.regexp_count(x, F.lit(WORD_CLASS)).cast("long").alias("n")))
     lines = keyed(docs).select("doc_id", "k1", "k2", F.explode(F.filter(parts, lambda x: x.n > 0)).alias("x"))
     lines = lines.select("doc_id", "k1", "k2", "x.i", "x.h", "x.n").distinct()
     doc = Window.partitionBy("k1", "k2")
     lines = lines.withColumn("at", F.sum("n").over(doc.orderBy("i")) - F.col("n")).withColumn("total", F.sum("n").over(doc))
     after = F.collect_list(F.struct("i", "h", "at")).over(doc.orderBy("at").rowsBetween(1, words - 1))
-    end = F.col("at") + F.col("n")
-    lines = lines.withColumn("after", F.filter(after, lambda x: x.at < end + words))
+    stop = F.col("at") + F.col("n") + words
+    lines = lines.withColumn("after", F.transform(F.filter(after, lambda x: x.at < stop), lambda x: F.struct(x.i.alias("i"), x.h.alias("h"))))
     span = doc.orderBy("at").rangeBetween(0, words - 1)
     least = F.min(F.struct("h", "i")).over(span)
-    out = lines.withColumn("least", least).withColumn("lines", F.xxhash64(F.collect_list("h").over(span)))
-    out = out.withColumn("tail", F.last(F.struct("i", "after")).over(span)).where(F.col("at") + words <= F.col("total"))
-    return out.select("doc_id", "k1", "k2", F.col("i").alias("start"), F.col("tail.i").alias("end"), F.col("least.h").alias("mark"), F.col("least.i").alias("mark_at"), "lines", F.col("tail.after").alias("after"))
+    out = lines.withColumn("least", least).withColumn("lines", F.xxhash64(F.collect_list("h").over(span))).withColumn("end", F.last("i").over(span))
+    return out.select(
+        "doc_id", "k1", "k2", F.col("i").alias("start"), "end", (F.col("at") + words <= F.col("total")).alias("whole"),
+        F.col("least.h").alias("mark"), F.xxhash64("k1", "k2", "least.i").alias("mark_at"), "lines", "after",
+    )
 
 
 def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(k1, k2, runs, n_runs): runs of lines to delete, first and last line, for each document that has any."""
+    """(k1, k2, runs): runs of lines to delete, first and last line, for each document that has any.
+
+    Every join is of two written tables on a hash, so Spark deals both out and splits the part of a hot key. Windows
+    travel without lines; the lines after a window are fetched for those that match.
+    """
     every = materialize(windows(docs, words), "line-windows")
-    marks = every.select("mark", "k1", "k2", "mark_at").distinct().groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark")
-    met = join_checked(every, materialize(marks, "line-marks"), "mark", "left_semi", 500_000)
+    own = every.where("whole").select("doc_id", "k1", "k2", "start", "end", "mark", "mark_at", "lines")
+    marks = own.groupBy("mark").agg(F.min("mark_at").alias("low"), F.max("mark_at").alias("high")).where("low <> high").select("mark")
+    met = own.drop("mark_at").join(materialize(marks, "line-marks"), "mark", "left_semi").drop("mark")
     met = materialize(met, "windows-met")
     place = F.struct("doc_id", "k2", "start")
-    first = met.groupBy("lines").agg(F.min(F.struct(place.alias("place"), F.col("after.h").alias("h"))).alias("first"), F.count("*").alias("n")).where("n > 1")
-    later = met.join(first.select("lines", "first"), "lines").where(~place.eqNullSafe(F.col("first.place")))
-    differs = F.array_position(F.zip_with("after", "first.h", lambda x, y: F.coalesce(x.h == y, F.lit(False))), False)
+    first = met.groupBy("lines").agg(F.min(F.struct("doc_id", "k2", "start", "k1", "end")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    first = materialize(first.select("lines", "first"), "first-windows")
+    later = met.join(first, "lines").where(~place.eqNullSafe(F.struct("first.doc_id", "first.k2", "first.start")))
+    later = materialize(later.select("lines", "k1", "k2", "start", "end"), "later-windows")
+    ends = later.select("k1", "k2", "end").unionByName(first.select("first.k1", "first.k2", "first.end")).distinct()
+    tails = every.select("k1", "k2", F.col("start").alias("end"), "after").join(materialize(ends, "line-ends"), ["k1", "k2", "end"], "left_semi")
+    tails = materialize(tails, "line-tails")
+    first = first.select("lines", "first.k1", "first.k2", "first.end").join(tails, ["k1", "k2", "end"]).select("lines", F.col("after.h").alias("h"))
+    later = later.join(tails, ["k1", "k2", "end"]).join(materialize(first, "first-tails"), "lines")
+    differs = F.array_position(F.zip_with("after", "h", lambda x, y: F.coalesce(x.h == y, F.lit(False))), False)
     more = F.when(differs > 0, differs - 1).otherwise(F.size("after")).cast("int")
     last = F.when(more > 0, F.element_at(F.col("after.i"), F.greatest(more, F.lit(1)))).otherwise(F.col("end"))
-    runs = later.select("k1", "k2", "start", F.coalesce(last, F.col("end")).alias("last"))
+    runs = later.select("k1", "k2", "start", last.alias("last"))
     before = Window.partitionBy("k1", "k2").orderBy("start", "last").rowsBetween(Window.unboundedPreceding, -1)
     upto = Window.partitionBy("k1", "k2").orderBy("start", "last").rowsBetween(Window.unboundedPreceding, 0)
     runs = runs.withColumn("new", F.coalesce(F.col("start") > F.max("last").over(before) + 1, F.lit(True)).cast("int"))
@@ -66,39 +81,31 @@ def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return runs.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "last")).alias("runs"))  # at most half a text's lines
 
 
-def with_runs(docs: DataFrame, words: int = WORDS, most: int = 200_000) -> DataFrame:
-    """Adds `_runs` and `_kept_text`. Only texts with runs are shuffled while their keys are few enough to broadcast."""
-    runs = materialize(repeated_runs(docs.select("doc_id", "text"), words).toDF("_k1", "_k2", "_runs"), "line-runs")
-    names, keys = docs.columns, ["_k1", "_k2"]
-    rows = docs.withColumn("_k1", F.xxhash64("doc_id", "text")).withColumn("_k2", F.xxhash64("text"))
-    none = F.lit(None).cast(runs.schema["_runs"].dataType)
-    if small_enough(runs, most):
-        few = F.broadcast(runs.select(*keys))
-        rest = rows.join(few, keys, "left_anti").select(*names, none.alias("_runs"))
-        rows = rows.join(few, keys, "left_semi").join(runs, keys).select(*names, "_runs").unionByName(rest)
-    else:
-        rows = rows.join(runs, keys, "left").select(*names, "_runs")
-    inside = lambda i: F.exists("_runs", lambda r: (i >= r.start) & (i <= r["last"]))
+def with_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """doc (all columns of a row), runs (null where none) and kept_text."""
+    runs = materialize(repeated_runs(docs.select("doc_id", "text"), words), "line-runs")
+    keys = [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text").alias("k2")]
+    rows = docs.select(F.struct("*").alias("doc"), "text", *keys).join(runs, ["k1", "k2"], "left")
+    inside = lambda i: F.exists("runs", lambda r: (i >= r.start) & (i <= r["last"]))
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~inside(i)), "\n")
-    return rows.withColumn("_kept_text", F.when(F.col("_runs").isNull(), F.col("text")).otherwise(kept))
+    return rows.select("doc", "runs", F.when(F.col("runs").isNull(), F.col("text")).otherwise(kept).alias("kept_text"))
 
 
 def dedup_lines(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """The documents without later repeated runs; those of which no word is left go. Columns as they were, n_chars renewed."""
-    out = with_runs(docs, words).where(F.col("_runs").isNull() | has_word(F.col("_kept_text"))).withColumn("text", F.col("_kept_text"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*docs.columns)
+    out = with_runs(docs, words).where(F.col("runs").isNull() | has_word(F.col("kept_text")))
+    new = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}
+    return out.select(*[new.get(c, F.col("doc").getField(c)).alias(c) for c in docs.columns])
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    text = F.coalesce("text", F.lit(""))
-    kept = F.coalesce("_kept_text", F.lit(""))
+    text = F.coalesce("doc.text", F.lit(""))
+    kept = F.coalesce("kept_text", F.lit(""))
     lines = lambda t: F.size(F.filter(F.split(t, "\n"), has_word)).cast("long")
     return with_runs(docs).select(
-        "doc_id", lines(text).alias("n_lines"), (lines(text) - F.when(F.col("_runs").isNull(), lines(text)).otherwise(lines(kept))).alias("n_removed_lines"),
-        F.coalesce(F.size("_runs"), F.lit(0)).cast("long").alias("n_runs"), F.sha2(kept.cast("binary"), 256).alias("kept_sha256"),
+        "doc.doc_id", lines(text).alias("n_lines"), (lines(text) - F.when(F.col("runs").isNull(), lines(text)).otherwise(lines(kept))).alias("n_removed_lines"),
+        F.coalesce(F.size("runs"), F.lit(0)).cast("long").alias("n_runs"), F.sha2(kept.cast("binary"), 256).alias("kept_sha256"),
     )
 
 

@@ -1,6 +1,7 @@
 import re
 
 from corpus import SCHEMA, corpus, text
+from pyspark.sql import functions as F
 from random import Random
 
 from tessella.llm import line_dedup as L
@@ -49,12 +50,10 @@ def test_brute_force(spark):
     rows += [(300 + k, text(rng, 2, 12) + "\n" + shared + f"\n{text(rng, 1, 10)}\n\n" + "\n".join(shared.split("\n")[k % 4 :]), "en", "s", 1) for k in range(8)]
     df = spark.createDataFrame(rows, SCHEMA)
     for need in (50, 20):
-        got = {r.doc_id: r._kept_text or "" for r in L.with_runs(df, need).collect()}
+        got = {r.doc.doc_id: r.kept_text or "" for r in L.with_runs(df, need).collect()}
         assert got == brute([(r[0], r[1]) for r in rows], need)
-    small = {r.doc_id: r._kept_text or "" for r in L.with_runs(df, 50, most=0).collect()}
-    assert small == brute([(r[0], r[1]) for r in rows], 50)
-    out = L.dedup_lines(df.withColumnRenamed("lang", "runs").withColumnRenamed("source", "k1"))
-    assert out.columns == ["doc_id", "text", "runs", "k1", "n_chars"] and {r.k1 for r in out.collect()} == {r[3] for r in rows}
+    out = L.dedup_lines(df.withColumnRenamed("lang", "runs").withColumnRenamed("source", "k1").withColumn("doc", F.lit(1)).withColumn("kept_text", F.lit("a")))
+    assert out.columns == ["doc_id", "text", "runs", "k1", "n_chars", "doc", "kept_text"] and {r.k1 for r in out.collect()} == {r[3] for r in rows}
     want = brute([(r[0], r[1]) for r in rows], 50)
     assert sorted(r.doc_id for r in out.collect()) == [r[0] for r in rows if want[r[0]].split() or want[r[0]] == (r[1] or "")]
     assert L.dedup_lines(df.limit(0)).count() == 0
