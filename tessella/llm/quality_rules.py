@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, join_checked, materialize, words_of
+from .common import SPACES, materialize, words_of
 
 MIN_WORDS = 50
 #: A line is above its host's limit in more than this share of the host's texts, and in more than LEAST_TEXTS.
@@ -60,9 +60,9 @@ def line_hash(line: Column) -> Column:
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """Adds the base counts, `_text_key`, and `_lines`: hash and words of each distinct normalised line."""
+    """doc_id, source, the base counts, `_text_key`, and `_lines`: hash and words of each line with a word."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    df = docs.withColumn("_text", text).withColumn("words", words_of(F.col("text")))
+    df = docs.select("doc_id", "source", "text").withColumn("_text", text).withColumn("words", words_of(F.col("text")))
     df = df.withColumn("n_words", F.size("words").cast("long"))
     df = df.withColumn("word_chars", F.length(F.translate("_text", SPACES, "")).cast("long"))
     df = df.withColumn("n_symbols", (F.length("_text") - F.length(F.translate("_text", "#*$%&|<>", ""))).cast("long"))
@@ -71,7 +71,7 @@ def measure(docs: DataFrame) -> DataFrame:
     df = df.withColumn("n_dup_lines", (F.size("_split") - F.size(F.array_distinct("_split"))).cast("long"))
     df = df.withColumn("_lines", F.transform("_split", lambda x: F.struct(line_hash(x).alias("line"), F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("n"))))
     df = df.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
-    return df.withColumn("_text_key", F.xxhash64("text")).drop("_text", "_split")
+    return df.withColumn("_text_key", F.xxhash64("text")).drop("text", "_text", "_split")
 
 
 def frequent_lines(measured: DataFrame, share: float = LINE_SHARE, least: int = LEAST_TEXTS) -> DataFrame:
@@ -89,36 +89,33 @@ def verdicts(measured: DataFrame, share: float = LINE_SHARE, least: int = LEAST_
     keys = ["doc_id", "_host", "_text_key"]
     rows = measured.withColumn("_host", F.coalesce("source", F.lit("\u0000")))
     lines = rows.dropDuplicates(keys).select(*keys, F.explode("_lines").alias("x")).select(*keys, F.col("x.line").alias("line"), F.col("x.n").alias("n"))
-    lines = join_checked(lines, frequent.select(F.col("host").alias("_host"), "line"), ["_host", "line"], "inner")
+    lines = lines.join(frequent.select(F.col("host").alias("_host"), "line"), ["_host", "line"])
     hit = lines.groupBy(*keys).agg(F.sum("n").alias("removed_words"), F.collect_set("line").alias("_removed"))
     hit = hit.select(F.col("doc_id").alias("_id"), F.col("_host").alias("_h2"), F.col("_text_key").alias("_k2"), "removed_words", "_removed")
     hit = materialize(hit, "line-hits")
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_host") == F.col("_h2")) & (F.col("_text_key") == F.col("_k2"))
-    rows = join_checked(rows, hit, on, "left").drop("_id", "_h2", "_k2", "_host")
+    rows = rows.drop("_lines").join(hit, on, "left").drop("_id", "_h2", "_k2", "_host")
     rows = rows.withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col("removed_words") >= keep_part * F.col("n_words")))
 
 
 def apply_rules(docs: DataFrame) -> DataFrame:
     """The documents that are kept, without the lines above their host's limit; columns as they were, n_chars renewed."""
-    names = docs.columns
     # a short row a document is measured and judged; texts meet the verdicts once
-    short = materialize(measure(docs.select("doc_id", "source", "text")).drop("text"), "rules-measured")
+    short = materialize(measure(docs), "rules-measured")
     good = verdicts(short).where("kept").select(F.col("doc_id").alias("_id"), F.col("source").alias("_s2"), F.col("_text_key").alias("_k2"), "_removed")
-    good = good.dropDuplicates(["_id", "_s2", "_k2"])
-    rows = docs.withColumn("_text_key", F.xxhash64("text"))
-    on = rows["doc_id"].eqNullSafe(good["_id"]) & rows["source"].eqNullSafe(good["_s2"]) & (rows["_text_key"] == good["_k2"])
-    rows = rows.join(good, on)
+    good = materialize(good.dropDuplicates(["_id", "_s2", "_k2"]), "rules-kept")
+    rows = docs.select(F.struct("*").alias("_doc"), "doc_id", "source", "text", F.xxhash64("text").alias("_text_key"))
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_s2")) & (F.col("_text_key") == F.col("_k2"))
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~has_word(x) | ~F.array_contains(F.col("_removed"), line_hash(x))), "\n")
-    out = rows.withColumn("text", F.when(F.col("_removed").isNotNull(), left).otherwise(F.col("text")))
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*names)
+    out = rows.join(good, on).select("_doc", F.when(F.col("_removed").isNotNull(), left).otherwise(F.col("text")).alias("_left"))
+    new = {"text": F.col("_left"), "n_chars": F.length("_left").cast("long")}
+    return out.select(*[new.get(c, F.col("_doc").getField(c)).alias(c) for c in docs.columns])
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", "text")
-    measured = materialize(measure(docs).drop("text"), "rules-measured")
+    measured = materialize(measure(docs), "rules-measured")
     return verdicts(measured).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
 
 

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 from corpus import SCHEMA, corpus, sentence
+from pyspark.sql import functions as F
 from random import Random
 
 from tessella.llm import quality_rules as R
@@ -20,7 +21,7 @@ def base(text):
 def test_base(spark):
     rows = corpus(5) + [(500 + k, " ".join(Random(k).choice("abc") for _ in range(60)) + " # | $", "en", "s", 1) for k in range(10)]
     df = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA + ", words int")
-    got = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in R.measure(df.drop("words")).collect()}
+    got = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in R.measure(df).collect()}
     assert got == {r[0]: base(r[1]) for r in rows}
 
 
@@ -37,4 +38,6 @@ def test_line_limits(spark):
     assert all(got[200 + k].kept for k in range(40))
     out = {r.doc_id: r.text for r in R.apply_rules(df).collect()}
     assert sorted(out) == [*range(90), *range(200, 240)] and "Common" not in out[3] and out[3] in rows[3][1]
+    clash = df.withColumns({n: F.lit("z") for n in ("_id", "_s2", "_k2", "_doc", "_left", "_removed", "_host", "words", "kept", "_text_key")})
+    assert R.apply_rules(clash).columns == clash.columns and {r.doc_id: r.text for r in R.apply_rules(clash).collect()} == out
     assert R.apply_rules(df.limit(0)).count() == 0 and R.apply_rules(df).columns == df.columns
