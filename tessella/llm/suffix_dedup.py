@@ -10,7 +10,11 @@ it have every string repeated. Pass 3: within the groups of pass 1, the last dig
 around a minimum against those at the same distance; equal groups are exactly the repeated strings. A group is ordered
 in memory up to `GROUP` surroundings; the last digits of larger groups are counted by Spark, a row a string.
 
-Bytes are compared by 64-bit hashes of digits. Defined cases: null text is empty; texts shorter than `length` lose
+Passages of words are found beside, by winnowing: of the hashes of all runs of RUN words the least of each RUN_WINDOW
+neighbours is a fingerprint, so two texts that share RUN + RUN_WINDOW - 1 words in a row share one.
+
+Bytes are compared by 64-bit hashes of digits. Every join is of written tables or plain rows on hashes, dealt out by Spark,
+whose adaptive plans split the part of a hot one. Defined cases: null text is empty; texts shorter than `length` lose
 nothing; rows that repeat an id are documents of their own; an empty table gives an empty result.
 """
 
@@ -24,15 +28,19 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_checked, materialize, small_enough
+from .common import discard, materialize
 
 LENGTH, WINDOW, GRAM = 400, 256, 8
+#: Words of a fingerprint, and runs of which one gives it: every passage of 50 words has one.
+RUN, RUN_WINDOW = 25, 26
 #: Surroundings of one group that are ordered in one task's memory (about 6 kB each).
 GROUP = 10_000
 _PLACE = np.uint64((1 << 28) - 1)
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _BASE = 0xD1342543DE82EF95
 
+_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+
 _powers: dict[str, np.ndarray] = {}
 
 
@@ -58,22 +66,48 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def anchors(text: bytes, length: int, window: int) -> tuple[np.ndarray, ...] | None:
+def prefix_hashes(text: bytes) -> np.ndarray:
+    table, up, _ = powers(len(text) + 1)
+    prefix = np.zeros(len(text) + 1, np.uint64)
+    np.cumsum(table[np.frombuffer(text, np.uint8)] * up[: len(text)], out=prefix[1:])
+    return prefix
+
+
+def window_minima(value: np.ndarray, window: int) -> np.ndarray:
+    """Places of the least value of each `window` neighbours; the lower bits of a value give way to its place."""
+    value = (value & ~_PLACE) | np.arange(len(value), dtype=np.uint64)
+    step = 1
+    while step < window:
+        near = min(step, window - step)
+        value = np.minimum(value[:-near], value[near:])
+        step *= 2
+    return (value[np.concatenate(([True], value[1:] != value[:-1]))] & _PLACE).astype(np.int64)
+
+
+def fingerprints(text: bytes, prefix: np.ndarray) -> np.ndarray:
+    """Distinct hashes of the runs of RUN words that are least among RUN_WINDOW neighbours."""
+    space = np.concatenate(([True], _SPACE[np.frombuffer(text, np.uint8)], [True]))
+    edge = np.flatnonzero(space[1:] != space[:-1])
+    start, stop = edge[::2], edge[1::2]
+    if len(start) < RUN + RUN_WINDOW - 1:
+        return np.zeros(0, np.uint64)
+    _, up, down = powers(len(text) + 1)
+    word = mixed((prefix[stop] - prefix[start]) * down[start] + (stop - start).astype(np.uint64))
+    sums = np.zeros(len(word) + 1, np.uint64)
+    np.cumsum(word * up[: len(word)], out=sums[1:])
+    runs = mixed((sums[RUN:] - sums[:-RUN]) * down[: len(word) - RUN + 1])
+    return np.unique(runs[window_minima(runs, RUN_WINDOW)])
+
+
+def anchors(text: bytes, length: int, window: int, prefix: np.ndarray | None = None) -> tuple[np.ndarray, ...] | None:
     """Places of the window minima; strings around each start `low` to `high` bytes before it; first digit, whole digit."""
     n = len(text)
     if n < length:
         return None
-    table, up, down = powers(n + 1)
+    _, _, down = powers(n + 1)
     grams = np.ndarray((n - GRAM + 1,), "<u8", buffer=text, strides=(1,))
-    value = (mixed(grams * _C2) & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
-    value = value[: n - length + window]
-    step = 1
-    while step < window:
-        value = np.minimum(value[:-step], value[step:])
-        step *= 2
-    at = (value[np.concatenate(([True], value[1:] != value[:-1]))] & _PLACE).astype(np.int64)
-    prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum(table[np.frombuffer(text, np.uint8)] * up[:n], out=prefix[1:])
+    at = window_minima(mixed(grams * _C2)[: n - length + window], window)
+    prefix = prefix_hashes(text) if prefix is None else prefix
     first = mixed((prefix[at + length - window + 1] - prefix[at]) * down[at])
     start, end = np.maximum(at - window + 1, 0), np.minimum(at + length, n)
     whole = mixed((prefix[end] - prefix[start]) * down[start] + mixed(((at - start) * 4096 + end - at).astype(np.uint64)))
@@ -85,26 +119,39 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def suffixes(docs: DataFrame, length: int, window: int) -> DataFrame:
-    """(k1, k2, first, whole, n): the digits of each text's suffixes, equal ones of a text counted."""
+    """(k1, k2, first, whole, n): the digits of each text's suffixes, equal ones of a text counted; fingerprints of words
+    as `first` with n = 0."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ("k1", "k2", "first", "whole", "n")
         for pdf in batches:
             out, rows = [], 0
             for k1, k2, text in zip(pdf["k1"], pdf["k2"], pdf["bytes"], strict=True):
-                if (found := anchors(text, length, window)) is None:
-                    continue
-                whole, index, n = np.unique(found[4], return_index=True, return_counts=True)
-                out.append((np.full(len(n), k1), np.full(len(n), k2), _signed(found[3][index]), _signed(whole), n))
-                rows += len(n)
+                prefix = prefix_hashes(text)
+                parts = [(marks := _signed(fingerprints(text, prefix)), np.zeros(len(marks), np.int64), np.zeros(len(marks), np.int64))]
+                if (found := anchors(text, length, window, prefix)) is not None:
+                    whole, index, n = np.unique(found[4], return_index=True, return_counts=True)
+                    parts.append((_signed(found[3][index]), _signed(whole), n))
+                for first, whole, n in parts:
+                    out.append((np.full(len(n), k1), np.full(len(n), k2), first, whole, n))
+                    rows += len(n)
                 if rows > 200_000:
-                    yield pd.DataFrame(dict(zip(("k1", "k2", "first", "whole", "n"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+                    yield pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*out, strict=True)), strict=True)))
                     out, rows = [], 0
             if out:
-                yield pd.DataFrame(dict(zip(("k1", "k2", "first", "whole", "n"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+                yield pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*out, strict=True)), strict=True)))
 
     return docs.mapInPandas(run, "k1 long, k2 long, first long, whole long, n long")
 
 
+def shared_passages(rows: DataFrame) -> DataFrame:
+    """(k1, k2, n_passages): how many of a text's fingerprints other documents hold as well; exact copies count."""
+    prints = rows.where("n = 0").select("k1", "k2", "first")
+    shared = prints.groupBy("first").agg(F.count("*").alias("c")).where("c > 1").select("first")
+    held = prints.join(materialize(shared, "shared-prints"), "first", "left_semi").distinct()
+    return held.groupBy("k1", "k2").agg(F.count("*").alias("n_passages"))
+
+
 def surroundings(asked: DataFrame, length: int, window: int) -> DataFrame:
     """(first, whole, low, high, around) for the asked suffixes of each text; `around` is padded to a fixed width."""
 
@@ -230,68 +277,63 @@ def cover(text: bytes, marks: dict[int, bytes | None], length: int, window: int)
     return np.cumsum(edge[:-1]) > 0
 
 
-def repeated_marks(keyed: DataFrame, length: int = LENGTH, window: int = WINDOW, group: int = GROUP) -> DataFrame:
+def repeated_marks(keyed: DataFrame, rows: DataFrame, length: int = LENGTH, window: int = WINDOW, group: int = GROUP) -> DataFrame:
     """(k1, k2, digits, masks): for each text with repeated strings, its suffixes' whole digits and masks (null: all)."""
-    rows = materialize(suffixes(keyed, length, window), "suffix-digits")
+    rows = rows.where("n > 0")
     # pass 2 is counted before pass 1, so that copies shrink to a row before groups meet
-    counted = rows.groupBy("first", "whole").agg(F.sum("n").alias("c"))
-    groups = counted.groupBy("first").agg(F.count("*").alias("m")).where("m > 1")
-    counted = counted.join(groups, "first", "left").withColumn("m", F.coalesce("m", F.lit(1).cast("long"))).where("c > 1 or m > 1")
-    status = materialize(counted, "suffix-groups")
+    counted = materialize(rows.groupBy("first", "whole").agg(F.sum("n").alias("c")), "suffix-counts")
+    groups = materialize(counted.groupBy("first").agg(F.count("*").alias("m")).where("m > 1"), "suffix-groups")
+    status = counted.join(groups, "first", "left").withColumn("m", F.coalesce("m", F.lit(1).cast("long"))).where("c > 1 or m > 1")
+    status = materialize(status, "suffix-status")
+    discard(counted)
     held = materialize(rows.select("k1", "k2", "first", "whole").join(status, ["first", "whole"]), "suffixes-held")
     # pass 3: one text shows each surrounding
     shown = held.where("m > 1").groupBy("first", "whole").agg(F.min(F.struct("k1", "k2")).alias("k"), F.first("m").alias("m"))
     asked = shown.groupBy("k.k1", "k.k2").agg(F.collect_set("whole").alias("wanted"))  # at most a text's suffixes
-    asked = materialize(asked, "surroundings-asked")
-    texts = with_keys(keyed, asked)
+    texts = keyed.where(F.length("bytes") >= length).join(materialize(asked, "surroundings-asked"), ["k1", "k2"])
     around = materialize(surroundings(texts.select("bytes", "wanted"), length, window).dropDuplicates(["first", "whole"]), "surroundings")
-    sizes = status.where("m > 1").select("first", "m").distinct()
-    large = materialize(sizes.where(F.col("m") > group).select("first"), "large-firsts")
-    small = around.join(F.broadcast(large), "first", "left_anti") if small_enough(large, 100_000) else around.join(large, "first", "left_anti")
-    masks = last_digits(small.repartition("first"), length, window)
+    large = materialize(groups.where(F.col("m") > group).select("first"), "large-firsts")
+    masks = last_digits(around.join(large, "first", "left_anti").repartition("first"), length, window)
     if large.limit(1).count():
-        masks = masks.unionByName(last_digits_large(join_checked(around, large, "first", "left_semi"), length, window))
+        masks = masks.unionByName(last_digits_large(around.join(large, "first", "left_semi"), length, window))
     masks = materialize(masks, "suffix-masks")
+    discard(around, status, groups)
     marks = held.join(masks, ["first", "whole"], "left").where("c > 1 or mask is not null")
     marks = marks.select("k1", "k2", "whole", F.when(F.col("c") == 1, F.col("mask")).alias("mask")).distinct()
     return marks.groupBy("k1", "k2").agg(F.collect_list(F.struct("whole", "mask")).alias("marks"))  # at most a text's suffixes
 
 
-def with_keys(keyed: DataFrame, right: DataFrame, most: int = 300_000) -> DataFrame:
-    """Texts joined with a table of some texts' keys: keys alone are broadcast while few, so that other texts stay."""
-    keys = right.select("k1", "k2")
-    if small_enough(keys, most):
-        keyed = keyed.join(F.broadcast(keys.distinct()), ["k1", "k2"], "left_semi")
-    return keyed.join(right, ["k1", "k2"])
-
-
 def keyed_texts(docs: DataFrame) -> DataFrame:
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return docs.withColumn("bytes", raw).withColumn("k1", F.xxhash64("bytes")).withColumn("k2", F.xxhash64(F.lit(2), "bytes"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW, group: int = GROUP) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept_bytes (null where the whole text is kept)."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passages, kept_bytes (null where the whole text is kept)."""
     keyed = keyed_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text")
-    marks = materialize(repeated_marks(keyed.select("k1", "k2", "bytes"), length, window, group), "repeat-marks")
+    texts = keyed.select("k1", "k2", "bytes")
+    rows = materialize(suffixes(texts, length, window), "suffix-digits")
+    passages = materialize(shared_passages(rows), "shared-passages")
+    marks = materialize(repeated_marks(texts, rows, length, window, group), "repeat-marks")
+    discard(rows)
+    found = materialize(marks.join(passages, ["k1", "k2"], "full"), "text-findings")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for k in range(0, len(pdf), 500):
                 rows, part = [], pdf.iloc[k : k + 500]
-                for doc_id, text, found in zip(part["doc_id"], part["bytes"], part["marks"], strict=True):
-                    gone = cover(text, {m["whole"]: m["mask"] for m in found}, length, window)
-                    kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
-                    spans = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + bool(gone[0])
-                    rows.append((doc_id, len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest(), kept))
-                yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"]).astype({"doc_id": "Int64"})
-
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary"
-    marked = with_keys(keyed, marks).select("doc_id", "bytes", "marks").mapInPandas(run, schema)
-    rest = join_checked(keyed, marks.select("k1", "k2"), ["k1", "k2"], "left_anti", 300_000)
-    zero = F.lit(0).cast("long")
-    whole = rest.select("doc_id", F.length("bytes").cast("long").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.sha2("bytes", 256).alias("kept_sha256"), F.lit(None).cast("binary").alias("kept_bytes"))
-    return marked.unionByName(whole)
+                for doc_id, text, passages, found in zip(part["doc_id"], part["bytes"], part["n_passages"], part["marks"], strict=True):
+                    kept, spans = text, 0
+                    if found is not None and len(found):
+                        gone = cover(text, {m["whole"]: m["mask"] for m in found}, length, window)
+                        kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
+                        spans = int(np.count_nonzero(gone[1:] & ~gone[:-1])) + bool(gone[0])
+                    rows.append((doc_id, len(text), len(text) - len(kept), spans, hashlib.sha256(kept).hexdigest(), passages, kept if spans else None))
+                yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_passages", "kept_bytes"]).astype({"doc_id": "Int64"})
+
+    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_passages long, kept_bytes binary"
+    out = keyed.join(found, ["k1", "k2"], "left").withColumn("n_passages", F.coalesce("n_passages", F.lit(0).cast("long")))
+    return out.select("doc_id", "bytes", "n_passages", "marks").mapInPandas(run, schema)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from corpus import SCHEMA, corpus
+from random import Random
+
+from corpus import SCHEMA, corpus, sentence
 
 from tessella.llm import suffix_dedup as S
 
@@ -37,3 +39,14 @@ def test_empty_and_clashing_columns(spark):
     assert S.remove_repeats(df).count() == 0
     one = spark.createDataFrame([(None, "z" * 500, "en", "s", 1, "a", "b", 2), (None, "z" * 500, "en", "s", 1, "a", "b", 2)], SCHEMA + ", k1 string, marks string, bytes int")
     assert [r.n_removed for r in S.remove_repeats(one).collect()] == [500, 500]
+
+
+def test_passages_of_words(spark):
+    """A passage of 50 words that another document holds is found, whatever the white space; fewer than 25 are none."""
+    rng = Random(4)
+    passage, short = sentence(rng, 50), sentence(rng, 24)
+    texts = [sentence(rng, 90) + " " + passage + " " + sentence(rng, 30), passage.replace(" ", "\n  "), sentence(rng, 40) + " " + short + " " + sentence(rng, 40)]
+    texts += [sentence(rng, 40) + " " + short + " " + sentence(rng, 40), sentence(rng, 200), passage + " " + passage + " x", None, "", sentence(rng, 49)]
+    df = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in enumerate(texts)], SCHEMA)
+    found = {r.doc_id for r in S.remove_repeats(df).collect() if r.n_passages}
+    assert found == {0, 1, 5}
