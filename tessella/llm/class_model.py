@@ -1,7 +1,9 @@
 """Language-model scores by a Brown class bigram model.
 
 Every training word is clustered by exchange: it moves to the class that raises the class-bigram likelihood most, from
-counts of its neighbours' classes, in rounds over all words. Words that training lacks get a class of the last characters.
+counts of its neighbours' classes. Words move in batches, half of the chunks at a time; after each batch the class pairs
+are counted anew over the whole corpus, and a batch that does not raise the likelihood is halved, at last taken back. Words
+that training lacks get a class of their last characters.
 P(text) is the product over its tokens of P(class | class before) * P(word | class), each smoothed, the end included.
 
 All counts are over every training text. Words go by 64-bit hashes, dealt into parts, then by their places in these; the
@@ -14,17 +16,14 @@ result, and with no training text all counts are 0 and every token is unknown.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..storage import hadoop
-from .common import fold, materialize
+from .common import discard, fold, materialize
 from .suffix_dedup import mixed, powers
 
 CLASSES, TAIL_CLASSES, LOOKED_UP, ROUNDS = 64, 64, 100_000, 6
@@ -32,56 +31,42 @@ CLASSES, TAIL_CLASSES, LOOKED_UP, ROUNDS = 64, 64, 100_000, 6
 START, STOP, SYMBOLS = CLASSES + TAIL_CLASSES, CLASSES + TAIL_CLASSES + 1, CLASSES + TAIL_CLASSES + 2
 #: Weight of the class bigram against the class's own share; floor of unseen events.
 BIGRAM_WEIGHT, FLOOR = 0.95, 0.5
-#: A word longer than this many bytes is not looked up in memory.
-LONGEST = 64
 #: Words whose neighbours are held together; place of a rare word in a text.
 CHUNK, RARE = 1024, 255
+#: Tokens of which a task holds the pairs at once; how often a batch of moves is halved.
+HELD, HALVED = 1_000_000, 2
 #: Hashes of start and end.
 _START, _STOP = np.uint64(1), np.uint64(2)
 
 
-def tokens(raw: bytes | None) -> list[bytes]:
-    """Lower-cased words: bytes.lower folds A-Z alone, bytes.split cuts at the six ASCII spaces alone."""
-    return (raw or b"").lower().split()
+def hashed(raw: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of a text's words and the tail class of each, by its last three bytes.
 
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words without spaces."""
+    bytes.lower folds A-Z alone, bytes.split cuts at the six ASCII spaces alone.
+    """
+    words = (raw or b"").lower().split()
     if not words:
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint8)
     joined = np.frombuffer(b" ".join(words) + b" ", np.uint8)
     table, up, down = powers(len(joined) + 1)
     prefix = np.zeros(len(joined) + 1, np.uint64)
     np.cumsum(table[joined] * up[: len(joined)], out=prefix[1:])
     stop = np.flatnonzero(joined == 32)
     start = np.concatenate(([0], stop[:-1] + 1))
-    return mixed((prefix[stop] - prefix[start]) * down[start] + (stop - start).astype(np.uint64))
+    size = stop - start
+    tail = np.zeros(len(stop), np.uint64)
+    for k in (1, 2, 3):
+        tail = tail * np.uint64(256) + np.where(size >= k, joined[np.maximum(stop - k, 0)], 0)
+    return mixed((prefix[stop] - prefix[start]) * down[start] + size.astype(np.uint64)), (mixed(tail) % np.uint64(TAIL_CLASSES)).astype(np.uint8)
 
 
 def raw_text(df: DataFrame) -> DataFrame:
     return df.withColumn("raw", F.coalesce(F.col("text"), F.lit("")).cast("binary"))
 
 
-def count_words(train: DataFrame) -> DataFrame:
-    """(word, c) over all training texts; the end token is not among them."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count: Counter[bytes] = Counter()
-        for pdf in batches:
-            for raw in pdf["raw"]:
-                count.update(tokens(raw))
-                if len(count) > 300_000:
-                    yield pd.DataFrame({"word": list(count), "c": list(count.values())})
-                    count = Counter()
-        if count:
-            yield pd.DataFrame({"word": list(count), "c": list(count.values())})
-
-    return train.select("raw").mapInPandas(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
-
-
 def words_and_pairs(train: DataFrame, parts: int) -> DataFrame:
     """(part, dst, own, other, n): neighbours (a, b) dealt by a, then b. `own` is a's place among the part's words, `other`
-    the hash of b; of each part, a row without dst holds its words' hashes."""
+    the hash of b; of each part, a row without dst holds its words' hashes, and as `n` their counts."""
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows(held: list[np.ndarray]) -> pd.DataFrame:
@@ -100,9 +85,9 @@ def words_and_pairs(train: DataFrame, parts: int) -> DataFrame:
         held, size = [], 0
         for pdf in batches:
             for raw in pdf["raw"]:
-                held.append(np.concatenate(([_START], word_hashes(tokens(raw)), [_STOP])))
+                held.append(np.concatenate(([_START], hashed(raw)[0], [_STOP])))
                 size += len(held[-1])
-                if size > 2_000_000:
+                if size > HELD:
                     yield rows(held)
                     held, size = [], 0
         if held:
@@ -116,11 +101,12 @@ def words_and_pairs(train: DataFrame, parts: int) -> DataFrame:
         a, b, n = a[new], b[new], np.add.reduceat(n.astype(np.int64), new)
         word = np.unique(a[a != _START])
         own = np.where(a == _START, -1, np.searchsorted(word, a)).astype("<i4")
+        seen = np.bincount(own[own >= 0], n[own >= 0], len(word)).astype("<i8")  # each token has one follower
         part = b % np.uint64(parts)
         order = np.argsort(part, kind="stable")
         cut = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
         out = [(int(pdf["part"].iloc[0]), k, own[x].tobytes(), b[x].tobytes(), n[x].astype("<u4").tobytes()) for k in range(parts) if len(x := order[cut[k] : cut[k + 1]])]
-        out.append((int(pdf["part"].iloc[0]), None, None, word.tobytes(), None))
+        out.append((int(pdf["part"].iloc[0]), None, None, word.tobytes(), seen.tobytes()))
         return pd.DataFrame(out, columns=["part", "dst", "own", "other", "n"]).astype({"dst": "Int32"})
 
     shuffled = train.select("raw").mapInPandas(partial, "part int, a binary, b binary, n binary")
@@ -219,6 +205,12 @@ def exchange(sides: DataFrame, classes, counts: np.ndarray, parity: int) -> list
     return sides.where((F.col("chunk") >= 0) & (F.col("chunk") % 2 == parity)).drop("chunk").mapInPandas(run, "first long, cls binary").collect()  # a byte a word
 
 
+def likelihood(counts: np.ndarray) -> float:
+    """Log-likelihood of the class sequence and of the words in their classes, but for a term that no class changes."""
+    f = lambda x: float((x[x > 0] * np.log(x[x > 0])).sum())
+    return f(counts) - f(counts.sum(axis=0)) - f(counts.sum(axis=1))
+
+
 class Model:
     """Class of each symbol, and log10 probabilities."""
 
@@ -237,16 +229,11 @@ class Model:
         return np.log10(c + FLOOR) - self.room[cls]
 
 
-def drop(df: DataFrame) -> None:
-    """Delete a materialized table that nothing reads any more."""
-    spark = df.sparkSession
-    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        path, fs = hadoop(spark, folder)
-        fs.delete(path, True)
+def learn_classes(train: DataFrame, parts: int, trace: list[float] | None = None) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """(hash, c, cls) of every training word, the class of each word id (then start and end), counts of class pairs.
 
-
-def learn_classes(train: DataFrame, parts: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """(hash, cls) of every training word, the class of each word id (then start and end), counts of class pairs."""
+    `trace` gets the likelihood at the start and after each batch that is kept; it never falls.
+    """
     spark = train.sparkSession
     pairs = materialize(words_and_pairs(train, parts), "word-pairs")
     spark.sparkContext._jvm.System.gc()  # shuffle files that nothing refers to leave the disk
@@ -255,34 +242,51 @@ def learn_classes(train: DataFrame, parts: int) -> tuple[DataFrame, np.ndarray,
         sizes[r.part] = r.n
     first = np.concatenate(([0], np.cumsum(sizes)))
     sides = materialize(word_sides(pairs, first, parts), "word-sides")
-    drop(pairs)
     spark.sparkContext._jvm.System.gc()
     classes = np.append(np.arange(first[-1]) % CLASSES, (START, STOP)).astype(np.uint8)
     still, rows = 0, "spark.sql.execution.arrow.maxRecordsPerBatch"
     usual = spark.conf.get(rows)
     spark.conf.set(rows, 16)  # a row of sides holds up to some MB
+
+    def counted(classes: np.ndarray) -> np.ndarray:
+        sent = spark.sparkContext.broadcast(classes)
+        counts = class_counts(sides, sent)
+        sent.unpersist()
+        return counts
+
+    counts = counted(classes)
+    best = likelihood(counts)
+    trace = [] if trace is None else trace
+    trace.append(best)
     for step in range(ROUNDS * 2):
         sent = spark.sparkContext.broadcast(classes)
-        new = classes.copy()
-        for r in exchange(sides, sent, class_counts(sides, sent), step % 2):
-            new[r.first : r.first + len(r.cls)] = np.frombuffer(r.cls, np.uint8)
+        moves = exchange(sides, sent, counts, step % 2)
         sent.unpersist()
-        still = still + 1 if (new == classes).all() else 0
-        if still == 2:  # neither half moves
+        for halved in range(HALVED + 1):
+            new = classes.copy()
+            for k, r in enumerate(moves):
+                if k % (1 << halved) == 0:
+                    new[r.first : r.first + len(r.cls)] = np.frombuffer(r.cls, np.uint8)
+            after = counted(new) if (new != classes).any() else counts
+            if likelihood(after) > best:
+                break
+        if likelihood(after) > best:
+            classes, counts, best, still = new, after, likelihood(after), 0
+            trace.append(best)
+        elif (still := still + 1) == 2:  # neither half moves
             break
-        classes = new
-    sent = spark.sparkContext.broadcast(classes)
-    counts = class_counts(sides, sent)
     spark.conf.set(rows, usual)
+    sent = spark.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for k, words in zip(pdf["first"], pdf["words"], strict=True):
+            for part, words, n in zip(pdf["part"], pdf["other"], pdf["n"], strict=True):
                 hashes = np.frombuffer(words, "<i8")
-                yield pd.DataFrame({"hash": hashes, "cls": sent.value[k : k + len(hashes)].astype(np.int32)})
+                yield pd.DataFrame({"hash": hashes, "c": np.frombuffer(n, "<i8"), "cls": sent.value[first[part] : first[part] + len(hashes)].astype(np.int32)})
 
-    learned = materialize(sides.where("chunk >= 0").select("first", "words").mapInPandas(run, "hash long, cls int"), "word-classes")
-    drop(sides)
+    learned = pairs.where("dst is null").select("part", "other", "n").mapInPandas(run, "hash long, c long, cls int")
+    learned = materialize(learned, "word-classes")
+    discard(pairs, sides)
     return learned, classes, counts
 
 
@@ -294,57 +298,50 @@ def class_mass(vocabulary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return mass, types
 
 
-def with_hashes(vocabulary: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.assign(hash=word_hashes([bytes(w) for w in pdf["word"]]).view(np.int64))
-
-    return vocabulary.mapInPandas(run, "word binary, c long, hash long")
-
+def score(docs: DataFrame, model: Model, vocabulary: DataFrame, top: np.ndarray, ends: int, total: int, distinct: int) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for rows (doc_id, held_out, raw).
 
-def score(docs: DataFrame, model: Model, vocabulary: DataFrame, top: list[tuple[bytes, int, int]], ends: int, total: int, distinct: int) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for rows (doc_id, held_out, raw)."""
-    index = {w: k for k, (w, _, _) in enumerate(top)}
-    c = np.array([n for _, n, _ in top] or [0], float)
-    cls = np.array([k for _, _, k in top] or [0], np.int64)
+    `top` has (hash, c, cls) of the words that are looked up in memory, by rising hash.
+    """
+    index, c, cls = top["hash"].view(np.uint64), top["c"].astype(float), top["cls"].astype(np.int64)
     room = np.log10(total + 0.5 * (distinct + 1))
     base = np.log10(c + 0.5) - room
     emitted = model.emission(c, cls)
     end_base, transition = float(np.log10(ends + 0.5) - room), model.transition
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = index.get
         for pdf in batches:
             for k in range(0, len(pdf), 2000):
                 part, rows = pdf.iloc[k : k + 2000], []
                 for doc_id, held, raw in zip(part["doc_id"], part["held_out"], part["raw"], strict=True):
-                    words = tokens(raw)
-                    ids = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
-                    rare = np.flatnonzero(ids < 0)
-                    seq = cls[ids]
-                    seq[rare] = RARE
-                    path = np.concatenate(([START], seq, [STOP]))
+                    words, tail = hashed(raw)
+                    at = np.minimum(np.searchsorted(index, words), max(len(index) - 1, 0))
+                    met = index[at] == words if len(index) else np.zeros(len(words), bool)
+                    path = np.full(len(words) + 2, RARE, np.int64)
+                    path[0], path[-1] = START, STOP
+                    path[1:-1][met] = cls[at[met]]
                     x, y = path[:-1], path[1:]
                     plain = (x != RARE) & (y != RARE)
-                    known = ids[ids >= 0]
-                    own = float(transition[x[plain], y[plain]].sum() + emitted[known].sum())
-                    names: dict[bytes, int] = {}
-                    which = np.array([names.setdefault(words[i], len(names)) for i in rare.tolist()], "<i4")
+                    own = float(transition[x[plain], y[plain]].sum() + emitted[at[met]].sum())
+                    rare = np.flatnonzero(~met)
+                    names, place, which = np.unique(words[rare], return_index=True, return_inverse=True)
                     sides = [path[rare + d].astype(np.uint8).tobytes() for d in (0, 2)]
-                    rows.append((doc_id, bool(held), len(words) + 1, len(known) + (ends > 0), float(base[known].sum()) + end_base, own, list(names), which.tobytes(), *sides))
-                yield pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "which", "before", "after"]).astype({"doc_id": "Int64"})
+                    rows.append((doc_id, bool(held), len(words) + 1, int(met.sum()) + (ends > 0), float(base[at[met]].sum()) + end_base, own, names.view(np.int64), tail[rare][place].tobytes(), which.astype("<i4").tobytes(), *sides))
+                yield pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "tails", "which", "before", "after"]).astype({"doc_id": "Int64"})
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The rare words of each row, at their places."""
         for pdf in batches:
             more = []
-            for which, before, after, place, seen, kind in zip(pdf["which"], pdf["before"], pdf["after"], pdf["place"], pdf["seen"], pdf["kind"], strict=True):
-                if place is None or not len(place):
+            for tails, which, before, after, place, seen, kind in zip(*(pdf[x] for x in ("tails", "which", "before", "after", "place", "seen", "kind")), strict=True):
+                if not len(tails):
                     more.append((0, 0.0, 0.0))
                     continue
-                order = np.argsort(place)
+                c, k = np.zeros(len(tails)), np.frombuffer(tails, np.uint8).astype(np.int64) + CLASSES
+                if place is not None:
+                    c[np.asarray(place)], k[np.asarray(place)] = np.asarray(seen, float), np.asarray(kind, np.int64)
                 at = np.frombuffer(which, "<i4")
-                n, k = np.asarray(seen, float)[order][at], np.asarray(kind, np.int64)[order][at]
+                n, k = c[at], k[at]
                 left, right = np.frombuffer(before, np.uint8).astype(np.int64), np.frombuffer(after, np.uint8)
                 left = np.where(left == RARE, np.roll(k, 1), left)
                 out = right != RARE
@@ -354,33 +351,29 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame, top: list[tuple[
             out = pdf[["doc_id", "held_out", "n_tokens"]].astype({"doc_id": "Int64"})
             yield out.assign(n_known=pdf["n_known"] + known, base_score=pdf["base_score"] + b, score=pdf["score"] + s)
 
-    scored = docs.select("doc_id", "held_out", "raw").mapInPandas(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<binary>, which binary, before binary, after binary")
+    scored = docs.select("doc_id", "held_out", "raw").mapInPandas(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<long>, tails binary, which binary, before binary, after binary")
     scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "partial-scores")
     # words that are not looked up meet their counts and classes here
-    rare = scored.select("row", F.posexplode("rare").alias("place", "word"))
-    suffix = F.when(F.length("word") > 3, F.expr("substring(word, -3, 3)")).otherwise(F.col("word"))
-    met = rare.join(vocabulary.select("word", F.col("c").alias("seen"), "cls"), "word", "left")
-    met = met.select("row", "place", F.coalesce("seen", F.lit(0)).alias("seen"), F.coalesce("cls", (F.crc32(suffix) % TAIL_CLASSES + CLASSES).cast("int")).alias("kind"))
-    met = met.groupBy("row").agg(F.collect_list(F.struct("place", "seen", "kind")).alias("x"))
-    met = met.select("row", *[F.col(f"x.{name}").alias(name) for name in ("place", "seen", "kind")])
+    rare = scored.select("row", F.posexplode("rare").alias("place", "hash"))
+    met = rare.join(vocabulary, "hash").groupBy("row").agg(F.collect_list(F.struct("place", "c", "cls")).alias("x"))
+    met = met.select("row", F.col("x.place").alias("place"), F.col("x.c").alias("seen"), F.col("x.cls").alias("kind"))
     out = scored.drop("rare").join(met, "row", "left").drop("row")
     out = out.mapInPandas(add, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def most_frequent(vocabulary: DataFrame, most: int) -> list[tuple[bytes, int, int]]:
-    """Words by falling count, at most `most`: a histogram of counts gives the least count that all of them fit above."""
+def most_frequent(vocabulary: DataFrame, most: int) -> np.ndarray:
+    """(hash, c, cls) of the most frequent words, at most `most`, by hash: a histogram of counts gives the least count that fits."""
     step = F.floor(F.log2("c") * 64)
-    short = vocabulary.where(F.length("word") <= LONGEST)
     least, held = None, 0
-    for r in sorted(short.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), reverse=True):  # a few thousand rows
+    for r in sorted(vocabulary.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect(), reverse=True):  # a few thousand rows
         held += r.n
         if held > most:
             break
         least = r.step
-    if least is None:
-        return []
-    return sorted(((bytes(r.word), r.c, r.cls) for r in short.where(step >= least).collect()), key=lambda x: (-x[1], x[0]))
+    rows = [] if least is None else [(r["hash"], r.c, r.cls) for r in vocabulary.where(step >= least).collect()]
+    out = np.array(rows, dtype=[("hash", "<i8"), ("c", "<i8"), ("cls", "<i4")])
+    return out[np.argsort(out["hash"].view(np.uint64))]
 
 
 def score_documents(docs: DataFrame, held_out=None) -> DataFrame:
@@ -388,16 +381,13 @@ def score_documents(docs: DataFrame, held_out=None) -> DataFrame:
     held = fold() == 1 if held_out is None else held_out
     docs = raw_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held)).drop("text")
     train = docs.where(~F.col("held_out"))
-    vocabulary = materialize(count_words(train), "vocabulary")
-    sums = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     ends = train.count()
-    total, distinct = sums.n + ends, sums.v + (ends > 0)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    learned, classes, counts = learn_classes(train, parts)
-    vocabulary = materialize(with_hashes(vocabulary).join(learned, "hash").select("word", "c", "cls"), "vocabulary-classes")
-    top = most_frequent(vocabulary, LOOKED_UP)
+    vocabulary, classes, counts = learn_classes(train, parts)
+    sums = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    total, distinct = sums.n + ends, sums.v + (ends > 0)
     model = Model(classes, counts, *class_mass(vocabulary))
-    return score(docs, model, vocabulary, top, ends, total, distinct)
+    return score(docs, model, vocabulary, most_frequent(vocabulary, LOOKED_UP), ends, total, distinct)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,38 @@ def test_base_score(spark, monkeypatch, looked_up):
         assert g.score < 0
 
 
+@pytest.mark.parametrize("looked_up", [200_000, 20])
+def test_score_by_brute_force(spark, monkeypatch, looked_up):
+    """From the learned classes alone: class bigrams and words counted in plain Python, each text's path summed."""
+    monkeypatch.setattr(C, "LOOKED_UP", looked_up)
+    kept = {}
+    learn = C.learn_classes
+    monkeypatch.setattr(C, "learn_classes", lambda *a: kept.setdefault("x", learn(*a)))
+    rows = corpus(6, 80)
+    got = {r.doc_id: r.score for r in C.score_documents(spark.createDataFrame(rows, SCHEMA)).collect()}
+    cls = {r["hash"]: r.cls for r in kept["x"][0].collect()}
+    words = {r[0]: (r[1] or "").encode().lower().split() for r in rows}
+    key = {w: (int(C.hashed(w)[0].view(np.int64)[0]), int(C.hashed(w)[1][0]) + C.CLASSES) for ws in words.values() for w in ws}
+    kind = lambda w: cls.get(key[w][0], key[w][1])
+    path = lambda ws: [C.START, *map(kind, ws), C.STOP]
+    train = [words[r[0]] for r in rows if zlib.crc32(str(r[0]).encode()) % 5 != 1]
+    seen, pair = Counter(w for ws in train for w in ws), Counter(p for ws in train for p in zip(path(ws), path(ws)[1:]))
+    left, right, n = Counter(), Counter(), sum(pair.values())
+    for (a, b), c in pair.items():
+        left[a] += c
+        right[b] += c
+    mass, types = Counter(), Counter(map(kind, seen))
+    for w, c in seen.items():
+        mass[kind(w)] += c
+    share = lambda b: (right[b] + 0.5) / (n + 0.5 * C.SYMBOLS)
+    move = lambda a, b: 0.95 * (pair[a, b] / left[a] if left[a] else share(b)) + 0.05 * share(b)
+    emit = lambda w: (seen[w] + 0.5) / max(mass[kind(w)] + 0.5 * (types[kind(w)] + (kind(w) >= C.CLASSES)), 0.5)
+    for r in rows:
+        ws = words[r[0]]
+        want = sum(math.log10(move(a, b)) for a, b in zip(path(ws), path(ws)[1:])) + sum(math.log10(emit(w)) for w in ws)
+        assert got[r[0]] == pytest.approx(want), r[0]
+
+
 def test_probabilities_sum_to_one():
     """Transitions over classes, and emissions of a class over its words and one unknown."""
     size = C.STOP + 1
@@ -61,8 +93,10 @@ def test_every_training_word_is_clustered(spark):
     bags = [rng.sample(kind * 4, 10_000) for kind in (x, y)]
     texts = [" ".join(w for a, b in zip(bags[0][k : k + 50], bags[1][k : k + 50], strict=True) for w in ("the", a, "to", b)) for k in range(0, 10_000, 50)]
     docs = spark.createDataFrame([(t,) for t in texts], "text string").select(C.F.col("text").cast("binary").alias("raw"))
-    learned, _, counts = C.learn_classes(docs, 4)
+    trace = []
+    learned, _, counts = C.learn_classes(docs, 4, trace)
+    assert len(trace) > 2 and all(a < b for a, b in zip(trace, trace[1:], strict=False))
     cls = {r["hash"]: r.cls for r in learned.collect()}
     assert len(cls) == len({*x, *y}) + 2 and counts.sum() == 40_000 + len(texts)
-    of = [{cls[int(h)] for h in C.word_hashes([w.encode() for w in kind]).view(np.int64)} for kind in (x, y)]
+    of = [{cls[int(h)] for h in C.hashed(" ".join(kind).encode())[0].view(np.int64)} for kind in (x, y)]
     assert max(max(s) for s in of) < C.CLASSES and not of[0] & of[1]
