@@ -5,11 +5,13 @@ first made one. A bucket's cosines are taken in double precision, blockwise, and
 gets a count of links, where a pair counts in the first table in which it meets, and a bucket's links leave as a
 spanning forest. Buckets of more than BLOCK vectors are dealt out as pairs of blocks.
 
-With 12 signs a pair at cosine 0.93 meets in a table with probability 0.21, and in one of 40 tables with 0.9999.
+The number of signs follows the counted rows of the largest label, so that a bucket of unlike vectors stays small at any
+size, and the number of tables follows the signs: a pair at the limit meets in a table with probability p ** signs, p = 1 -
+angle / pi, and misses all tables with probability MISSED at most.
 
 Defined cases: null, zero, null-holding and non-finite vectors, and those of a null label, link with nothing; vectors of
-unlike dimension are never compared; rows that repeat an id are counted each and share the id; an empty table gives an
-empty result.
+unlike dimension are never compared; rows that repeat an id are counted each, every row by its own vector's links; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,10 +23,19 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 from .components import components
 
-LIMIT, BITS, TABLES, BLOCK, SEED = 0.93, 12, 40, 1024, 7
+LIMIT, BLOCK, SEED = 0.93, 1024, 7
+#: Vectors of one label that a bucket should hold; chance that a pair at the limit is missed; signs at least and at most.
+BUCKET, MISSED, LEAST_BITS, MOST_BITS = 256, 1e-5, 4, 24
+
+
+def shape_of(rows: int, limit: float = LIMIT) -> tuple[int, int]:
+    """(signs, tables) for a label of so many vectors."""
+    bits = min(max((-(-rows // BUCKET)).bit_length(), LEAST_BITS), MOST_BITS)
+    meets = (1 - np.arccos(limit) / np.pi) ** bits
+    return bits, int(np.ceil(np.log(MISSED) / np.log1p(-meets)))
 
 
 def valid(label: str = "label", vector: str = "embedding"):
@@ -34,23 +45,39 @@ def valid(label: str = "label", vector: str = "embedding"):
 
 
 def signatures(vectors: DataFrame, bits: int, tables: int, seed: int) -> DataFrame:
-    """Adds `signs`: each table's sign bits as one number."""
+    """(node, label, size, copies, unit, signs): the unit vector (doubles) and each table's sign bits as one number (32 bit)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         weights = 1 << np.arange(bits)
         for pdf in batches:
-            out = np.empty(len(pdf), object)
+            unit, signs = np.empty(len(pdf), object), np.empty(len(pdf), object)
             sizes = pdf["embedding"].map(len).to_numpy()
             for size in np.unique(sizes):
                 planes = np.random.default_rng(seed + int(size)).standard_normal((int(size), tables * bits))
                 at = np.flatnonzero(sizes == size)
                 x = np.array(pdf["embedding"].iloc[at].tolist(), np.float64)
-                signs = ((x @ planes) >= 0).reshape(len(at), tables, bits) @ weights
-                for k, row in zip(at, signs.astype(np.int32), strict=True):
-                    out[k] = row
-            yield pdf.assign(signs=out)
+                found = ((x @ planes) >= 0).reshape(len(at), tables, bits) @ weights
+                x /= np.sqrt((x * x).sum(axis=1))[:, None]
+                for k, row, own in zip(at, found.astype(np.int32), x, strict=True):
+                    unit[k], signs[k] = own.tobytes(), row.tobytes()
+            yield pdf[["node", "label", "copies"]].assign(size=sizes, unit=unit, signs=signs)
+
+    return vectors.mapInPandas(run, "node long, label long, copies long, size int, unit binary, signs binary")
+
+
+def in_tables(signed: DataFrame) -> DataFrame:
+    """(node, label, size, tbl, sign): a row for each table of each vector."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for k in range(0, len(pdf), 2000):
+                part = pdf.iloc[k : k + 2000]
+                signs = np.stack([np.frombuffer(x, np.int32) for x in part["signs"]])
+                n = signs.shape[1]
+                rows = part[["node", "label", "size"]].loc[part.index.repeat(n)]
+                yield rows.assign(tbl=np.tile(np.arange(n), len(part)), sign=signs.ravel())
 
-    return vectors.mapInPandas(run, "rep long, label long, embedding array<double>, copies long, signs array<int>")
+    return signed.select("node", "label", "size", "signs").mapInPandas(run, "node long, label long, size int, tbl int, sign int")
 
 
 def _links(x: np.ndarray, y: np.ndarray, sx: np.ndarray, sy: np.ndarray, table: int, same: bool, limit: float) -> tuple[np.ndarray, np.ndarray]:
@@ -81,11 +108,11 @@ def forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 
 def meet(rows: DataFrame, limit: float) -> DataFrame:
-    """(rep, other, links): a bucket's forest as (rep, its root) and counts of new links, from rows sorted by bucket."""
+    """(node, other, links): a bucket's forest as (node, its root) and counts of new links, from rows sorted by bucket."""
 
     def bucket(g: pd.DataFrame) -> pd.DataFrame | None:
-        x = np.array(g["unit"].tolist(), np.float64)
-        signs, table = np.array(g["signs"].tolist(), np.int32), int(g["tbl"].iloc[0])
+        x = np.stack([np.frombuffer(u, np.float64) for u in g["unit"]])
+        signs, table = np.stack([np.frombuffer(u, np.int32) for u in g["signs"]]), int(g["tbl"].iloc[0])
         side, one = g["side"].to_numpy(), len(g)
         if side.any():
             p, q = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
@@ -95,10 +122,10 @@ def meet(rows: DataFrame, limit: float) -> DataFrame:
             i, j = _links(x, x, signs, signs, table, True, limit)
         if not len(i):
             return None
-        copies, rep = g["copies"].to_numpy(), g["rep"].to_numpy()
+        copies, node = g["copies"].to_numpy(), g["node"].to_numpy()
         links = np.bincount(i, copies[j], one) + np.bincount(j, copies[i], one)
         root, own = forest(i, j, one), links > 0
-        return pd.DataFrame({"rep": rep[own], "other": rep[root[own]], "links": links[own].astype(np.int64)})
+        return pd.DataFrame({"node": node[own], "other": node[root[own]], "links": links[own].astype(np.int64)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         left = None
@@ -113,39 +140,44 @@ def meet(rows: DataFrame, limit: float) -> DataFrame:
         if left is not None and len(left) > 1 and (out := bucket(left)) is not None:
             yield out
 
-    return rows.mapInPandas(run, "rep long, other long, links long")
+    return rows.mapInPandas(run, "node long, other long, links long")
 
 
-def near_duplicates(vectors: DataFrame, limit: float = LIMIT, bits: int = BITS, tables: int = TABLES, block: int = BLOCK, seed: int = SEED) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every row of vectors (vec_id, embedding, label)."""
+def near_duplicates(vectors: DataFrame, limit: float = LIMIT, block: int = BLOCK, seed: int = SEED) -> DataFrame:
+    """vec_id, n_links, component_id, kept for every row of vectors (vec_id, embedding, label). Equal vectors of a label are
+    one node, named by a hash of both; ids come in at the end."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
-    rows = rows.withColumn("valid", valid()).withColumn("key", F.when(F.col("valid"), F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.concat_ws(",", F.transform("embedding", lambda x: F.hex(F.xxhash64(x))))), 256)))
-    rows = materialize(rows, "vectors")
-    same = rows.where("valid").groupBy("key").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
+    # -0.0 and 0.0 are equal
+    node = F.xxhash64("label", F.size("embedding"), F.transform("embedding", lambda x: x + F.lit(0.0)))
+    rows = materialize(rows.withColumn("node", F.when(valid(), node)), "vectors")
+    same = rows.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
     same = materialize(same, "distinct-vectors")
-    signed = signatures(same.select("rep", "label", "embedding", "copies"), bits, tables, seed)
-    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    signed = signed.withColumn("unit", F.transform("embedding", lambda x: x / norm)).drop("embedding")
-    signed = materialize(signed, "signed-vectors")
-    met = signed.select("rep", "label", F.size("unit").alias("size"), F.posexplode("signs").alias("tbl", "sign"))
+    largest = same.groupBy("label").agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0)).alias("n")).first().n
+    bits, tables = shape_of(largest, limit)
+    signed = materialize(signatures(same.select("node", "label", "embedding", "copies"), bits, tables, seed), "signed-vectors")
+    met = materialize(in_tables(signed), "vector-buckets")
     sizes = met.groupBy("label", "size", "tbl", "sign").agg(F.count("*").alias("n")).where("n > 1")
-    sizes = materialize(sizes, "bucket-sizes")
-    full = signed.withColumn("size", F.size("unit")).select("*", F.posexplode("signs").alias("tbl", "sign")).join(sizes, ["label", "size", "tbl", "sign"])
+    full = met.join(materialize(sizes, "bucket-sizes"), ["label", "size", "tbl", "sign"])
     blocks = F.ceil(F.col("n") / block).cast("int")
-    full = full.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    full = full.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     full = full.withColumn("peer", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     full = full.withColumn("side", (F.col("own") > F.col("peer")).cast("int"))
     full = full.withColumn("bucket", F.xxhash64("label", "size", "tbl", "sign", F.least("own", "peer"), F.greatest("own", "peer")))
+    places = materialize(full.select("bucket", "tbl", "side", "node"), "bucket-places")
     # two blocks: side 0 has the lesser, side 1 the greater; a block with itself: side 0 alone
-    dealt = full.select("bucket", "tbl", "side", "rep", "copies", "unit", "signs").repartition("bucket").sortWithinPartitions("bucket", "rep")
+    dealt = places.join(signed.select("node", "copies", "unit", "signs"), "node").repartition("bucket").sortWithinPartitions("bucket", "node")
     found = materialize(meet(dealt, limit), "bucket-links")
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.col("rep").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "rep")
-    known = same.select("key", "rep", "copies").join(links, "rep", "left").join(roots, "rep", "left")
-    out = rows.join(known, "key", "left")
+    discard(met, places)
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    roots = components(found.select(F.col("node").alias("a"), F.col("other").alias("b")))
+    known = same.select("node", "least", "copies").join(links, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("component", "node"))
+    known = materialize(known.select("node", "least", "copies", "links", "root"), "linked-vectors")
+    least = materialize(known.groupBy("root").agg(F.min("least").alias("component_id")), "least-ids")
+    known = materialize(known.join(least, "root").select("node", "copies", "links", "component_id"), "vector-groups")
+    out = rows.select("vec_id", "node").join(known, "node", "left")
     linked = F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))
-    out = out.select("vec_id", linked.cast("long").alias("n_links"), F.coalesce("component", "rep", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    out = out.select("vec_id", linked.cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    return out.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,3 +44,17 @@ def test_brute_force(spark):
         got = {r.vec_id: (r.n_links, r.component_id) for r in E.near_duplicates(df, block=block).collect()}
         assert got == want
     assert E.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_repeated_ids_and_names(spark):
+    """Every row has its own vector's links; columns of any name are of no account."""
+    rows = [(5, [1.0, 0.0], 1), (5, [0.0, 1.0], 2), (7, [1.0, 0.01], 1), (6, [0.01, 1.0], 2), (8, [1.0, 1.0], 1), (8, [1.0, 1.0], 1), (None, [1.0, 1.01], 1)]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<float>, label int, node int, copies int")
+    got = sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in E.near_duplicates(df).collect()), key=str)
+    assert got == sorted([(5, 1, 5, True), (5, 1, 5, True), (7, 1, 5, False), (6, 1, 5, False), (8, 2, 8, True), (8, 2, 8, True), (None, 2, 8, False)], key=str)
+
+
+def test_shape_keeps_recall():
+    for rows in (0, 1, 500, 51_282, 10**7, 10**10):
+        bits, tables = E.shape_of(rows)
+        assert (1 - (1 - np.arccos(0.93) / np.pi) ** bits) ** tables <= E.MISSED and (2**bits * E.BUCKET >= rows or bits == E.MOST_BITS)
