@@ -106,6 +106,22 @@ def _tree(gradient: np.ndarray, hessian: np.ndarray, leaves: int) -> np.ndarray:
     return out
 
 
+def _pair_tree(gradient: np.ndarray, hessian: np.ndarray) -> np.ndarray:
+    """Leaf values of a depth-two tree over two axes: one axis is cut first, each side then along the other; the axis that
+    gains more comes first."""
+    found = []
+    for g, h in ((gradient, hessian), (gradient.T, hessian.T)):
+        out, worth = np.zeros(g.shape), 0.0
+        first = _tree(g.sum(1), h.sum(1), 2)
+        cut = int(np.argmax(first != first[0])) or len(first)
+        for side in (slice(0, cut), slice(cut, len(first))):
+            if g[side].size:
+                out[side] = _tree(g[side].sum(0), h[side].sum(0), 2)
+                worth += float((out[side] * g[side]).sum())
+        found.append((worth, out))
+    return found[0][1] if found[0][0] >= found[1][0] else found[1][1].T
+
+
 def fit(x: np.ndarray, y: np.ndarray) -> Model:
     model = Model()
     if not len(y):
@@ -145,12 +161,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
             ni, nj = model.pair_tables[k].shape
             cell = coarse[i] * nj + coarse[j]
             gg, hh = np.bincount(cell, g, ni * nj).reshape(ni, nj), np.bincount(cell, h, ni * nj).reshape(ni, nj)
-            # a depth-two tree: the better axis is cut first, each side then along the other
-            best = np.zeros((ni, nj))
-            rows = _tree(gg.sum(1), hh.sum(1), 2)
-            for value in np.unique(rows):
-                side = rows == value
-                best[side] = _tree(gg[side].sum(0), hh[side].sum(0), 2)
+            best = _pair_tree(gg, hh)
             model.pair_tables[k] += RATE * best
             z += RATE * best[coarse[i], coarse[j]]
     return model
@@ -175,6 +186,8 @@ def train(featured: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Mod
     known = featured.where(fold() != 0).join(one, "doc_id").select("x", "y", F.xxhash64("doc_id", F.lit("train")).alias("o"))
     every = -(-known.count() // most) or 1  # a share of the hash's range, so that no task sends more than its part
     rows = known.where(F.pmod("o", F.lit(every)) == 0).orderBy("o").limit(most).toPandas()
+    if not len(rows):
+        return Model()
     return fit(np.array(rows["x"].tolist(), float).reshape(len(rows), -1), (rows["y"].to_numpy(float) > 0.5).astype(float))
 
 
