@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..schemas import MAX_ATTEMPTS
 
@@ -120,28 +121,51 @@ def recrawl_candidates(ledger: DataFrame, before_ms: int) -> DataFrame:
     return rows.select("bucket", "did", "pds_host", F.coalesce("posts_total", F.lit(0)).alias("posts"))
 
 
-def balanced_parts(rows: DataFrame, parts: int, by: str = "bucket") -> DataFrame:
-    """Deal each shard's rows, largest first, to its part with the fewest posts so far. Adds `part`.
+def ranked_by_hash(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Adds `rank`, from 0, of a row among those of the same keys, by the MD5 of a column.
 
-    Equal counts are dealt as one: of a run of c rows of p posts the parts' loads alone decide how many each gets, so the
-    fold runs over distinct counts of a shard, and rows then find their part by rank.
+    A group of any size is ranked: it is cut into slices by the first digits of the hash, slices are counted first.
     """
-    from pyspark.sql.window import Window
+    rows = rows.withColumn("_hash", F.md5(F.col(order).cast("binary"))).withColumn("_slice", F.substring("_hash", 1, 3))
+    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    base = rows.groupBy(*keys, "_slice").agg(F.count("*").alias("_n")).withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    within = Window.partitionBy(*keys, "_slice").orderBy("_hash", order)
+    return rows.join(base, [*keys, "_slice"]).withColumn("rank", F.col("_base") + F.row_number().over(within) - 1).drop("_hash", "_slice", "_base")
+
 
-    def deal(pdf: pd.DataFrame) -> pd.DataFrame:
-        import heapq
+def balanced_parts(rows: DataFrame, parts: int, by: str = "bucket") -> DataFrame:
+    """Deal each shard's rows, largest first, to its part with the fewest posts so far; equal ones by a hash of the account.
+    Adds `part`.
+
+    A run of rows of p posts each is dealt in rounds: a part joins in the round in which its load, in units of p, comes up,
+    and within a round parts go by what is left of their loads. So a run needs a stretch of ranks for each part that joins,
+    whatever its length; the fold over a shard's distinct counts gives these, and rows find their part by rank.
+    """
 
+    def stretches(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
         for shard, own in pdf.groupby(by, dropna=False):
-            heap = [(0, k) for k in range(parts)]
-            for posts, n in own.sort_values("posts", ascending=False)[["posts", "n"]].itertuples(index=False):
-                for rank in range(int(n)):
-                    load, k = heapq.heappop(heap)
-                    out.append((shard, posts, rank + 1, k))
-                    heapq.heappush(heap, (load + int(posts), k))
-        return pd.DataFrame(out, columns=[by, "posts", "rank", "part"])
+            loads = [0] * parts
+            for posts, n in own.sort_values("posts", ascending=False)[["posts", "n"]].astype(int).itertuples(index=False):
+                if not posts:
+                    out.append((shard, posts, 0, n, [loads.index(min(loads))]))
+                    continue
+                joins = sorted({load // posts for load in loads})
+                at, taken = 0, [0] * parts
+                for k, turn in enumerate(joins):
+                    ready = sorted((k for k in range(parts) if loads[k] // posts <= turn), key=lambda k: (loads[k] % posts, k))
+                    size = n - at if k + 1 == len(joins) else min(n - at, len(ready) * (joins[k + 1] - turn))
+                    if not size:
+                        break
+                    out.append((shard, posts, at, at + size, ready))
+                    for i, part in enumerate(ready):
+                        taken[part] += size // len(ready) + (i < size % len(ready))
+                    at += size
+                loads = [load + posts * t for load, t in zip(loads, taken, strict=True)]
+        return pd.DataFrame(out, columns=[by, "posts", "low", "high", "ready"])
 
     counts = rows.groupBy(by, "posts").agg(F.count("*").alias("n"))
-    dealt = counts.groupBy(by).applyInPandas(deal, f"{by} long, posts long, rank long, part int")
-    ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(by, "posts").orderBy("did")).cast("long"))
-    return ranked.join(dealt, [by, "posts", "rank"]).drop("rank")
+    dealt = counts.groupBy(by).applyInPandas(stretches, f"{by} long, posts long, low long, high long, ready array<int>")
+    ranked = ranked_by_hash(rows, [by, "posts"], "did").join(dealt, [by, "posts"]).where("rank >= low and rank < high")
+    part = F.element_at("ready", (F.pmod(F.col("rank") - F.col("low"), F.size("ready")) + 1).cast("int"))
+    return ranked.withColumn("part", part).drop("rank", "low", "high", "ready")

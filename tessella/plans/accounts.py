@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import tid_of
 from ..operators import ledger as L
 from ..operators import verify as V
 from ..sources import tables
@@ -44,7 +45,10 @@ def recrawl_candidates(spark: SparkSession, sf: str) -> DataFrame:
     return L.recrawl_candidates(tables.ledger(spark, sf), 1700001000000)
 
 
-@query("recrawl_parts")
+@query("recrawl_parts", "WITH RECURSIVE " + _LED.removeprefix("WITH ") + ", c AS (" + _CANDIDATES + """), o AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY posts DESC, md5(did), did) AS r FROM c),
+g AS (SELECT bucket, did, pds_host, posts, r, [posts, 0, 0] AS loads, 0 AS part FROM o WHERE r = 1
+  UNION ALL SELECT o.bucket, o.did, o.pds_host, o.posts, o.r, list_transform(range(1, 4), lambda k: g.loads[k] + CASE WHEN k = list_position(g.loads, list_min(g.loads)) THEN o.posts ELSE 0 END), list_position(g.loads, list_min(g.loads)) - 1 FROM g JOIN o ON o.bucket = g.bucket AND o.r = g.r + 1)
+SELECT bucket, did, pds_host, posts, part::INT AS part FROM g""")
 def recrawl_parts(spark: SparkSession, sf: str) -> DataFrame:
     return L.balanced_parts(L.recrawl_candidates(tables.ledger(spark, sf), 1700001000000), 3)
 
@@ -116,15 +120,23 @@ def orphans(spark: SparkSession, sf: str) -> DataFrame:
     return V.orphans(tables.actual_posts(spark, sf), tables.expected(spark, sf))
 
 
+#: Accounts of every third number were never loaded to the end. Every 37th key is one of a post of an hour before or after
+#: the load, which was never stored.
 def _superset(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    own = tables.read(spark, sf, "orders").selectExpr("concat('c', o_custkey) as did", "cast(o_orderkey as string) as rkey", "cast(null as bigint) as loaded_at")
-    return V.superset_check(own, tables.actual_posts(spark, sf))
+    o = tables.read(spark, sf, "orders")
+    loaded = F.expr("if(o_custkey % 3 = 0, null, 1700000000000 + o_custkey * 1000)")
+    own = o.select(F.concat(F.lit("c"), "o_custkey").alias("did"), F.col("o_orderkey").cast("string").alias("rkey"), loaded.alias("loaded_at"))
+    near = F.expr("(1700000000000 + o_custkey * 1000 + if(o_orderkey % 2 = 0, 3600000, -3600000)) * 1000 + o_orderkey % 1000")
+    fresh = o.where("o_orderkey % 37 = 0").select(F.concat(F.lit("c"), "o_custkey").alias("did"), tid_of(near).alias("rkey"), loaded.alias("loaded_at"))
+    return V.superset_check(own.unionByName(fresh), tables.actual_posts(spark, sf))
 
 
-_SETS = with_tables("actual") + ", f AS (SELECT DISTINCT 'c' || o_custkey AS did, o_orderkey::VARCHAR AS rkey FROM orders), s AS (SELECT DISTINCT did, rkey FROM act WHERE did IN (SELECT did FROM f)) "
+_NEAR = "(1700000000000 + o_custkey * 1000 + CASE WHEN o_orderkey % 2 = 0 THEN 3600000 ELSE -3600000 END) * 1000 + o_orderkey % 1000"
+_SETS = with_tables("actual") + f""", f AS (SELECT DISTINCT 'c' || o_custkey AS did, o_orderkey::VARCHAR AS rkey, false AS late FROM orders
+  UNION SELECT 'c' || o_custkey, {tables.tid_sql(_NEAR)}, o_orderkey % 2 = 0 AND o_custkey % 3 <> 0 FROM orders WHERE o_orderkey % 37 = 0), s AS (SELECT DISTINCT did, rkey FROM act WHERE did IN (SELECT did FROM f)) """
 
 
-@query("superset_missing", _SETS + "SELECT did, rkey FROM f EXCEPT SELECT did, rkey FROM s")
+@query("superset_missing", _SETS + "SELECT did, rkey FROM f WHERE NOT late EXCEPT SELECT did, rkey FROM s")
 def superset_missing(spark: SparkSession, sf: str) -> DataFrame:
     return _superset(spark, sf)[0]
 
@@ -163,15 +175,21 @@ def host_verdicts(spark: SparkSession, sf: str) -> DataFrame:
     return V.host_verdicts(by.withColumn("verdict", verdict))
 
 
-@query("sample_accounts")
+@query("sample_accounts", _LED + "SELECT did FROM led WHERE status = 'loaded' ORDER BY md5(did || '/42'), did LIMIT 25")
 def sample_accounts(spark: SparkSession, sf: str) -> DataFrame:
     """A uniform sample of loaded accounts; the same seed gives the same rows."""
-    return tables.ledger(spark, sf).where("status = 'loaded'").orderBy(F.xxhash64("did", F.lit(42))).limit(25).select("did")
+    return tables.ledger(spark, sf).where("status = 'loaded'").orderBy(F.md5(F.concat("did", F.lit("/42")).cast("binary")), "did").limit(25).select("did")
 
 
-@query("batch_token", "WITH b AS (SELECT o_custkey % 16 AS batch, string_agg('c' || o_custkey || chr(0) || o_orderkey, chr(0) ORDER BY 'c' || o_custkey, o_orderkey::VARCHAR) AS s FROM (SELECT DISTINCT o_custkey, o_orderkey FROM orders) GROUP BY 1) SELECT batch, sha1(s) AS token FROM b")
+@query("bucket_slice", _LED + "SELECT did, bucket FROM led WHERE bucket % 4 = 1")
+def bucket_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """The accounts of one worker of four, by bucket."""
+    return tables.ledger(spark, sf).where("bucket % 4 = 1").select("did", "bucket")
+
+
+@query("batch_token", "WITH b AS (SELECT o_orderkey // 512 AS batch, string_agg('c' || o_custkey || chr(0) || o_orderkey, chr(0) ORDER BY 'c' || o_custkey, o_orderkey::VARCHAR) AS s FROM (SELECT DISTINCT o_custkey, o_orderkey FROM orders) GROUP BY 1) SELECT batch, sha1(s) AS token FROM b")
 def batch_token(spark: SparkSession, sf: str) -> DataFrame:
     """Idempotence token of a batch: SHA-1 over its keys in order."""
-    rows = tables.read(spark, sf, "orders").select("o_custkey", "o_orderkey").distinct().selectExpr("o_custkey % 16 as batch", "concat('c', o_custkey) as did", "cast(o_orderkey as string) as rkey")
-    keys = F.array_sort(F.collect_list(F.struct("did", "rkey")))  # a batch's rows, bounded by the batch size
+    rows = tables.read(spark, sf, "orders").select("o_custkey", "o_orderkey").distinct().selectExpr("o_orderkey div 512 as batch", "concat('c', o_custkey) as did", "cast(o_orderkey as string) as rkey")
+    keys = F.array_sort(F.collect_list(F.struct("did", "rkey")))  # at most a batch of 512 order keys
     return rows.groupBy("batch").agg(F.sha1(F.array_join(F.transform(keys, lambda k: F.concat(k.did, F.lit("\0"), k.rkey)), "\0")).alias("token"))

@@ -219,8 +219,8 @@ def archive_manifest(spark: SparkSession, sf: str) -> DataFrame:
 def recent_repair(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly deltas over-count replayed posts; the last two days are rebuilt from last versions."""
     dup, spec = tables.posts_dup(spark, sf), A.SPECS["posts_hourly"]
-    last = tables.posts(spark, sf).agg(F.max("created_at").alias("t")).first().t  # one value
-    return repaired(spec, spec.summed(spec.select(dup)), P.posts_final(dup), aligned_cutoff(F.lit(last).cast("timestamp_ntz"), 2))
+    last = aligned_cutoff(tables.posts(spark, sf).agg(F.max("created_at").alias("t")).select("t").scalar(), 2)
+    return repaired(spec, spec.summed(spec.select(dup)), P.posts_final(dup), last)
 
 
 @query("rebuild_vs_delta", _POSTS + ", dup AS (SELECT emojis FROM posts UNION ALL SELECT list_reverse(emojis[2:300]) FROM posts WHERE rkey::BIGINT % 10 = 0), fin AS (SELECT CASE WHEN rkey::BIGINT % 10 = 0 THEN list_reverse(emojis[2:300]) ELSE emojis END AS emojis FROM posts), b AS (SELECT count(*) AS posts, sum((len(emojis) > 0)::INT) AS w, sum(len(emojis)) AS o FROM dup), a AS (SELECT count(*) AS posts, sum((len(emojis) > 0)::INT) AS w, sum(len(emojis)) AS o FROM fin) SELECT m AS measure, x::BIGINT AS before, y::BIGINT AS after, (y - x)::BIGINT AS delta FROM (SELECT 'posts' AS m, b.posts AS x, a.posts AS y FROM a, b UNION ALL SELECT 'posts_with_emojis', b.w, a.w FROM a, b UNION ALL SELECT 'emoji_occurrences', b.o, a.o FROM a, b)")
@@ -231,4 +231,4 @@ def rebuild_vs_delta(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("storage_stats")
 def storage_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return archive.storage(spark, sf, ["documents", "events", "orders", "lineitem"])
+    return archive.storage(spark, sf, tables.NAMES)

@@ -131,15 +131,16 @@ def issues_feed(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("ts", "did", "pds_host", "event", F.substring("error", 1, 160).alias("error"))
 
 
-_REASON = ", rc AS (SELECT ts, date_trunc('day', ts)::DATE::VARCHAR AS snapshot_id, " + _LOGICAL + " AS shard, event AS status, CASE WHEN error = '' THEN 'none' ELSE error END AS reason, count(*) AS n FROM ev WHERE event IN ('failed', 'quarantined', 'unreachable') GROUP BY ALL)"
+_REASON = ", rc AS (SELECT date_trunc('day', ts) + to_hours((hour(ts) // 12 * 12)::INT) AS ts, date_trunc('day', ts)::DATE::VARCHAR AS snapshot_id, " + _LOGICAL + " AS shard, event AS status, CASE WHEN error = '' THEN 'none' ELSE error END AS reason, count(*) AS n FROM ev WHERE event IN ('failed', 'quarantined', 'unreachable') GROUP BY 1, 2, 3, 4, 5)"
 _COMPLETE = f", ok AS (SELECT snapshot_id FROM rc GROUP BY snapshot_id HAVING count(DISTINCT shard) >= {REASON_SHARDS} ORDER BY max(ts) DESC, snapshot_id DESC LIMIT 1)"
 
 
 def reason_snapshots(events: DataFrame) -> DataFrame:
-    """Daily snapshots of problem events by shard, status and reason."""
+    """Daily snapshots of problem events by shard, status and reason, taken anew at noon."""
     rows = events.where(F.col("event").isin("failed", "quarantined", "unreachable"))
     reason = F.when(F.col("error") == "", "none").otherwise(F.col("error"))
-    return rows.groupBy("ts", F.date_format("ts", "yyyy-MM-dd").alias("snapshot_id"), logical_shard(F.col("shard")).alias("shard"), F.col("event").alias("status"), reason.alias("reason")).agg(F.count("*").alias("n"))
+    half = (F.date_trunc("day", "ts").cast("timestamp_ntz") + F.make_dt_interval(hours=F.floor(F.hour("ts") / 12).cast("int") * 12)).alias("ts")
+    return rows.groupBy(half, F.date_format("ts", "yyyy-MM-dd").alias("snapshot_id"), logical_shard(F.col("shard")).alias("shard"), F.col("event").alias("status"), reason.alias("reason")).agg(F.count("*").alias("n"))
 
 
 def latest_complete(counts: DataFrame, shards: int = REASON_SHARDS) -> DataFrame:
@@ -244,3 +245,10 @@ def tick_rates(spark: SparkSession, sf: str) -> DataFrame:
     hours = F.timestamp_diff("SECOND", F.lag("ts").over(w), F.col("ts")) / 3600
     day = F.date_trunc("day", "ts")
     return tables.progress(spark, sf).select("run_id", "shard", "ts", F.round(F.coalesce((F.col("pending") - F.lag("pending").over(w)) / -hours, F.lit(0.0)), 6).alias("per_hour"), F.coalesce(day != F.lag(day).over(w), F.lit(True)).alias("new_day"))
+
+
+@query("events_without_shard", _EV + "SELECT run_id, shard, count(*) AS events FROM ev WHERE NOT (run_id = 'main-a' AND shard = 'shard3') GROUP BY run_id, shard")
+def events_without_shard(spark: SparkSession, sf: str) -> DataFrame:
+    """What is left once the events of one run and shard are deleted."""
+    gone = (F.col("run_id") == "main-a") & (F.col("shard") == "shard3")
+    return tables.repo_events(spark, sf).where(~gone).groupBy("run_id", "shard").agg(F.count("*").alias("events"))

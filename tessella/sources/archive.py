@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,13 +37,10 @@ def write_manifest(spark: SparkSession, path: str, out: str, time: str = "create
 
 
 def storage(spark: SparkSession, root: str, tables: list[str]) -> DataFrame:
-    """Parts and bytes on disk of each table's folder or file below `root`."""
-    rows = []
-    for t in tables:
-        p, fs = hadoop(spark, f"{root}/{t}.parquet")
-        summary = fs.getContentSummary(p)
-        rows.append((t, summary.getFileCount(), summary.getLength()))
-    return spark.createDataFrame(rows, "table string, parts long, bytes_on_disk long")
+    """Parts, bytes on disk and rows of each table's folder or file below `root`, from what a scan tells of its files."""
+    file = lambda t: spark.read.parquet(f"{root}/{t}.parquet").select(F.lit(t).alias("table"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+    files = reduce(DataFrame.unionByName, map(file, tables)).groupBy("table", "file", "bytes").agg(F.count("*").alias("rows"))
+    return files.groupBy("table").agg(F.count("*").alias("parts"), F.sum("bytes").alias("bytes_on_disk"), F.sum("rows").alias("rows"))
 
 
 def did_list(spark: SparkSession, path: str) -> DataFrame:

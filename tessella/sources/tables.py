@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.scalars import bucket_of, digest, logical_shard
+from ..functions.scalars import TID_DIGITS, bucket_of, digest, logical_shard, tid_of
 from ..schemas import STATUSES
 
+NAMES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 GLYPHS = "[éèêàçùôîñüöäßáíóú]"
 
 
@@ -31,6 +32,37 @@ def posts_from(documents: DataFrame) -> DataFrame:
     )
 
 
+#: Glyphs that raw events carry, by document id: as written, and in canonical form.
+GLYPH_CASES = [
+    ("", ""), ("\U0001f600", "\U0001f600"), ("\u2764", "\u2764\ufe0f"), ("\u2764\ufe0f", "\u2764\ufe0f"), ("\U0001f44d\U0001f3fd", "\U0001f44d\U0001f3fd"),
+    ("\U0001f468\u200d\U0001f469\u200d\U0001f467\u200d\U0001f466",) * 2, ("\U0001f1e9\U0001f1ea",) * 2, ("1\ufe0f\u20e3",) * 2, ("\u260e", "\u260e\ufe0f"),
+    ("\U0001f3f4\U000e0067\U000e0062\U000e0065\U000e006e\U000e0067\U000e007f",) * 2,
+]
+#: Every fiftieth document has more glyphs than a post may hold.
+GLYPH_RUNS = "if(doc_id % 50 = 1, 310, doc_id % 3 + 1)"
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_events_from(read(spark, sf_dir, "documents"))
+
+
+def raw_events_from(documents: DataFrame) -> DataFrame:
+    """Raw post events, a document each: a glyph written some times behind the text, stated times in and out of the window,
+    timestamp ids before and after it, languages of every shape."""
+    rows = documents.selectExpr("*", "1717200000000000 + (doc_id % 100000) * 1000000 as timeUs")
+    glyph = F.element_at(F.array(*[F.lit(raw) for raw, _ in GLYPH_CASES]), (F.col("doc_id") % len(GLYPH_CASES) + 1).cast("int"))
+    iso = lambda seconds: F.date_format(F.timestamp_micros(F.col("timeUs") + seconds * 1_000_000), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    day = 86_400
+    stated = F.when(F.col("doc_id") % 5 == 0, iso(-60)).when(F.col("doc_id") % 5 == 1, "garbage").when(F.col("doc_id") % 5 == 3, iso(2 * day - 60)).when(F.col("doc_id") % 5 == 4, iso(2 * day + 60))
+    rkey = F.when(F.col("doc_id") % 4 == 2, tid_of(F.col("timeUs") - 30_000_000)).when(F.col("doc_id") % 4 == 3, tid_of(F.col("timeUs") + 10 * day * 1_000_000)).otherwise(F.concat(F.lit("k"), "doc_id"))
+    langs = F.expr("element_at(array(cast(null as array<string>), cast(array() as array<string>), array('en', ' en ', '', 'ja'), array('', '  '), array(lang)), cast(doc_id % 7 % 5 + 1 as int))")
+    return rows.select(
+        "doc_id", F.concat(F.lit("did:"), F.coalesce("source", F.lit("none"))).alias("did"), rkey.alias("rkey"),
+        F.concat(F.coalesce("text", F.lit("")), F.repeat(F.concat(F.lit(" "), glyph), F.expr(f"cast({GLYPH_RUNS} as int)"))).alias("text"),
+        langs.alias("langs"), stated.alias("createdAt"), "timeUs", F.lit(None).cast("map<string,string>").alias("extras"),
+    )
+
+
 def posts_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts, and later versions of every tenth: a day on, glyphs reversed and less one."""
     first = posts(spark, sf_dir)
@@ -114,8 +146,23 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- the same tables for DuckDB, as common table expressions
 
+def tid_sql(micros: str) -> str:
+    """The timestamp id of a time in microseconds, in SQL."""
+    return f"array_to_string(list_transform(range(12, -1, -1), lambda k: substr('{TID_DIGITS}', (((({micros}) << 10) >> (5 * k)) & 31)::INT + 1, 1)), '')"
+
+
+def _glyph_list(k: int) -> str:
+    return "[" + ", ".join(f"'{case[k]}'" for case in GLYPH_CASES) + "]"
+
+
 _START = "TIMESTAMP '2023-01-01' + to_hours((doc_id % 100000)::INT)"
 SQL = {
+    "raw": f"""raw0 AS (SELECT *, 1717200000000000 + (doc_id % 100000) * 1000000 AS us, CASE WHEN doc_id % 10 = 0 THEN 0 WHEN doc_id % 50 = 1 THEN 310 ELSE doc_id % 3 + 1 END AS runs FROM documents),
+raw AS (SELECT doc_id, 'did:' || coalesce(source, 'none') AS did, make_timestamp(us) AS received, runs,
+  CASE doc_id % 4 WHEN 2 THEN {tid_sql("us - 30000000")} WHEN 3 THEN {tid_sql("us + 864000000000")} ELSE 'k' || doc_id END AS rkey,
+  {_glyph_list(0)}[(doc_id % 10)::INT + 1] AS written, {_glyph_list(1)}[(doc_id % 10)::INT + 1] AS glyph, CASE doc_id % 7 % 5 WHEN 2 THEN 'en|ja' WHEN 4 THEN coalesce(nullif(trim(lang), ''), 'unknown') ELSE 'unknown' END AS langs,
+  CASE WHEN doc_id % 5 = 0 THEN make_timestamp(us - 60000000) WHEN doc_id % 5 = 3 THEN make_timestamp(us + 172740000000) WHEN doc_id % 4 = 2 THEN make_timestamp(us - 30000000) ELSE make_timestamp(us) END AS created_at,
+  CASE WHEN doc_id % 5 IN (0, 3) THEN '' WHEN doc_id % 4 = 2 THEN 'createdat-tid-fallback' ELSE 'createdat-receive-fallback' END AS time_anomaly FROM raw0)""",
     "posts": f"""posts AS (SELECT source AS did, lpad(doc_id::VARCHAR, 8, '0') AS rkey, {_START} AS created_at, text,
   CASE WHEN doc_id % 5 = 0 THEN [lang, 'unknown'] ELSE [lang] END AS langs, regexp_extract_all(coalesce(text, ''), '{GLYPHS}')[1:300] AS emojis,
   CASE WHEN doc_id % 4 = 0 THEN 'live' ELSE 'backfill' END AS src, {_START} + to_seconds(n_chars) AS ingested_at FROM documents)""",

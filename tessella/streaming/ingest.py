@@ -89,3 +89,15 @@ def stream_rollup_deltas(spark: SparkSession, sf: str) -> DataFrame:
     posts = tables.posts_from(stream_of(spark, sf, "documents"))
     run_batches(posts, "rollup", lambda batch, batch_id: spec.select(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}"))
     return spec.summed(spark.read.parquet(out))
+
+
+@query("ingest_replay", with_tables("raw") + "SELECT glyph AS emoji, sum(least(runs, 300))::BIGINT AS occurrences, count(*) AS posts, (SELECT count(*) FROM raw) AS stored FROM raw WHERE runs > 0 GROUP BY glyph")
+def ingest_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """The live path, stopped and started again: half of the events, then all of them, so that one half is replayed and the
+    other comes late. Every post is stored and counted once."""
+    raw, source, root, checkpoint = tables.raw_events(spark, sf), *(new_path(spark, f"replay-{x}") for x in ("events", "store", "checkpoint"))
+    for part in (raw.where("doc_id % 2 = 1"), raw):
+        part.withColumn("did", F.concat("did", F.lit("/"), "doc_id")).drop("doc_id").write.mode("append").json(source)
+        start_ingest(raw_events(spark, source), root, checkpoint, once=True).awaitTermination()
+    stored = spark.read.parquet(f"{root}/posts").agg(F.count("*").alias("stored"))
+    return RollupStore(spark, f"{root}/rollups").read("emoji_total").crossJoin(F.broadcast(stored))  # one row
