@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import glyphs
+from ..functions import glyphs, scalars
 from ..functions.scalars import strings_of_json
 from ..operators import aggregates as A
 from ..operators.posts import archive_rows, normalize, text_policy
@@ -68,3 +68,39 @@ def archive_extras(spark: SparkSession, sf: str) -> DataFrame:
     )
     out = archive_rows(rows, "extras")
     return out.agg(F.count("*").alias("rows"), F.count_if(F.col("facets").startswith('{"at"')).alias("with_facets"), F.count_if(F.col("facets") == "").alias("blank_facets"), F.count_if(F.col("reply") == "").alias("blank_reply"), F.sum(F.size("langs")).alias("langs"))
+
+
+_ENDS = "WITH u AS (SELECT page_id, lower(split_part(url, '://', 1)) AS scheme, lower(split_part(split_part(url, '://', 2), '/', 1)) AS host FROM pages) "
+
+
+@query("hosts_canonical", _ENDS + """SELECT page_id, CASE WHEN page_id % 4 = 3 THEN NULL ELSE CASE scheme WHEN 'http' THEN 'http://' ELSE '' END || host ||
+  CASE WHEN page_id % 4 = 2 THEN ':8443' WHEN page_id % 4 = 1 AND scheme = 'http' THEN ':443' ELSE '' END END AS host FROM u""")
+def hosts_canonical(spark: SparkSession, sf: str) -> DataFrame:
+    """Endpoints of every spelling: upper case, the scheme's port, another port, none at all."""
+    rows = tables.read(spark, sf, "pages").selectExpr("page_id", "url", "split_part(url, '://', 1) as scheme", "split_part(split_part(url, '://', 2), '/', 1) as host")
+    end = F.expr("case page_id % 4 when 0 then url when 1 then upper(scheme) || '://' || upper(host) || ':443/x' when 2 then scheme || '://me@' || host || ':8443' else 'no url' end")
+    return rows.select("page_id", scalars.canonical_host(end).alias("host"))
+
+
+@query("fetch_outcomes", """WITH e AS (SELECT event_id, [400, 404, 429, 503, 302][(event_id % 5)::INT + 1] AS status, ['RepoTakendown', 'RepoDeactivated', 'RepoNotFound', '', 'Other'][(event_id % 7 % 5)::INT + 1] AS error FROM events)
+SELECT event_id, CASE error WHEN 'RepoTakendown' THEN 'takendown' WHEN 'RepoDeactivated' THEN 'deactivated' WHEN 'RepoNotFound' THEN 'failed' ELSE CASE WHEN status IN (429, 503, 302) THEN 'retry' ELSE 'failed' END END AS outcome,
+  least(60 * 2.0 ** (event_id % 12), 3600)::DOUBLE AS delay, CASE event_id % 3 WHEN 0 THEN event_id % 500 WHEN 1 THEN greatest(event_id % 100 - 20, 0) ELSE 0 END::DOUBLE AS retry_after FROM e""")
+def fetch_outcomes(spark: SparkSession, sf: str) -> DataFrame:
+    """Terminal state of each failed fetch, backoff by attempts, and the Retry-After header as seconds or as a date."""
+    pick = lambda values, k: F.element_at(F.array(*map(F.lit, values)), (k + 1).cast("int"))
+    e, ts = F.col("event_id"), F.col("ts").cast("timestamp_ntz")
+    date = F.concat(F.date_format(ts + F.make_dt_interval(secs=(e % 100 - 20)), "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))
+    header = F.when(e % 3 == 0, (e % 500).cast("string")).when(e % 3 == 1, date).otherwise("soon")
+    outcome = scalars.http_outcome(pick([400, 404, 429, 503, 302], e % 5), pick(["RepoTakendown", "RepoDeactivated", "RepoNotFound", "", "Other"], e % 7 % 5))
+    return tables.read(spark, sf, "events").select("event_id", outcome.alias("outcome"), scalars.retry_delay(e % 12, 60, 3600).alias("delay"), scalars.retry_after_seconds(header, scalars.floor_seconds(ts, F.lit(1))).alias("retry_after"))
+
+
+@query("crawl_eta", "SELECT event_id, round(CASE WHEN event_id % 5 > 0 THEN event_id / (event_id % 5) / 60.0 END, 6) AS hours, CASE WHEN s >= 86400 THEN (s // 86400) || 'd ' || (s % 86400 // 3600) || 'h' WHEN s >= 3600 THEN (s // 3600) || 'h ' || (s % 3600 // 60) || 'm' WHEN s >= 60 THEN (s // 60) || 'm ' || (s % 60) || 's' ELSE s || 's' END AS left FROM (SELECT event_id, event_id * 37 AS s FROM events)")
+def crawl_eta(spark: SparkSession, sf: str) -> DataFrame:
+    e = F.col("event_id")
+    return tables.read(spark, sf, "events").select(e, F.round(scalars.eta_hours(e, e % 5), 6).alias("hours"), scalars.human_duration(e * 37).alias("left"))
+
+
+@query("lang_flags", "SELECT lang, CASE lang WHEN 'en' THEN '\U0001f1fa\U0001f1f8' WHEN 'fr' THEN '\U0001f1eb\U0001f1f7' WHEN 'de' THEN '\U0001f1e9\U0001f1ea' WHEN 'es' THEN '\U0001f1ea\U0001f1f8' ELSE '\U0001f3f3\ufe0f' END AS flag, count(*) AS posts FROM documents GROUP BY lang")
+def lang_flags(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.read(spark, sf, "documents").groupBy("lang").agg(F.count("*").alias("posts")).select("lang", scalars.flag_of(F.col("lang")).alias("flag"), "posts")

@@ -232,3 +232,9 @@ def rebuild_vs_delta(spark: SparkSession, sf: str) -> DataFrame:
 @query("storage_stats")
 def storage_stats(spark: SparkSession, sf: str) -> DataFrame:
     return archive.storage(spark, sf, tables.NAMES)
+
+
+@query("storage_rows", " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in tables.NAMES))
+def storage_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each stored table; storage_stats tells their bytes as well."""
+    return archive.storage(spark, sf, tables.NAMES).select("table", "rows")

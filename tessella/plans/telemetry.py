@@ -107,11 +107,15 @@ def shard_freshness(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("throughput_timeline", _PR + _SCOPE + f", e AS (SELECT * FROM ev WHERE run_id IN (SELECT run_id FROM sc)), b AS (SELECT greatest(60, ceil((epoch_us(max(ts)) - epoch_us(min(ts))) / 1000000 / {TIMELINE_POINTS}))::BIGINT AS step FROM e) SELECT (epoch_us(ts) // (step * 1000000)) * step AS bucket, coalesce(sum(posts) FILTER (WHERE event = 'loaded'), 0)::BIGINT AS posts_loaded, sum(car_bytes)::BIGINT AS bytes_downloaded, step FROM e, b GROUP BY 1, step")
 def throughput_timeline(spark: SparkSession, sf: str) -> DataFrame:
+    """Events are summed by second once; the step and the buckets both come from that table."""
     e = in_scope(tables.repo_events(spark, sf), run_scope(tables.progress(spark, sf)))
-    span = F.timestamp_diff("MICROSECOND", F.min("ts"), F.max("ts")) / 1_000_000
-    step = e.agg(F.greatest(F.lit(60), F.ceil(span / TIMELINE_POINTS)).cast("long").alias("step"))
-    rows = e.join(F.broadcast(step), F.lit(True)).withColumn("bucket", floor_seconds(F.col("ts"), F.col("step")))
-    return rows.groupBy("bucket", "step").agg(F.coalesce(F.sum(F.when(F.col("event") == "loaded", F.col("posts"))), F.lit(0)).alias("posts_loaded"), F.sum("car_bytes").alias("bytes_downloaded"))
+    seconds = e.groupBy(floor_seconds(F.col("ts"), F.lit(1)).alias("second")).agg(
+        F.min("ts").alias("low"), F.max("ts").alias("high"), F.sum(F.when(F.col("event") == "loaded", F.col("posts"))).alias("posts"), F.sum("car_bytes").alias("bytes")
+    )
+    span = F.timestamp_diff("MICROSECOND", F.min("low"), F.max("high")) / 1_000_000
+    step = seconds.agg(F.greatest(F.lit(60), F.ceil(span / TIMELINE_POINTS)).cast("long").alias("step"))
+    rows = seconds.join(F.broadcast(step), F.lit(True)).withColumn("bucket", F.floor(F.col("second") / F.col("step")) * F.col("step"))  # a row
+    return rows.groupBy("bucket", "step").agg(F.coalesce(F.sum("posts"), F.lit(0)).alias("posts_loaded"), F.sum("bytes").alias("bytes_downloaded"))
 
 
 @query("hosts_table", _PR + _SCOPE + f" SELECT pds_host AS host, count(*) FILTER (WHERE event IN {_IN(TERMINAL_EVENTS)}) AS total, count(*) FILTER (WHERE event = 'loaded') AS loaded, count(*) FILTER (WHERE event = 'empty') AS empty, count(*) FILTER (WHERE event IN {_IN(ISSUE_EVENTS)}) AS issues, sum(car_bytes)::BIGINT AS bytes, round(coalesce(avg(posts) FILTER (WHERE event = 'loaded'), 0), 6) AS avg_posts FROM ev WHERE run_id IN (SELECT run_id FROM sc) GROUP BY pds_host ORDER BY total DESC, loaded DESC, host LIMIT 12")
