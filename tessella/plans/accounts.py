@@ -193,3 +193,24 @@ def batch_token(spark: SparkSession, sf: str) -> DataFrame:
     rows = tables.read(spark, sf, "orders").select("o_custkey", "o_orderkey").distinct().selectExpr("o_orderkey div 512 as batch", "concat('c', o_custkey) as did", "cast(o_orderkey as string) as rkey")
     keys = F.array_sort(F.collect_list(F.struct("did", "rkey")))  # at most a batch of 512 order keys
     return rows.groupBy("batch").agg(F.sha1(F.array_join(F.transform(keys, lambda k: F.concat(k.did, F.lit("\0"), k.rkey)), "\0")).alias("token"))
+
+
+#: A text for every rule of every status, and two that no rule knows.
+_TEXTS = [(status, pattern.replace("%", "x")) for status, rules in L.REASONS.items() for pattern, _ in rules] + [("failed", ""), ("quarantined", "new")]
+_SQL_LIST = lambda k: "[" + ", ".join(f"'{t[k]}'" for t in _TEXTS) + "]"
+
+
+@query("reason_labels", f"WITH e AS (SELECT event_id, {_SQL_LIST(0)}[(event_id % {len(_TEXTS)})::INT + 1] AS status, {_SQL_LIST(1)}[(event_id % {len(_TEXTS)})::INT + 1] AS error FROM events) SELECT status, {L.reason_sql()} AS reason, count(*) AS n FROM e GROUP BY ALL")
+def reason_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Errors of every kind under the rules of their status."""
+    pick = lambda k: F.element_at(F.array(*[F.lit(t[k]) for t in _TEXTS]), (F.col("event_id") % len(_TEXTS) + 1).cast("int"))
+    rows = tables.read(spark, sf, "events").select(pick(0).alias("status"), pick(1).alias("error"))
+    return rows.groupBy("status", L.reason().alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query("accounts_touched", with_tables("events") + "SELECT pds_host, least(count(DISTINCT did), 5) AS touched, count(DISTINCT did) > 5 AS more FROM ev WHERE event = 'loaded' GROUP BY pds_host")
+def accounts_touched(spark: SparkSession, sf: str) -> DataFrame:
+    """How many accounts each host had loaded, counted up to a limit."""
+    rows = tables.repo_events(spark, sf).where("event = 'loaded'").select("pds_host", "did").distinct()
+    by = rows.groupBy("pds_host").agg(F.count("*").alias("n"))
+    return by.select("pds_host", F.least(F.col("n"), F.lit(5)).alias("touched"), (F.col("n") > 5).alias("more"))
