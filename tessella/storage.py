@@ -45,6 +45,11 @@ def discard(*tables: DataFrame) -> None:
             fs.delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have shuffle files deleted that nothing refers to any more; Spark sees to it when the driver collects its garbage."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def hadoop(spark: SparkSession, path: str):
     """The path as Hadoop knows it, and its file system."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
