@@ -48,8 +48,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special)) if special else r"(?!)")
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = dtype
         self.pieces = _BYTE_PIECES if "byte_bpe" in os.path.basename(file) else _WORD_PIECES
         self.known: dict[str, bytes] = {}
@@ -121,7 +120,7 @@ class Encoder:
         out = []
         for k in range(0, len(texts), 50):
             block = texts[k : k + 50]
-            odd = {j for j, text in enumerate(block) if self.special.search(text or "")}
+            odd = {j for j, text in enumerate(block) for token in self.special if text and token in text}
             cuts = [() if j in odd else self.pieces.findall(text or "") for j, text in enumerate(block)]
             every = set().union(*cuts)
             new = [piece for piece in every if piece not in self.known]
