@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, fold, materialize
+from .common import discard, fold, materialize, release
 from .suffix_dedup import mixed, powers
 
 CLASSES, TAIL_CLASSES, LOOKED_UP, ROUNDS = 64, 64, 100_000, 6
@@ -114,10 +114,11 @@ def words_and_pairs(train: DataFrame, parts: int) -> DataFrame:
 
 
 def word_sides(pairs: DataFrame, first: np.ndarray, parts: int) -> DataFrame:
-    """(chunk, first, words, own, other, n): both neighbours of each word, all of a word's in one row.
+    """(chunk, first, words, own0, other0, n0, own1, other1, n1): neighbours of each word, all of a word's in one row.
 
-    A word's id is first[part] and its place in the part; start and end follow all words. `own` is the word's place in
-    the chunk, `other` twice the neighbour's id, and 1 more where it follows. A chunk of -1 holds what stands before the end.
+    0 is what stands before a word, 1 what follows. A word's id is first[part] and its place in the part; start and end
+    follow all words. `own` is the word's place in the chunk, `other` the neighbour's id; `n` is given for the first of
+    them, the rest are pairs seen once. A chunk of -1 holds what stands before the end.
     """
     total = int(first[-1])
 
@@ -134,30 +135,47 @@ def word_sides(pairs: DataFrame, first: np.ndarray, parts: int) -> DataFrame:
             out += [(dst, 0, y, x, n), (part, 1, x, y, n)]
         return pd.DataFrame(out, columns=["part", "ahead", "own", "other", "n"])
 
+    def sorted_side(held: list[tuple], low: int) -> tuple[np.ndarray, ...]:
+        own, other, n = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.zeros(0, "<u4"),) * 3
+        held.clear()
+        chunk = (own - np.uint32(low)) // np.uint32(CHUNK) * np.uint32(2) + (n == 1)
+        order = np.argsort(chunk, kind="stable")
+        return own[order], other[order], n[order], chunk[order]
+
     def chunks(pdf: pd.DataFrame) -> pd.DataFrame:
         part, word = int(pdf["part"].iloc[0]), np.zeros(0, np.uint64)
-        held = []
+        held, end = ([], []), []
         for ahead, own, other, n in zip(pdf["ahead"], pdf["own"], pdf["other"], pdf["n"], strict=True):
             if ahead == 2:
                 word = np.frombuffer(other, "<u8")
-            else:
-                held.append((np.frombuffer(own, "<u4"), np.frombuffer(other, "<u4") * np.uint32(2) + np.uint32(ahead), np.frombuffer(n, "<u4")))
-        own, other, n = (np.concatenate(x) for x in zip(*held, strict=True))
-        held.clear()
-        order = np.argsort(own, kind="stable")
-        own, other, n = own[order], other[order], n[order]
-        edges, out = [*range(int(first[part]), int(first[part + 1]), CHUNK), int(first[part + 1])], []
-        for k, (low, high) in enumerate(zip(edges, edges[1:], strict=False)):
-            s = slice(*np.searchsorted(own, np.array((low, high), np.uint32)))
-            out.append((part + k, low, word[low - edges[0] : high - edges[0]].tobytes(), (own[s] - np.uint32(low)).astype("<u2").tobytes(), other[s].tobytes(), n[s].tobytes()))
-        s = (own == total + 1) & (other % 2 == 0)
-        if s.any():
-            out.append((-1, total + 1, b"", np.zeros(s.sum(), "<u2").tobytes(), other[s].tobytes(), n[s].tobytes()))
-        return pd.DataFrame(out, columns=["chunk", "first", "words", "own", "other", "n"])
+                continue
+            own, other, n = (np.frombuffer(x, "<u4") for x in (own, other, n))
+            if ahead == 0 and (last := own == total + 1).any():
+                end.append((own[last], other[last], n[last]))
+            inside = own < total
+            held[ahead].append((own[inside], other[inside], n[inside]))
+        low, count = int(first[part]), -(-len(word) // CHUNK)
+        sides, out = [sorted_side(held[k], low) for k in (0, 1)], []
+        cuts = [np.searchsorted(side[3], np.arange(2 * count + 1, dtype=np.uint32)) for side in sides]
+        for k in range(count):
+            row = [part + k, low + k * CHUNK, word[k * CHUNK : (k + 1) * CHUNK].tobytes()]
+            for (own, other, n, _), cut in zip(sides, cuts, strict=True):
+                a, b, c = cut[2 * k : 2 * k + 3]
+                row += [(own[a:c] - np.uint32(low + k * CHUNK)).astype("<u2").tobytes(), other[a:c].tobytes(), n[a:b].tobytes()]
+            out.append(tuple(row))
+        if end:
+            own, other, n = (np.concatenate(x) for x in zip(*end, strict=True))
+            out.append((-1, total + 1, b"", np.zeros(len(own), "<u2").tobytes(), other.tobytes(), n.tobytes(), b"", b"", b""))
+        return pd.DataFrame(out, columns=["chunk", "first", "words", "own0", "other0", "n0", "own1", "other1", "n1"])
 
     both = pairs.where("dst is not null").groupBy("dst").applyInPandas(numbered, "part int, ahead int, own binary, other binary, n binary")
     names = pairs.where("dst is null").select("part", F.lit(2).alias("ahead"), "own", "other", "n")
-    return both.unionByName(names).groupBy("part").applyInPandas(chunks, "chunk int, first long, words binary, own binary, other binary, n binary")
+    return both.unionByName(names).groupBy("part").applyInPandas(chunks, "chunk int, first long, words binary, own0 binary, other0 binary, n0 binary, own1 binary, other1 binary, n1 binary")
+
+
+def weighted(place: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    """Counts of places: the first ones weigh `n`, the others 1."""
+    return np.bincount(place[: len(n)], n, size) + np.bincount(place[len(n) :], minlength=size)
 
 
 def class_counts(sides: DataFrame, classes) -> np.ndarray:
@@ -166,15 +184,14 @@ def class_counts(sides: DataFrame, classes) -> np.ndarray:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cls, total = classes.value, np.zeros(SYMBOLS * SYMBOLS)
         for pdf in batches:
-            for first, own, other, n in zip(pdf["first"], pdf["own"], pdf["other"], pdf["n"], strict=True):
-                other = np.frombuffer(other, "<u4")
-                s = np.flatnonzero(other % 2 == 0)
-                b = cls[first + np.frombuffer(own, "<u2")[s].astype(np.int64)]
-                total += np.bincount(cls[other[s] >> 1].astype(np.int64) * SYMBOLS + b, np.frombuffer(n, "<u4")[s], SYMBOLS * SYMBOLS)
+            for first, own, other, n in zip(pdf["first"], pdf["own0"], pdf["other0"], pdf["n0"], strict=True):
+                b = cls[first : first + CHUNK][np.frombuffer(own, "<u2")]
+                pair = cls[np.frombuffer(other, "<u4")].astype(np.int64) * SYMBOLS + b
+                total += weighted(pair, np.frombuffer(n, "<u4"), SYMBOLS * SYMBOLS)
         own = np.flatnonzero(total)
         yield pd.DataFrame({"pair": own, "n": total[own].astype(np.int64)})
 
-    rows = sides.select("first", "own", "other", "n").mapInPandas(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()  # at most SYMBOLS^2
+    rows = sides.select("first", "own0", "other0", "n0").mapInPandas(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()  # at most SYMBOLS^2
     out = np.zeros(SYMBOLS * SYMBOLS)
     out[rows["pair"].to_numpy(np.int64)] = rows["n"].to_numpy(float)
     return out.reshape(SYMBOLS, SYMBOLS)
@@ -195,14 +212,16 @@ def exchange(sides: DataFrame, classes, counts: np.ndarray, parity: int) -> list
         cls = classes.value
         for pdf in batches:
             best = []
-            for words, own, other, n in zip(pdf["words"], pdf["own"], pdf["other"], pdf["n"], strict=True):
-                other, size = np.frombuffer(other, "<u4"), len(words) // 8
-                place = (np.frombuffer(own, "<u2").astype(np.int64) * 2 + (other & 1)) * SYMBOLS + cls[other >> 1]
-                grid = np.bincount(place, np.frombuffer(n, "<u4"), size * 2 * SYMBOLS).reshape(size, 2 * SYMBOLS)
-                best.append((grid @ both).argmax(axis=1).astype(np.uint8).tobytes())
+            for size, *two in zip(pdf["size"], *(pdf[f"{c}{k}"] for k in (0, 1) for c in ("own", "other", "n")), strict=True):
+                grids = []
+                for own, other, n in (two[:3], two[3:]):
+                    place = np.frombuffer(own, "<u2").astype(np.int64) * SYMBOLS + cls[np.frombuffer(other, "<u4")]
+                    grids.append(weighted(place, np.frombuffer(n, "<u4"), size * SYMBOLS).reshape(size, SYMBOLS))
+                best.append((np.hstack(grids) @ both).argmax(axis=1).astype(np.uint8).tobytes())
             yield pd.DataFrame({"first": pdf["first"], "cls": best})
 
-    return sides.where((F.col("chunk") >= 0) & (F.col("chunk") % 2 == parity)).drop("chunk").mapInPandas(run, "first long, cls binary").collect()  # a byte a word
+    half = sides.where((F.col("chunk") >= 0) & (F.col("chunk") % 2 == parity)).withColumn("size", (F.length("words") / 8).cast("int"))
+    return half.drop("chunk", "words").mapInPandas(run, "first long, cls binary").collect()  # a byte a word
 
 
 def likelihood(counts: np.ndarray) -> float:
@@ -236,13 +255,13 @@ def learn_classes(train: DataFrame, parts: int, trace: list[float] | None = None
     """
     spark = train.sparkSession
     pairs = materialize(words_and_pairs(train, parts), "word-pairs")
-    spark.sparkContext._jvm.System.gc()  # shuffle files that nothing refers to leave the disk
+    release(spark)
     sizes = np.zeros(parts, np.int64)
     for r in pairs.where("dst is null").select("part", (F.length("other") / 8).cast("long").alias("n")).collect():  # a row a part
         sizes[r.part] = r.n
     first = np.concatenate(([0], np.cumsum(sizes)))
     sides = materialize(word_sides(pairs, first, parts), "word-sides")
-    spark.sparkContext._jvm.System.gc()
+    release(spark)
     classes = np.append(np.arange(first[-1]) % CLASSES, (START, STOP)).astype(np.uint8)
     still, rows = 0, "spark.sql.execution.arrow.maxRecordsPerBatch"
     usual = spark.conf.get(rows)

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..storage import discard, materialize, new_path, shared_dir
+from ..storage import discard, materialize, new_path, release, shared_dir
 
-__all__ = ["SPACES", "SPACE_CLASS", "WORD_CLASS", "discard", "fold", "join_checked", "materialize", "n_words_of", "new_path", "running_sum", "salt_bits", "shared_dir", "slice_sums", "small_enough", "words_of"]
+__all__ = ["SPACES", "SPACE_CLASS", "WORD_CLASS", "discard", "fold", "materialize", "n_words_of", "new_path", "release", "running_sum", "salt_bits", "shared_dir", "slice_sums", "words_of"]
 
 #: The six characters that separate words, as a class for Java regular expressions and as text.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
@@ -59,13 +59,3 @@ def running_sum(df: DataFrame, key: str, order: str, ties: list[str], value: str
     within = Window.partitionBy("_own", "_slice").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, -1)
     joined = sliced.join(base, (F.col("_own") == F.col("_part")) & (F.col("_slice") == F.col("_slice2")))
     return joined.withColumn(out, F.col("_base") + F.coalesce(F.sum(value).over(within), F.lit(0))).drop("_own", "_slice", "_slice2", "_part", "_base")
-
-
-def small_enough(df: DataFrame, most: int) -> bool:
-    """Whether a table (best a materialized one) has at most `most` rows, so that it may be broadcast."""
-    return df.limit(most + 1).count() <= most
-
-
-def join_checked(left: DataFrame, right: DataFrame, on, how: str, most: int = 200_000) -> DataFrame:
-    """Join with `right` broadcast while it has at most `most` narrow rows, else by a shuffle."""
-    return left.join(F.broadcast(right) if small_enough(right, most) else right, on, how)
