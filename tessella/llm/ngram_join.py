@@ -1,15 +1,18 @@
 """N-gram Jaccard join by signature trees.
 
 A document is the set of its distinct word n-grams, hashed to 64 bits; equal sets become one node. Documents that can
-link are first gathered, without loss: two sets with Jaccard similarity of at least J differ in at most D members, so of
+link first meet by keys, without loss: two sets with Jaccard similarity of at least J differ in at most D members, so of
 the D + 1 + s parts into which a hash deals the members at least one is equal and not empty in both, unless both leave
-more than s parts empty; such sets are dealt out by further hashes, at last by one key for all of them. D depends on a band of set sizes; a set near its band's lower end has keys of
-the band below as well. Sets that share a key fall into one candidate group.
+more than s parts empty; such sets are dealt out by further hashes, at last by one key for all of them. D depends on a
+band of set sizes; a set near its band's lower end has keys of the band below as well.
 
-A group is joined by signature trees. Leaves are bitmaps of the sets by rising size; a node holds the OR of its
-children, their range of sizes and their least number of bits. Two trees are descended together, and a pair of nodes is
-dropped when the most overlap that its bitmaps and sizes allow is too little. What is left is counted exactly, best
-first, unless other links already join the two sets. Groups of more than BLOCK sets are dealt out as pairs of blocks.
+Sets that share a key are tested against the least one of them, its hub: first by bitmaps and sizes, which leave few pairs,
+then by whole sets. Keys whose other sets do not all belong together by then are joined by signature trees: leaves are the
+bitmaps of the sets by rising size; a node holds the OR of its children, their range of sizes and their least number of
+bits. Two trees are descended together, and a pair of nodes is dropped when the most overlap that its bitmaps and sizes
+allow is too little. The sets that are left are joined by trees again, now with an exact count of each pair left, best
+first, unless other links already join the two sets. More than BLOCK sets of a key are dealt out as pairs of blocks, a
+hub's sets as slices.
 
 Defined cases: texts without words (null, blank) have no n-gram and link with nothing; with fewer words than n the whole
 sequence is the one n-gram; rows that repeat an id count each, and their groups report the least id; an empty table
@@ -27,11 +30,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACES, join_checked, materialize, small_enough
+from .common import SPACES, discard, materialize, release
 from .components import components
 from .suffix_dedup import mixed, powers
 
-SPARE, DEALS, RATIO, BITS, FAN, BLOCK = 2, 8, 1.5, 8192, 8, 2000
+SPARE, DEALS, RATIO, FAN, BLOCK = 2, 8, 1.5, 8, 2000
+#: Bitmaps have 8 to 16 bits a member, but no more than this; trees fold theirs to the narrowest.
+WIDEST = 1 << 20
+#: Bytes of a key on its way; keys that agree by chance give candidates, which are tested like any other.
+KEY_BYTES = 5
 _SET, _PART, _KEY, _TWO = (np.uint64(x) for x in (0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F, 0xEB44ACCAB455D165))
 
 
@@ -119,67 +126,89 @@ def with_text_keys(docs: DataFrame) -> DataFrame:
     return rows.withColumn("k1", F.xxhash64("raw")).withColumn("k2", F.xxhash64(F.lit(2), "raw"))
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    width = min(max(64, 1 << (8 * len(tokens) - 1).bit_length()), WIDEST)
+    marks = np.zeros(width, bool)
+    marks[(tokens % np.uint64(width)).astype(np.int64)] = True
+    return np.packbits(marks, bitorder="little").tobytes()
+
+
+def folded(maps: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words, all as wide as the narrowest: a wider one's halves are put over each other."""
+    words = min(map(len, maps)) // 8
+    return np.stack([np.bitwise_or.reduce(np.frombuffer(m, np.uint64).reshape(-1, words), axis=0) for m in maps])
+
+
 def sketch(rows: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, k1, k2, n, node (hash of the whole set), keys."""
+    """doc_id, k1, k2, n, node (hash of the whole set), keys (KEY_BYTES each), bits."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            n, node, keys = [], [], []
+            n, node, keys, bits = [], [], [], []
             for raw in pdf["raw"]:
                 tokens = shingles(raw, k)
                 n.append(len(tokens))
                 whole = mixed(tokens ^ _SET).sum(keepdims=True) + np.array([len(tokens)], np.uint64) * _TWO
                 node.append(int(mixed(whole).view(np.int64)[0]))
-                keys.append(part_keys(tokens, num, den).view(np.int64))
-            yield pdf[["doc_id", "k1", "k2"]].astype({"doc_id": "Int64"}).assign(n=n, node=node, keys=keys)
+                keys.append(part_keys(tokens, num, den).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes())
+                bits.append(bitmap(tokens) if len(tokens) else b"")
+            yield pdf[["doc_id", "k1", "k2"]].astype({"doc_id": "Int64"}).assign(n=n, node=node, keys=keys, bits=bits)
 
-    return rows.mapInPandas(run, "doc_id long, k1 long, k2 long, n long, node long, keys array<long>")
+    return rows.mapInPandas(run, "doc_id long, k1 long, k2 long, n long, node long, keys binary, bits binary")
 
 
-def candidate_edges(sketched: DataFrame, parts: int) -> DataFrame:
-    """(a, b): each node of a shared key with the key's least node. A shuffled row holds a task's pairs of one part."""
+def key_groups(sketched: DataFrame, parts: int) -> DataFrame:
+    """(hub, node, group): the nodes that share a key with a lesser node, the least one of all being the hub.
 
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            keys = np.concatenate([np.zeros(0, np.int64), *pdf["keys"]]).astype(np.int64)
-            node = np.repeat(pdf["node"].to_numpy(np.int64), pdf["keys"].map(len).to_numpy(np.int64))
-            order = np.lexsort((node, keys))
-            keys, node = keys[order], node[order]
-            new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (node[1:] != node[:-1]))) if len(keys) else np.zeros(0, bool)
-            keys, node = keys[new], node[new]
-            part = keys.view(np.uint64) % np.uint64(parts)
-            order = np.argsort(part, kind="stable")
-            cut = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
-            own = [p for p in range(parts) if cut[p] < cut[p + 1]]
-            yield pd.DataFrame({"part": own, "keys": [keys[order[cut[p] : cut[p + 1]]].tobytes() for p in own], "nodes": [node[order[cut[p] : cut[p + 1]]].tobytes() for p in own]})
+    Keys with the same nodes make one group (in a part). A shuffled row holds a task's keys of one part.
+    """
 
-    def stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = [(np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)) for pdf in batches for a, b in zip(pdf["keys"], pdf["nodes"], strict=True)]
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pdf = pdf.drop_duplicates("node")
+            five = np.frombuffer(b"".join(pdf["keys"]), np.uint8).reshape(-1, KEY_BYTES)
+            key = np.pad(five, ((0, 0), (0, 8 - KEY_BYTES))).view("<u8").ravel()
+            at = np.repeat(np.arange(len(pdf)), pdf["keys"].map(len).to_numpy(np.int64) // KEY_BYTES)
+            node, part, short = pdf["node"].to_numpy(np.int64), key % np.uint64(parts), (key // np.uint64(parts)).astype("<u4")
+            order = np.lexsort((at, part))
+            at, part, short, rows = at[order], part[order], short[order], []
+            cut = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
+            for p in range(parts):
+                if cut[p] < cut[p + 1]:
+                    s = slice(cut[p], cut[p + 1])
+                    own, count = np.unique(at[s], return_counts=True)
+                    rows.append((p, short[s].tobytes(), node[own].tobytes(), count.astype("<u4").tobytes()))
+            yield pd.DataFrame(rows, columns=["part", "keys", "nodes", "counts"])
+
+    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [(np.frombuffer(k, "<u4"), np.repeat(np.frombuffer(n, np.int64), np.frombuffer(c, "<u4"))) for pdf in batches for k, n, c in zip(pdf["keys"], pdf["nodes"], pdf["counts"], strict=True)]
         if not held:
             return
         keys, node = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
         order = np.lexsort((node, keys))
         keys, node = keys[order], node[order]
+        new = np.concatenate(([True], (keys[1:] != keys[:-1]) | (node[1:] != node[:-1])))
+        keys, node = keys[new], node[new]
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-        least = np.repeat(node[first], np.diff(np.append(first, len(keys))))
-        own = node != least
-        edges = np.unique(np.stack([node[own], least[own]]), axis=1)
-        yield pd.DataFrame({"a": edges[0], "b": edges[1]})
+        size = np.diff(np.append(first, len(keys)))
+        group = mixed(np.add.reduceat(mixed(node.view(np.uint64) ^ _SET), first) + size.astype(np.uint64) * _TWO).view(np.int64)
+        several = np.flatnonzero(size > 1)
+        several = several[np.unique(group[several], return_index=True)[1]]
+        for k in range(0, len(several), 10_000):
+            own = several[k : k + 10_000]
+            n = size[own] - 1  # without the hub
+            at = np.repeat(first[own] + 1 - np.cumsum(n) + n, n) + np.arange(n.sum())
+            yield pd.DataFrame({"hub": np.repeat(node[first[own]], n), "node": node[at], "group": np.repeat(group[own], n)})
 
-    shuffled = sketched.where("n > 0").select("node", "keys").mapInPandas(pairs, "part int, keys binary, nodes binary").repartition(parts, "part")
-    return shuffled.mapInPandas(stars, "a long, b long").distinct()
+    dealt = sketched.where("n > 0").select("node", "keys").mapInPandas(deal, "part int, keys binary, nodes binary, counts binary").repartition(parts, "part")
+    return dealt.mapInPandas(meet, "hub long, node long, group long")
 
 
 class Tree:
     """Levels of a signature tree, leaves first: OR bitmaps, least and most members, least number of bits."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        grid = np.zeros((len(sets), BITS // 8), np.uint8)
-        for row, s in enumerate(sets):
-            bit = (s % np.uint64(BITS)).astype(np.int64)
-            np.bitwise_or.at(grid[row], bit >> 3, (1 << (bit & 7)).astype(np.uint8))
-        n = np.array([len(s) for s in sets], np.int64)
-        bits = grid.view(np.uint64)
+    def __init__(self, bits: np.ndarray, n: np.ndarray):
         self.levels = [(bits, n, n, np.bitwise_count(bits).sum(axis=1, dtype=np.int64))]
         while len(self.levels[-1][1]) > FAN:
             bits, low, high, least = self.levels[-1]
@@ -230,61 +259,68 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(at, len(b) - 1)] == a).sum())
 
 
-def linked(sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links of a group (among all sets, or between its two sides)."""
-    label = np.arange(len(sets))
-    out = []
-
-    def test(i: int, j: int) -> None:
-        if label[i] != label[j]:
-            o = overlap(sets[i], sets[j])
-            if den * o >= num * (len(sets[i]) + len(sets[j]) - o):
-                label[label == label[j]] = label[i]
-                out.append((i, j))
-
-    if len(sets) <= 6:
-        for i in range(len(sets)):
-            for j in range(i + 1, len(sets)):
-                if not side.any() or side[i] != side[j]:
-                    test(i, j)
-        return out
+def possible_pairs(bits: np.ndarray, n: np.ndarray, side: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs (among all sets, or between the two sides) that signature trees leave, with their most overlap."""
     p = np.flatnonzero(side == 0)
     q = np.flatnonzero(side == 1) if side.any() else p
     if not len(p) or not len(q):
-        return out
-    order = lambda part: part[np.lexsort(([int(sets[k][0]) >> 1 for k in part], [len(sets[k]) for k in part]))]
+        return (np.zeros(0, np.int64),) * 3
+    order = lambda part: part[np.lexsort((bits[part, 0], n[part]))]
     p, q = order(p), order(q)
-    x = Tree([sets[k] for k in p])
-    y = Tree([sets[k] for k in q]) if side.any() else x
-    i, j, most = descend(x, y, not side.any(), num, den)
-    i, j = p[i], q[j]
-    n = np.array([len(s) for s in sets])
+    x = Tree(bits[p], n[p])
+    i, j, most = descend(x, Tree(bits[q], n[q]) if side.any() else x, not side.any(), num, den)
+    return p[i], q[j], most
+
+
+def linked(sets: list[np.ndarray], side: np.ndarray, num: int, den: int, label: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links that join sets of unlike labels, a spanning forest of them, among all sets or between the two sides."""
+    label = np.arange(len(sets)) if label is None else label.copy()
+    n, out = np.array([len(s) for s in sets], np.int64), []
+    i, j, most = possible_pairs(folded([bitmap(s) for s in sets]), n, side, num, den)
     best = np.argsort(-(most / (n[i] + n[j] - most)), kind="stable")
     for k in range(0, len(best), 2048):
         part = best[k : k + 2048]
         for t in part[label[i[part]] != label[j[part]]]:
-            test(int(i[t]), int(j[t]))
+            a, b = int(i[t]), int(j[t])
+            if label[a] != label[b]:
+                o = overlap(sets[a], sets[b])
+                if den * o >= num * (n[a] + n[b] - o):
+                    label[label == label[b]] = label[a]
+                    out.append((a, b))
     return out
 
 
-def packed(tokens: np.ndarray) -> bytes:
-    """The upper five bytes of each hash, for the way to the join: 40 bits tell the shingles of two texts apart."""
-    return tokens.astype(">u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
+def near_pairs(pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """(hub, node) pairs whose bitmaps and sizes allow a link, from rows with both."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            keep = []
+            for n1, bits1, n2, bits2 in zip(pdf["n1"], pdf["bits1"], pdf["n2"], pdf["bits2"], strict=True):
+                x = folded([bits1, bits2])
+                shared, own = int(np.bitwise_count(x[0] & x[1]).sum()), np.bitwise_count(x).sum(axis=1)
+                # bits beyond the shared ones each stand for a member that the other set lacks
+                most = min(n1 - max(int(own[0]) - shared, 0), n2 - max(int(own[1]) - shared, 0))
+                keep.append((den + num) * most >= num * (n1 + n2))
+            yield pdf.loc[np.array(keep, bool), ["hub", "node"]]
+
+    return pairs.mapInPandas(run, "hub long, node long")
 
-def unpacked(raw: bytes) -> np.ndarray:
-    five = np.frombuffer(raw, np.uint8).reshape(-1, 5)
-    return np.pad(five, ((0, 0), (3, 0))).view(">u8").ravel().astype(np.uint64)
 
+def member_sets(texts: DataFrame, places: DataFrame, profiles: DataFrame, k: int) -> DataFrame:
+    """(node, tokens) of the nodes of `places`, made again from one text each."""
 
-def member_sets(rows: DataFrame, k: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for s in range(0, len(pdf), 1000):
                 part = pdf.iloc[s : s + 1000]
-                yield part[["component", "own", "node"]].assign(tokens=[packed(shingles(raw, k)) for raw in part["raw"]])
+                yield part[["node"]].assign(tokens=[shingles(raw, k).tobytes() for raw in part["raw"]])
 
-    return rows.mapInPandas(run, "component long, own int, node long, tokens binary")
+    wanted = materialize(places.select("node").distinct().join(profiles.select("node", "rep.*"), "node"), "wanted-texts").alias("w")
+    on = F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.k1") == F.col("w.k1")) & (F.col("t.k2") == F.col("w.k2"))
+    rows = texts.alias("t").join(wanted, on).select("node", "raw")
+    sets = rows.mapInPandas(run, "node long, tokens binary")
+    return sets.groupBy("node").agg(F.first("tokens").alias("tokens"))  # rows that repeat id and text give a set each
 
 
 def in_blocks(members: DataFrame, block: int) -> DataFrame:
@@ -292,48 +328,112 @@ def in_blocks(members: DataFrame, block: int) -> DataFrame:
 
     Places in the order of sizes come from the counts of each size, and within a size from a hash, so no task orders a group.
     """
-    sizes = members.groupBy("component", "n").agg(F.count("*").alias("same"))
-    upto = Window.partitionBy("component").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.withColumn("below", F.coalesce(F.sum("same").over(upto), F.lit(0))).withColumn("size", F.sum("same").over(Window.partitionBy("component")))
-    rows = members.join(sizes, ["component", "n"])
+    sizes = members.groupBy("group", "n").agg(F.count("*").alias("same"))
+    upto = Window.partitionBy("group").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("below", F.coalesce(F.sum("same").over(upto), F.lit(0))).withColumn("size", F.sum("same").over(Window.partitionBy("group")))
+    rows = members.join(materialize(sizes, "group-sizes"), ["group", "n"])
     place = F.col("below") + F.col("same") * F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / float(1 << 20)
     return rows.withColumn("own", F.floor(place / F.col("size") * F.ceil(F.col("size") / block)).cast("int")).drop("same", "below", "size")
 
 
 def block_pairs(members: DataFrame, num: int, den: int) -> DataFrame:
-    """(component, own, side, bucket): the pairs of blocks of a group in which each block takes part, by size ranges."""
-    blocks = members.groupBy("component", "own").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.count("*").alias("rows"))
+    """(group, own, side, bucket): the pairs of blocks of a group in which each block takes part, by size ranges."""
+    blocks = members.groupBy("group", "own").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     a, b = blocks.alias("a"), blocks.alias("b")
     fits = (F.col("a.own") <= F.col("b.own")) & (F.col("a.high") * den >= F.col("b.low") * num)
-    pairs = a.join(b, (F.col("a.component") == F.col("b.component")) & fits).select("a.component", F.col("a.own").alias("x"), F.col("b.own").alias("y"))
-    pairs = pairs.withColumn("bucket", F.xxhash64("component", "x", "y"))
-    first = pairs.select("component", F.col("x").alias("own"), F.lit(0).alias("side"), "bucket")
-    return first.unionByName(pairs.where("x <> y").select("component", F.col("y").alias("own"), F.lit(1).alias("side"), "bucket"))
+    pairs = a.join(b, (F.col("a.group") == F.col("b.group")) & fits).select("a.group", F.col("a.own").alias("x"), F.col("b.own").alias("y"))
+    pairs = pairs.withColumn("bucket", F.xxhash64("group", "x", "y"))
+    first = pairs.select("group", F.col("x").alias("own"), F.lit(0).alias("side"), "bucket")
+    return first.unionByName(pairs.where("x <> y").select("group", F.col("y").alias("own"), F.lit(1).alias("side"), "bucket"))
 
 
-def joined(rows: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): links of each bucket, a spanning forest each, from rows sorted by bucket."""
+def tree_places(members: DataFrame, num: int, den: int, block: int) -> DataFrame:
+    """(bucket, side, group, node, root): the pairs of blocks in which each member (group, node, n, root) meets the others."""
+    members = materialize(in_blocks(members, block), "group-members")
+    pairs = materialize(block_pairs(members, num, den), "block-pairs")
+    return materialize(members.join(pairs, ["group", "own"]).select("bucket", "side", "group", "node", "root"), "tree-places")
 
-    def group(g: pd.DataFrame) -> list[tuple[int, int]]:
-        node = g["node"].to_numpy()
-        sets = [unpacked(t) for t in g["tokens"]]
-        return [(int(node[i]), int(node[j])) for i, j in linked(sets, g["side"].to_numpy(), num, den)]
+
+def by_bucket(rows: DataFrame, parts: int, handle, schema: str) -> DataFrame:
+    """Rows of each bucket in turn, sorted by side, given to `handle`, which returns a pandas frame."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        left, out = None, []
+        left = None
         for pdf in batches:
             pdf = pd.concat([left, pdf], ignore_index=True) if left is not None else pdf
             key = pdf["bucket"].to_numpy()
             cut = np.flatnonzero(key[1:] != key[:-1]) + 1
-            for a, b in zip(np.append(0, cut), cut, strict=False):
-                out += group(pdf.iloc[a:b])
+            found = [handle(pdf.iloc[a:b]) for a, b in zip(np.append(0, cut), cut, strict=False)]
             left = pdf.iloc[cut[-1] if len(cut) else 0 :]
-            yield pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
-            out = []
+            if found:
+                yield pd.concat(found, ignore_index=True)
         if left is not None and len(left):
-            yield pd.DataFrame(group(left), columns=["a", "b"], dtype=np.int64)
-
-    return rows.mapInPandas(run, "a long, b long")
+            yield handle(left)
+
+    return rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "side", "node").mapInPandas(run, schema)
+
+
+def verified_groups(sketched: DataFrame, texts: DataFrame, k: int, num: int, den: int, block: int) -> DataFrame:
+    """(node, component) of all nodes that have a link."""
+    parts = max(int(sketched.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+
+    def spokes(g: pd.DataFrame) -> pd.DataFrame:
+        """Links of a hub's slice; side 0 is the hub."""
+        hub, tokens = g["node"].iloc[0], np.frombuffer(g["tokens"].iloc[0], np.uint64)
+        out = []
+        for node, raw in zip(g["node"].iloc[1:], g["tokens"].iloc[1:], strict=True):
+            o = overlap(tokens, other := np.frombuffer(raw, np.uint64))
+            if den * o >= num * (len(tokens) + len(other) - o):
+                out.append((node, hub))
+        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+
+    def left_by_trees(g: pd.DataFrame) -> pd.DataFrame:
+        i, j, _ = possible_pairs(folded(list(g["bits"])), g["n"].to_numpy(np.int64), g["side"].to_numpy(), num, den)
+        root, some = g["root"].to_numpy(), np.zeros(len(g), bool)
+        apart = root[i] != root[j]
+        some[i[apart]] = some[j[apart]] = True
+        return g.loc[some, ["group", "node", "n", "root"]]
+
+    def exact(g: pd.DataFrame) -> pd.DataFrame:
+        node, label = g["node"].to_numpy(), np.unique(g["root"].to_numpy(), return_inverse=True)[1]
+        found = linked([np.frombuffer(t, np.uint64) for t in g["tokens"]], g["side"].to_numpy(), num, den, label)
+        return pd.DataFrame([(node[i], node[j]) for i, j in found], columns=["a", "b"], dtype=np.int64)
+
+    spark = sketched.sparkSession
+    groups = materialize(key_groups(sketched, parts), "key-groups")
+    release(spark)
+    edges = materialize(groups.select("hub", "node").distinct(), "hub-pairs")
+    candidates = edges.select("node").unionByName(edges.select(F.col("hub").alias("node"))).distinct()
+    profiles = sketched.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min(F.struct("doc_id", "k1", "k2")).alias("rep"), F.first("bits").alias("bits"))
+    profiles = materialize(profiles.join(candidates, "node", "left_semi"), "profiles")
+    release(spark)
+    side = lambda name, k: profiles.select(F.col("node").alias(name), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}"))
+    near = materialize(near_pairs(edges.join(side("node", 1), "node").join(side("hub", 2), "hub"), num, den), "near-pairs")
+    slices = near.groupBy("hub").agg(F.ceil(F.count("*") / block).alias("slices"))
+    leaves = near.join(materialize(slices, "hub-slices"), "hub").select("hub", "node", F.xxhash64("hub", F.pmod(F.xxhash64("node"), "slices")).alias("bucket"))
+    leaves = materialize(leaves, "hub-leaves")
+    hubs = leaves.select(F.col("hub").alias("node"), "bucket").distinct()
+    places = hubs.select("bucket", F.lit(0).alias("side"), "node").unionByName(leaves.select("bucket", F.lit(1).alias("side"), "node"))
+    links = materialize(by_bucket(places.join(member_sets(texts, places, profiles, k), "node"), parts, spokes, "a long, b long"), "hub-links")
+    discard(edges, near, leaves)
+    release(spark)
+    # groups whose nodes, the hub aside, do not all belong together yet
+    roots = materialize(components(links), "hub-components")
+    rest = groups.select("group", "node").join(roots, "node", "left").select("group", "node", F.coalesce("component", "node").alias("root")).distinct()
+    rest = materialize(rest, "key-groups")
+    apart = materialize(rest.groupBy("group").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("group"), "groups-apart")
+    if not apart.limit(1).count():
+        return roots
+    members = rest.join(apart, "group").join(profiles.select("node", "n"), "node")
+    places = tree_places(members, num, den, block)
+    discard(groups, rest, apart)
+    left = by_bucket(places.join(profiles.select("node", "n", "bits"), "node"), parts, left_by_trees, "group long, node long, n long, root long")
+    left = materialize(left.distinct(), "left-by-trees")
+    if not left.limit(1).count():
+        return roots
+    places = tree_places(left, num, den, block)
+    more = by_bucket(places.join(member_sets(texts, places, profiles, k), "node"), parts, exact, "a long, b long")
+    return components(links.unionByName(more))
 
 
 def jaccard_groups(docs: DataFrame, k: int, num: int, den: int = 100, block: int = BLOCK) -> DataFrame:
@@ -341,31 +441,16 @@ def jaccard_groups(docs: DataFrame, k: int, num: int, den: int = 100, block: int
 
     `group` is a node of the component, the same for all of its rows whatever their ids; null for texts without words.
     """
-    spark = docs.sparkSession
     texts = with_text_keys(docs)
     sketched = materialize(sketch(texts, k, num, den), "shingle-sketches")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    candidates = materialize(components(candidate_edges(sketched, parts)), "candidate-groups")
-    # one text for each node of a candidate group
-    meta = sketched.drop("keys")
-    nodes = meta.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min(F.struct("doc_id", "k1", "k2")).alias("rep"))
-    members = candidates.join(nodes, "node").select("node", "component", "n", "rep.doc_id", "rep.k1", "rep.k2")
-    members = materialize(in_blocks(members, block), "group-members")
-    pairs = materialize(block_pairs(members, num, den), "block-pairs")
-    few = texts.join(F.broadcast(members.select("k1", "k2")), ["k1", "k2"], "left_semi") if small_enough(members, 300_000) else texts
-    on = F.col("t.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("t.k1") == F.col("m.k1")) & (F.col("t.k2") == F.col("m.k2"))
-    rows = few.alias("t").join(members.alias("m"), on).select("component", "own", "node", "raw")
-    dealt = join_checked(member_sets(rows, k), pairs, ["component", "own"], "inner").drop("component", "own")
-    dealt = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket", "node")
-    links = materialize(joined(dealt, num, den), "shingle-links")
-    groups = components(links)
+    groups = materialize(verified_groups(sketched, texts, k, num, den, block), "shingle-groups")
     # the least id of each group, by way of its nodes; only groups of several rows are joined back
+    meta = sketched.select("doc_id", "k1", "k2", "n", "node")
     known = meta.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")).join(groups, "node", "left")
-    known = known.withColumn("component", F.coalesce("component", "node"))
-    roots = known.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("rows").alias("all"))
-    several = known.join(roots.where(F.col("all") > 1), "component").select("node", F.col("component").alias("group"), F.col("component_id").alias("group_id"))
-    several = materialize(several, "grouped-nodes")
-    out = meta.join(F.broadcast(several) if small_enough(several, 300_000) else several, "node", "left")
+    known = materialize(known.withColumn("component", F.coalesce("component", "node")), "known-nodes")
+    roots = materialize(known.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("rows").alias("all")).where(F.col("all") > 1), "group-roots")
+    several = known.join(roots, "component").select("node", F.col("component").alias("group"), F.col("component_id").alias("group_id"))
+    out = meta.join(materialize(several, "grouped-nodes"), "node", "left")
     own = F.when(F.col("n") > 0, F.coalesce("group_id", "doc_id")).otherwise(F.col("doc_id"))
     group = F.when(F.col("n") > 0, F.coalesce("group", "node"))
     return out.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles"), own.alias("component_id"), group.alias("group"))
@@ -377,16 +462,17 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Data
     Groups go by their nodes, so null and repeated ids are no reason to drop a row. Texts without words all stay.
     Columns as they were.
     """
-    names = docs.columns
     groups = jaccard_groups(docs.select("doc_id", "text"), k, num, den).where("n_shingles > 0")
     first = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")).alias("_k"))
-    first = materialize(first.select(F.col("_k.doc_id").alias("_id"), F.col("_k.k1").alias("_g1"), F.col("_k.k2").alias("_g2")), "kept-documents")
+    place = lambda doc, k1, k2: [F.xxhash64(F.lit(k), doc, doc.isNull(), k1, k2).alias(f"_h{k}") for k in (1, 2)]
+    first = materialize(first.select(*place(F.col("_k.doc_id"), F.col("_k.k1"), F.col("_k.k2"))), "kept-documents")
+    release(docs.sparkSession)
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     textless = F.btrim(F.coalesce(F.col("text"), F.lit("")), F.lit(SPACES)) == ""
-    rows = docs.where(~textless).withColumn("_k1", F.xxhash64(raw)).withColumn("_k2", F.xxhash64(F.lit(2), raw))
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k1") == F.col("_g1")) & (F.col("_k2") == F.col("_g2"))
-    kept = rows.join(first, on, "left_semi").dropDuplicates(["doc_id", "_k1", "_k2"]).select(*names)
-    return kept.unionByName(docs.where(textless))
+    own = place(F.col("doc_id").cast("long"), F.xxhash64(raw), F.xxhash64(F.lit(2), raw))
+    # both keys are hashes and never null, so texts are dealt out once, for the join and for rows that repeat id and text
+    kept = docs.where(~textless).select(F.struct("*").alias("_row"), *own).join(first, ["_h1", "_h2"], "left_semi").dropDuplicates(["_h1", "_h2"])
+    return kept.select("_row.*").unionByName(docs.where(textless))
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from .common import discard, materialize, release
 
 LENGTH, WINDOW, GRAM = 400, 256, 8
 #: Words of a fingerprint, and runs of which one gives it: every passage of 50 words has one.
@@ -287,6 +287,7 @@ def repeated_marks(keyed: DataFrame, rows: DataFrame, length: int = LENGTH, wind
     status = materialize(status, "suffix-status")
     discard(counted)
     held = materialize(rows.select("k1", "k2", "first", "whole").join(status, ["first", "whole"]), "suffixes-held")
+    release(keyed.sparkSession)
     # pass 3: one text shows each surrounding
     shown = held.where("m > 1").groupBy("first", "whole").agg(F.min(F.struct("k1", "k2")).alias("k"), F.first("m").alias("m"))
     asked = shown.groupBy("k.k1", "k.k2").agg(F.collect_set("whole").alias("wanted"))  # at most a text's suffixes
@@ -298,6 +299,7 @@ def repeated_marks(keyed: DataFrame, rows: DataFrame, length: int = LENGTH, wind
         masks = masks.unionByName(last_digits_large(around.join(large, "first", "left_semi"), length, window))
     masks = materialize(masks, "suffix-masks")
     discard(around, status, groups)
+    release(keyed.sparkSession)
     marks = held.join(masks, ["first", "whole"], "left").where("c > 1 or mask is not null")
     marks = marks.select("k1", "k2", "whole", F.when(F.col("c") == 1, F.col("mask")).alias("mask")).distinct()
     return marks.groupBy("k1", "k2").agg(F.collect_list(F.struct("whole", "mask")).alias("marks"))  # at most a text's suffixes
