@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import atexit
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[tuple[SparkSession, str]] = []
+#: Session, path and thread of each table on disk.
+_written: list[tuple[SparkSession, str, int]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,7 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
+    _written.append((spark, path, threading.get_ident()))
     return path
 
 
@@ -45,6 +47,20 @@ def discard(*tables: DataFrame) -> None:
             fs.delete(p, True)
 
 
+def mark() -> int:
+    """A point to which discard_since goes back."""
+    return len(_written)
+
+
+def discard_since(point: int, *kept: DataFrame) -> None:
+    """Delete what this thread has written since a point, but for the tables that are named."""
+    names = {file.rsplit("/", 2)[-2] for df in kept for file in df.inputFiles()}
+    for spark, path, thread in _written[point:]:
+        if thread == threading.get_ident() and path.rsplit("/", 1)[-1] not in names:
+            p, fs = hadoop(spark, path)
+            fs.delete(p, True)
+
+
 def release(spark: SparkSession) -> None:
     """Have shuffle files deleted that nothing refers to any more; Spark sees to it when the driver collects its garbage."""
     spark.sparkContext._jvm.System.gc()
@@ -58,7 +74,7 @@ def hadoop(spark: SparkSession, path: str):
 
 @atexit.register
 def _drop_written() -> None:
-    for spark, path in _written:
+    for spark, path, _ in _written:
         try:
             p, fs = hadoop(spark, path)
             fs.delete(p, True)
