@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from .common import discard, discard_since, mark, materialize
 from .components import components
 
 LIMIT, BLOCK, SEED = 0.93, 1024, 7
@@ -149,6 +149,7 @@ def near_duplicates(vectors: DataFrame, limit: float = LIMIT, block: int = BLOCK
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     # -0.0 and 0.0 are equal
     node = F.xxhash64("label", F.size("embedding"), F.transform("embedding", lambda x: x + F.lit(0.0)))
+    point = mark()
     rows = materialize(rows.withColumn("node", F.when(valid(), node)), "vectors")
     same = rows.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
     same = materialize(same, "distinct-vectors")
@@ -174,6 +175,7 @@ def near_duplicates(vectors: DataFrame, limit: float = LIMIT, block: int = BLOCK
     known = materialize(known.select("node", "least", "copies", "links", "root"), "linked-vectors")
     least = materialize(known.groupBy("root").agg(F.min("least").alias("component_id")), "least-ids")
     known = materialize(known.join(least, "root").select("node", "copies", "links", "component_id"), "vector-groups")
+    discard_since(point, rows, known)
     out = rows.select("vec_id", "node").join(known, "node", "left")
     linked = F.coalesce("copies", F.lit(1)) - 1 + F.coalesce("links", F.lit(0))
     out = out.select("vec_id", linked.cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))

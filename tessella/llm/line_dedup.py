@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD_CLASS, materialize
+from .common import WORD_CLASS, discard_since, mark, materialize, release
 from .quality_rules import has_word, line_hash
 
 WORDS = 50
@@ -83,7 +83,10 @@ def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 def with_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc (all columns of a row), runs (null where none) and kept_text."""
+    point = mark()
     runs = materialize(repeated_runs(docs.select("doc_id", "text"), words), "line-runs")
+    discard_since(point, runs)
+    release(docs.sparkSession)
     keys = [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text").alias("k2")]
     rows = docs.select(F.struct("*").alias("doc"), "text", *keys).join(runs, ["k1", "k2"], "left")
     inside = lambda i: F.exists("runs", lambda r: (i >= r.start) & (i <= r["last"]))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACES, discard, materialize, release
+from .common import SPACES, discard, discard_since, mark, materialize, release
 from .components import components
 from .suffix_dedup import mixed, powers
 
@@ -441,7 +441,7 @@ def jaccard_groups(docs: DataFrame, k: int, num: int, den: int = 100, block: int
 
     `group` is a node of the component, the same for all of its rows whatever their ids; null for texts without words.
     """
-    texts = with_text_keys(docs)
+    point, texts = mark(), with_text_keys(docs)
     sketched = materialize(sketch(texts, k, num, den), "shingle-sketches")
     groups = materialize(verified_groups(sketched, texts, k, num, den, block), "shingle-groups")
     # the least id of each group, by way of its nodes; only groups of several rows are joined back
@@ -450,7 +450,9 @@ def jaccard_groups(docs: DataFrame, k: int, num: int, den: int = 100, block: int
     known = materialize(known.withColumn("component", F.coalesce("component", "node")), "known-nodes")
     roots = materialize(known.groupBy("component").agg(F.min("least").alias("component_id"), F.sum("rows").alias("all")).where(F.col("all") > 1), "group-roots")
     several = known.join(roots, "component").select("node", F.col("component").alias("group"), F.col("component_id").alias("group_id"))
-    out = meta.join(materialize(several, "grouped-nodes"), "node", "left")
+    several = materialize(several, "grouped-nodes")
+    discard_since(point, sketched, several)
+    out = meta.join(several, "node", "left")
     own = F.when(F.col("n") > 0, F.coalesce("group_id", "doc_id")).otherwise(F.col("doc_id"))
     group = F.when(F.col("n") > 0, F.coalesce("group", "node"))
     return out.select("doc_id", "k1", "k2", F.col("n").alias("n_shingles"), own.alias("component_id"), group.alias("group"))
@@ -462,10 +464,12 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> Data
     Groups go by their nodes, so null and repeated ids are no reason to drop a row. Texts without words all stay.
     Columns as they were.
     """
+    point = mark()
     groups = jaccard_groups(docs.select("doc_id", "text"), k, num, den).where("n_shingles > 0")
     first = groups.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")).alias("_k"))
     place = lambda doc, k1, k2: [F.xxhash64(F.lit(k), doc, doc.isNull(), k1, k2).alias(f"_h{k}") for k in (1, 2)]
     first = materialize(first.select(*place(F.col("_k.doc_id"), F.col("_k.k1"), F.col("_k.k2"))), "kept-documents")
+    discard_since(point, first)
     release(docs.sparkSession)
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     textless = F.btrim(F.coalesce(F.col("text"), F.lit("")), F.lit(SPACES)) == ""

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, materialize, words_of
+from .common import SPACES, discard_since, mark, materialize, release, words_of
 
 MIN_WORDS = 50
 #: A line is above its host's limit in more than this share of the host's texts, and in more than LEAST_TEXTS.
@@ -102,9 +102,12 @@ def verdicts(measured: DataFrame, share: float = LINE_SHARE, least: int = LEAST_
 def apply_rules(docs: DataFrame) -> DataFrame:
     """The documents that are kept, without the lines above their host's limit; columns as they were, n_chars renewed."""
     # a short row a document is measured and judged; texts meet the verdicts once
+    point = mark()
     short = materialize(measure(docs), "rules-measured")
     good = verdicts(short).where("kept").select(F.col("doc_id").alias("_id"), F.col("source").alias("_s2"), F.col("_text_key").alias("_k2"), "_removed")
     good = materialize(good.dropDuplicates(["_id", "_s2", "_k2"]), "rules-kept")
+    discard_since(point, good)
+    release(docs.sparkSession)
     rows = docs.select(F.struct("*").alias("_doc"), "doc_id", "source", "text", F.xxhash64("text").alias("_text_key"))
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_s2")) & (F.col("_text_key") == F.col("_k2"))
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~has_word(x) | ~F.array_contains(F.col("_removed"), line_hash(x))), "\n")

@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, release
+from .common import discard, discard_since, mark, materialize, release
 
 LENGTH, WINDOW, GRAM = 400, 256, 8
 #: Words of a fingerprint, and runs of which one gives it: every passage of 50 words has one.
@@ -313,12 +313,14 @@ def keyed_texts(docs: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, length: int = LENGTH, window: int = WINDOW, group: int = GROUP) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passages, kept_bytes (null where the whole text is kept)."""
     keyed = keyed_texts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text")
-    texts = keyed.select("k1", "k2", "bytes")
+    point, texts = mark(), keyed.select("k1", "k2", "bytes")
     rows = materialize(suffixes(texts, length, window), "suffix-digits")
     passages = materialize(shared_passages(rows), "shared-passages")
     marks = materialize(repeated_marks(texts, rows, length, window, group), "repeat-marks")
     discard(rows)
     found = materialize(marks.join(passages, ["k1", "k2"], "full"), "text-findings")
+    discard_since(point, found)
+    release(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
