@@ -3,6 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept. All but the last return the
 columns of documents: rejected documents are gone, texts lack deleted lines, one document of each group stays, and a
 document that the mix takes twice is there twice. The last returns a row for each packed piece.
+
+Defined cases: null and blank texts fail the rules; null ids and sources are values of their own; rows that repeat id and
+text stay one at most after the near copies; a source may be short of its target only by half a document; columns of any
+name pass; an empty table gives an empty result at every stage.
 """
 
 from __future__ import annotations
