@@ -52,13 +52,13 @@ def windows(docs: DataFrame, words: int) -> DataFrame:
 def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(k1, k2, runs): runs of lines to delete, first and last line, for each document that has any.
 
-    Every join is of two written tables on a hash, so Spark deals both out and splits the part of a hot key. Windows
-    travel without lines; the lines after a window are fetched for those that match.
+    Every join is of two written tables on a hash, so Spark deals both out and splits the part of a hot key. What grows
+    with the texts is never broadcast (the merge hints), so the plan is the same at every size. Windows travel without lines; the lines after a window are fetched for those that match.
     """
     every = materialize(windows(docs, words), "line-windows")
     own = every.where("whole").select("doc_id", "k1", "k2", "start", "end", "mark", "mark_at", "lines")
     marks = own.groupBy("mark").agg(F.min("mark_at").alias("low"), F.max("mark_at").alias("high")).where("low <> high").select("mark")
-    met = own.drop("mark_at").join(materialize(marks, "line-marks"), "mark", "left_semi").drop("mark")
+    met = own.drop("mark_at").join(materialize(marks, "line-marks").hint("merge"), "mark", "left_semi").drop("mark")
     met = materialize(met, "windows-met")
     place = F.struct("doc_id", "k2", "start")
     first = met.groupBy("lines").agg(F.min(F.struct("doc_id", "k2", "start", "k1", "end")).alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -66,7 +66,7 @@ def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     later = met.join(first, "lines").where(~place.eqNullSafe(F.struct("first.doc_id", "first.k2", "first.start")))
     later = materialize(later.select("lines", "k1", "k2", "start", "end"), "later-windows")
     ends = later.select("k1", "k2", "end").unionByName(first.select("first.k1", "first.k2", "first.end")).distinct()
-    tails = every.select("k1", "k2", F.col("start").alias("end"), "after").join(materialize(ends, "line-ends"), ["k1", "k2", "end"], "left_semi")
+    tails = every.select("k1", "k2", F.col("start").alias("end"), "after").join(materialize(ends, "line-ends").hint("merge"), ["k1", "k2", "end"], "left_semi")
     tails = materialize(tails, "line-tails")
     first = first.select("lines", "first.k1", "first.k2", "first.end").join(tails, ["k1", "k2", "end"]).select("lines", F.col("after.h").alias("h"))
     later = later.join(tails, ["k1", "k2", "end"]).join(materialize(first, "first-tails"), "lines")
@@ -88,7 +88,7 @@ def with_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     discard_since(point, runs)
     release(docs.sparkSession)
     keys = [F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64("text").alias("k2")]
-    rows = docs.select(F.struct("*").alias("doc"), "text", *keys).join(runs, ["k1", "k2"], "left")
+    rows = docs.select(F.struct("*").alias("doc"), *keys).join(runs.hint("merge"), ["k1", "k2"], "left").withColumn("text", F.col("doc.text"))
     inside = lambda i: F.exists("runs", lambda r: (i >= r.start) & (i <= r["last"]))
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~inside(i)), "\n")
     return rows.select("doc", "runs", F.when(F.col("runs").isNull(), F.col("text")).otherwise(kept).alias("kept_text"))

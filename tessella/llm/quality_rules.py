@@ -94,7 +94,7 @@ def verdicts(measured: DataFrame, share: float = LINE_SHARE, least: int = LEAST_
     hit = hit.select(F.col("doc_id").alias("_id"), F.col("_host").alias("_h2"), F.col("_text_key").alias("_k2"), "removed_words", "_removed")
     hit = materialize(hit, "line-hits")
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_host") == F.col("_h2")) & (F.col("_text_key") == F.col("_k2"))
-    rows = rows.drop("_lines").join(hit, on, "left").drop("_id", "_h2", "_k2", "_host")
+    rows = rows.drop("_lines").join(hit.hint("merge"), on, "left").drop("_id", "_h2", "_k2", "_host")
     rows = rows.withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col("removed_words") >= keep_part * F.col("n_words")))
 
@@ -108,10 +108,11 @@ def apply_rules(docs: DataFrame) -> DataFrame:
     good = materialize(good.dropDuplicates(["_id", "_s2", "_k2"]), "rules-kept")
     discard_since(point, good)
     release(docs.sparkSession)
-    rows = docs.select(F.struct("*").alias("_doc"), "doc_id", "source", "text", F.xxhash64("text").alias("_text_key"))
+    rows = docs.select(F.struct("*").alias("_doc"), "doc_id", "source", F.xxhash64("text").alias("_text_key"))
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_s2")) & (F.col("_text_key") == F.col("_k2"))
-    left = F.array_join(F.filter(F.split("text", "\n"), lambda x: ~has_word(x) | ~F.array_contains(F.col("_removed"), line_hash(x))), "\n")
-    out = rows.join(good, on).select("_doc", F.when(F.col("_removed").isNotNull(), left).otherwise(F.col("text")).alias("_left"))
+    text = F.col("_doc.text")
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~has_word(x) | ~F.array_contains(F.col("_removed"), line_hash(x))), "\n")
+    out = rows.join(good.hint("merge"), on).select("_doc", F.when(F.col("_removed").isNotNull(), left).otherwise(text).alias("_left"))
     new = {"text": F.col("_left"), "n_chars": F.length("_left").cast("long")}
     return out.select(*[new.get(c, F.col("_doc").getField(c)).alias(c) for c in docs.columns])
 
