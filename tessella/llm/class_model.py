@@ -17,6 +17,7 @@ result, and with no training text all counts are 0 and every token is unknown.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,8 @@ BIGRAM_WEIGHT, FLOOR = 0.95, 0.5
 CHUNK, RARE = 1024, 255
 #: Tokens of which a task holds the pairs at once; how often a batch of moves is halved.
 HELD, HALVED = 1_000_000, 2
+#: Texts, and rows of neighbours (some MB each), that a worker is sent at once.
+TEXTS, BLOCKS = 1000, 16
 #: Hashes of start and end.
 _START, _STOP = np.uint64(1), np.uint64(2)
 
@@ -224,6 +227,18 @@ def exchange(sides: DataFrame, classes, counts: np.ndarray, parity: int) -> list
     return half.drop("chunk", "words").mapInPandas(run, "first long, cls binary").collect()  # a byte a word
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """So many rows at most go to a Python worker at once, for what is run inside: texts and blocks take much memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, usual)
+
+
 def likelihood(counts: np.ndarray) -> float:
     """Log-likelihood of the class sequence and of the words in their classes, but for a term that no class changes."""
     f = lambda x: float((x[x > 0] * np.log(x[x > 0])).sum())
@@ -254,7 +269,8 @@ def learn_classes(train: DataFrame, parts: int, trace: list[float] | None = None
     `trace` gets the likelihood at the start and after each batch that is kept; it never falls.
     """
     spark = train.sparkSession
-    pairs = materialize(words_and_pairs(train, parts), "word-pairs")
+    with batches_of(spark, TEXTS):
+        pairs = materialize(words_and_pairs(train, parts), "word-pairs")
     release(spark)
     sizes = np.zeros(parts, np.int64)
     for r in pairs.where("dst is null").select("part", (F.length("other") / 8).cast("long").alias("n")).collect():  # a row a part
@@ -263,9 +279,7 @@ def learn_classes(train: DataFrame, parts: int, trace: list[float] | None = None
     sides = materialize(word_sides(pairs, first, parts), "word-sides")
     release(spark)
     classes = np.append(np.arange(first[-1]) % CLASSES, (START, STOP)).astype(np.uint8)
-    still, rows = 0, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    usual = spark.conf.get(rows)
-    spark.conf.set(rows, 16)  # a row of sides holds up to some MB
+    still = 0
 
     def counted(classes: np.ndarray) -> np.ndarray:
         sent = spark.sparkContext.broadcast(classes)
@@ -273,28 +287,28 @@ def learn_classes(train: DataFrame, parts: int, trace: list[float] | None = None
         sent.unpersist()
         return counts
 
-    counts = counted(classes)
-    best = likelihood(counts)
-    trace = [] if trace is None else trace
-    trace.append(best)
-    for step in range(ROUNDS * 2):
-        sent = spark.sparkContext.broadcast(classes)
-        moves = exchange(sides, sent, counts, step % 2)
-        sent.unpersist()
-        for halved in range(HALVED + 1):
-            new = classes.copy()
-            for k, r in enumerate(moves):
-                if k % (1 << halved) == 0:
-                    new[r.first : r.first + len(r.cls)] = np.frombuffer(r.cls, np.uint8)
-            after = counted(new) if (new != classes).any() else counts
+    with batches_of(spark, BLOCKS):
+        counts = counted(classes)
+        best = likelihood(counts)
+        trace = [] if trace is None else trace
+        trace.append(best)
+        for step in range(ROUNDS * 2):
+            sent = spark.sparkContext.broadcast(classes)
+            moves = exchange(sides, sent, counts, step % 2)
+            sent.unpersist()
+            for halved in range(HALVED + 1):
+                new = classes.copy()
+                for k, r in enumerate(moves):
+                    if k % (1 << halved) == 0:
+                        new[r.first : r.first + len(r.cls)] = np.frombuffer(r.cls, np.uint8)
+                after = counted(new) if (new != classes).any() else counts
+                if likelihood(after) > best:
+                    break
             if likelihood(after) > best:
+                classes, counts, best, still = new, after, likelihood(after), 0
+                trace.append(best)
+            elif (still := still + 1) == 2:  # neither half moves
                 break
-        if likelihood(after) > best:
-            classes, counts, best, still = new, after, likelihood(after), 0
-            trace.append(best)
-        elif (still := still + 1) == 2:  # neither half moves
-            break
-    spark.conf.set(rows, usual)
     sent = spark.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -371,7 +385,8 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame, top: np.ndarray,
             yield out.assign(n_known=pdf["n_known"] + known, base_score=pdf["base_score"] + b, score=pdf["score"] + s)
 
     scored = docs.select("doc_id", "held_out", "raw").mapInPandas(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<long>, tails binary, which binary, before binary, after binary")
-    scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "partial-scores")
+    with batches_of(docs.sparkSession, TEXTS):
+        scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "partial-scores")
     # words that are not looked up meet their counts and classes here
     rare = scored.select("row", F.posexplode("rare").alias("place", "hash"))
     met = rare.join(vocabulary, "hash").groupBy("row").agg(F.collect_list(F.struct("place", "c", "cls")).alias("x"))
