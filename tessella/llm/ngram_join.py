@@ -307,9 +307,8 @@ def near_pairs(pairs: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.mapInPandas(run, "hub long, node long")
 
 
-def member_sets(texts: DataFrame, places: DataFrame, profiles: DataFrame, k: int, few: bool = False) -> DataFrame:
-    """(node, tokens) of the nodes of `places`, made again from one text each. Texts are dealt out to the nodes at any size,
-    unless there are `few` nodes: Spark may then broadcast them, if they are below its own limit."""
+def member_sets(texts: DataFrame, places: DataFrame, profiles: DataFrame, k: int) -> DataFrame:
+    """(node, tokens) of the nodes of `places`, made again from one text each. Texts are dealt out to the nodes at any size."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -318,7 +317,7 @@ def member_sets(texts: DataFrame, places: DataFrame, profiles: DataFrame, k: int
                 yield part[["node"]].assign(tokens=[shingles(raw, k).tobytes() for raw in part["raw"]])
 
     wanted = materialize(places.select("node").distinct().join(profiles.select("node", "rep.*"), "node"), "wanted-texts")
-    wanted = (wanted if few else wanted.hint("merge")).alias("w")
+    wanted = wanted.hint("merge").alias("w")
     on = F.col("t.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("t.k1") == F.col("w.k1")) & (F.col("t.k2") == F.col("w.k2"))
     rows = texts.alias("t").join(wanted, on).select("node", "raw")
     sets = rows.mapInPandas(run, "node long, tokens binary")
@@ -434,7 +433,7 @@ def verified_groups(sketched: DataFrame, texts: DataFrame, k: int, num: int, den
     if not left.limit(1).count():
         return roots
     places = tree_places(left, num, den, block)
-    more = by_bucket(places.join(member_sets(texts, places, profiles, k, few=True), "node"), parts, exact, "a long, b long")
+    more = by_bucket(places.join(member_sets(texts, places, profiles, k), "node"), parts, exact, "a long, b long")
     return components(links.unionByName(more))
 
 
