@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import class_model, embedding_dedup, line_dedup, mixing, ngram_join, packing, pii, quality_model, quality_rules, spelling, suffix_dedup, token_files
+from . import class_model, conversation_repair, embedding_dedup, line_dedup, mixing, ngram_join, packing, pii, quality_model, quality_rules, spelling, suffix_dedup, token_files
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_token_files": token_files.op8,
     "op9_packing": packing.op9,
     "op10_ngram_join": ngram_join.op10,
+    "op11_conversation_repair": conversation_repair.op11,
     "op12_spelling": spelling.op12,
     "op13_pii": pii.op13,
 }
