@@ -32,19 +32,23 @@ def first_seen(events: DataFrame, keys: list[str], time: str, hours: int = SEEN_
 
 
 def start_ingest(events: DataFrame, root: str, checkpoint: str, policy: str = "emoji", once: bool = False) -> StreamingQuery:
-    """Write posts, archive and deltas of each batch below `root`. A batch that is run again overwrites its own output.
+    """Write posts, archive and deltas of each batch below `root`. A batch that is run again changes nothing.
 
-    Nothing is committed until all three are written. Rollups have no watermark: a late post updates its hour.
+    All three are written before one commit makes posts and deltas visible; a batch that broke off before it overwrites what
+    it had written. Rollups have no watermark: a late post updates its hour.
     """
     spark = events.sparkSession
     store = RollupStore(spark, f"{root}/rollups")
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if store.applied(batch_id):
+            return
         batch.persist()
         try:
-            text_policy(batch.drop("anomalies", "received"), policy).write.mode("overwrite").parquet(f"{root}/posts/batch={batch_id}")
+            posts = text_policy(batch.drop("anomalies", "received"), policy)
+            posts.write.mode("overwrite").parquet(f"{root}/posts/batch={batch_id}")
             archive_rows(batch).write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/archive/batch={batch_id}")
-            store.append(batch, batch_id)
+            store.append(posts, batch_id, stored=f"{root}/posts/batch={batch_id}")
         finally:
             batch.unpersist()
 

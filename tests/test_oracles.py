@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from tessella.plans import accounts, ingestion, registry, serving, telemetry  # noqa: F401
+from tessella.plans import accounts, ingestion, registry, serving, stores, telemetry  # noqa: F401
 from tessella.streaming import hosts, ingest  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
