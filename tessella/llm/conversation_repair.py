@@ -214,7 +214,7 @@ def _per_chunk(rows: DataFrame, inputs: list[str], work: Callable, schema: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 200):
-                part = batch.slice(k, 1000)
+                part = batch.slice(k, 200)
                 out = list(zip(*[work(*row) for row in zip(*[c.to_pylist() for c in part.columns[2:]], strict=True)], strict=True))
                 yield pa.RecordBatch.from_arrays([*part.columns[:2], *[pa.array(list(c), t) for c, t in zip(out, kinds, strict=True)]], names=["conv_id", "chunk", *names])
 
