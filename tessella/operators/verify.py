@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.scalars import digest, tid_micros
+from ..storage import materialize
+from .ledger import promotable
 
 
 def actual(posts: DataFrame, expected: DataFrame) -> DataFrame:
@@ -26,13 +30,6 @@ def classify(expected: DataFrame, posts: DataFrame) -> DataFrame:
     return rows.withColumn("result", result)
 
 
-def check_complete(classified: DataFrame, expected: DataFrame) -> None:
-    """Refuse to go on unless as many accounts were classified as staged."""
-    a, b = classified.count(), expected.count()
-    if a != b:
-        raise ValueError(f"{a} accounts classified, {b} staged")
-
-
 def result_counts(classified: DataFrame) -> DataFrame:
     return classified.groupBy("result").agg(F.count("*").alias("accounts"), F.sum("expected_posts").alias("expected_posts"), F.sum("actual_posts").alias("actual_posts"))
 
@@ -93,3 +90,22 @@ def listing_diff(ledger: DataFrame, listing: DataFrame) -> DataFrame:
 def host_verdicts(hosts: DataFrame) -> DataFrame:
     """Hosts and pending accounts by verdict."""
     return hosts.groupBy("verdict").agg(F.count("*").alias("hosts"), F.sum("pending").alias("pending"))
+
+
+def counted_write(df: DataFrame, name: str, **also) -> tuple[DataFrame, dict]:
+    """The table as written, and its number of rows (`rows`) and other sums, taken in the pass that writes it."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    written = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in also.items()]), name)
+    return written, seen.get
+
+
+def promote(ledger: DataFrame, staged: DataFrame, results: DataFrame) -> tuple[DataFrame, dict]:
+    """Accounts to mark verified, and the counts that allow it. Refuses if not every staged account was classified.
+
+    Staged accounts and their results are written once each and counted as they are written.
+    """
+    held, stage = counted_write(staged.select("did"), "staged")
+    classified, result = counted_write(results.select("did", "result"), "classified", exact=F.count_if(F.col("result") == "exact"))
+    if result["rows"] != stage["rows"]:
+        raise ValueError(f"{result['rows']} of {stage['rows']} staged accounts were classified; nothing is promoted")
+    return promotable(ledger, held, classified), {"staged": stage["rows"], "exact": result["exact"]}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import ARCHIVE
-from ..storage import hadoop
+from ..storage import hadoop, materialize
 
 
 def write_archive(rows: DataFrame, path: str, per_file: int = 1_000_000) -> None:
@@ -73,6 +73,78 @@ def replay_last(pages: DataFrame, key: str = "did", seq: str = "seq") -> DataFra
     return pages.groupBy(key).agg(F.max_by(F.struct(*[c for c in pages.columns if c != key]), seq).alias("_row")).select(key, "_row.*")
 
 
-def page_after(df: DataFrame, key: str, after, n: int) -> DataFrame:
-    """Keyset page: the next n rows after a key."""
-    return df.where(F.col(key) > after).orderBy(key).limit(n)
+def write_sorted(df: DataFrame, key: str, path: str, per_file: int = 1_000_000) -> DataFrame:
+    """Write a table in order of its key, and return its directory: file, low, high, rows of each."""
+    spark = df.sparkSession
+    df.repartitionByRange(key).sortWithinPartitions(key).write.option("maxRecordsPerFile", per_file).parquet(path)
+    rows = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.col(key).alias("k"))
+    return materialize(rows.groupBy("file").agg(F.min("k").alias("low"), F.max("k").alias("high"), F.count("*").alias("rows")), "directory")
+
+
+def page_after(directory: DataFrame, key: str, after, n: int) -> tuple[DataFrame, int]:
+    """Keyset page: the next n rows after a key (None: from the start), and how many files it reads.
+
+    The directory tells which files can hold them; files before the key and after the page are not opened.
+    """
+    spark, files, rows = directory.sparkSession, [], 0
+    ahead = directory if after is None else directory.where(F.col("high") > F.lit(after))
+    for f in ahead.orderBy("low").toLocalIterator():
+        if rows >= n:
+            break
+        files.append(f.file)
+        rows += f.rows if after is None or f.low > after else 0  # of a file that the key lies in, any number may be left
+    if not files:
+        first = directory.select("file").first()
+        return spark.read.parquet(first.file).limit(0), 0
+    found = spark.read.parquet(*files)
+    return (found if after is None else found.where(F.col(key) > F.lit(after))).orderBy(key).limit(n), len(files)
+
+
+def finalize(rows: DataFrame, root: str, prefix: str, sequence: int, per_file: int = 1_000_000, time: str = "created_at") -> str:
+    """Archive rows as `<prefix>-<sequence>.parquet` below `root`/files: written under a .tmp name, renamed, then listed in
+    `root`/manifest. What breaks off in between is found by sweep()."""
+    spark, name = rows.sparkSession, f"{prefix}-{sequence:06d}.parquet"
+    write_archive(rows, f"{root}/files/{name}.tmp", per_file)
+    source, fs = hadoop(spark, f"{root}/files/{name}.tmp")
+    fs.rename(source, hadoop(spark, f"{root}/files/{name}")[0])
+    list_file(spark, root, name, time)
+    return name
+
+
+def list_file(spark: SparkSession, root: str, name: str, time: str = "created_at") -> None:
+    """The manifest's entry of an archive file."""
+    found = spark.read.parquet(f"{root}/files/{name}").agg(F.count("*").alias("rows"), F.min(time).alias("min_time"), F.max(time).alias("max_time"))
+    found.select(F.lit(name).alias("file"), "*").coalesce(1).write.mode("append").json(f"{root}/manifest")
+
+
+_ENTRY = "file string, rows long, min_time timestamp_ntz, max_time timestamp_ntz"
+
+
+def inventory(spark: SparkSession, root: str, prefix: str) -> DataFrame:
+    """(file, sequence, bytes, listed_rows, state): the folder and the manifest held against each other.
+
+    state: `whole` (there and listed), `unlisted` (there alone), `moved` (listed alone: it went on to another store), or
+    `partial` (never renamed). Torn entries of the manifest name no file and drop out; other prefixes are left alone.
+    """
+    name = F.regexp_extract("path", rf"/({prefix}-[0-9]+\.parquet(?:\.tmp)?)/", 1)
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(f"{root}/files")
+    there = listing.select(name.alias("file"), "length").where("file <> ''").groupBy("file").agg(F.sum("length").alias("bytes"))
+    entries = spark.read.schema(_ENTRY).json(f"{root}/manifest").where(F.col("file").rlike(rf"^{prefix}-[0-9]+\.parquet$")).groupBy("file").agg(F.max("rows").alias("listed_rows"))
+    state = F.when(F.col("file").endswith(".tmp"), "partial").when(F.col("listed_rows").isNull(), "unlisted").when(F.col("bytes").isNull(), "moved").otherwise("whole")
+    return there.join(entries, "file", "full").select("file", F.regexp_extract("file", r"-([0-9]+)\.parquet", 1).cast("long").alias("sequence"), "bytes", "listed_rows", state.alias("state"))
+
+
+def sweep(spark: SparkSession, root: str, prefix: str) -> tuple[DataFrame, int]:
+    """Remove partial files and list unlisted ones; the inventory as found, and the next sequence that nothing has used.
+
+    A sequence counts as used by a file or by the manifest, which outlives the files; a partial file's can be used again.
+    """
+    found = materialize(inventory(spark, root, prefix), "inventory")
+    for row in found.where("state in ('partial', 'unlisted')").select("file", "state").toLocalIterator():  # what one crash leaves
+        if row.state == "partial":
+            p, fs = hadoop(spark, f"{root}/files/{row.file}")
+            fs.delete(p, True)
+        else:
+            list_file(spark, root, row.file)
+    used = found.where("state <> 'partial'").agg(F.max("sequence")).first()[0]
+    return found, (used or 0) + 1
