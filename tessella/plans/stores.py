@@ -14,7 +14,8 @@ from ..operators.aggregates import SPECS, Spec, emoji_total
 from ..operators.ledger_store import LedgerStore
 from ..operators.posts import normalize
 from ..operators.rollups import RollupStore
-from ..sources import archive, partitioned, tables
+from ..operators.snapshots import SnapshotLog
+from ..sources import archive, enumeration, partitioned, tables
 from ..sources.tables import with_tables
 from ..storage import materialize, new_path
 from .registry import query
@@ -243,3 +244,37 @@ def archive_sweep(spark: SparkSession, sf: str) -> DataFrame:
     rows = spark.read.parquet(*[f"{root}/files/live-{k:06d}.parquet" for k in (1, 3, 4, following)]).count()
     listed = archive.inventory(spark, root, "live").where("listed_rows is not null and bytes is not null").count()
     return found.select("file", "sequence", "state", F.col("listed_rows").isNotNull().alias("was_listed"), F.lit(rows).alias("rows_after"), F.lit(following).alias("next_sequence"), F.lit(listed).alias("listed_after"))
+
+
+@query("enumerate_replay", "SELECT 'c' || o_custkey AS did, max(o_orderkey) AS seq, arg_max(o_orderpriority, o_orderkey) AS op, (SELECT max(o_orderkey) FROM orders) AS cursor, (SELECT count(*) FROM orders) AS operations, true AS overlapped FROM orders GROUP BY o_custkey")
+def enumerate_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """Operations on accounts read page by page, stopped after three pages and in the middle of the fourth, started again
+    some way before the cursor: the last operation of each account, however often it was read."""
+    ops = tables.read(spark, sf, "orders").selectExpr("o_orderkey as seq", "concat('c', o_custkey) as did", "o_orderpriority as op")
+    size = max(1, ops.count() // 6)
+    directory = archive.write_sorted(ops, "seq", new_path(spark, "listing"), max(1, size // 3))
+    page = lambda cursor: archive.page_after(directory, "seq", cursor, size)[0]
+    log = SnapshotLog(spark, new_path(spark, "enumeration"))
+    enumeration.enumerate_pages(log, page, "ops", most=3)
+    log.write(page(log.latest().cursors["ops"]), "ops")  # written, but the run stops before the commit
+    enumeration.enumerate_pages(log, page, "ops", overlap=size // 2)
+    read = enumeration.operations(log, "ops")
+    last = archive.replay_last(read)
+    n, distinct = read.agg(F.count("*"), F.count_distinct("seq")).first()
+    return last.select("did", "seq", "op", F.lit(log.latest().cursors["ops"]).alias("cursor"), F.lit(distinct).alias("operations"), F.lit(n > distinct).alias("overlapped"))
+
+
+@query("report_sinks", with_tables("ledger") + "SELECT pds_host, count(*) AS accounts, count(*) FILTER (WHERE status = 'failed') AS failed, true AS sorted, (SELECT count(DISTINCT did) FROM led WHERE status = 'failed') AS listed FROM led GROUP BY pds_host")
+def report_sinks(spark: SparkSession, sf: str) -> DataFrame:
+    """A report as JSON lines, largest first, the same as tab-separated values, and a list of accounts, written and read back."""
+    ledger, root = tables.ledger(spark, sf), new_path(spark, "reports")
+    by_host = ledger.groupBy("pds_host").agg(F.count("*").alias("accounts"), F.count_if(F.col("status") == "failed").alias("failed"))
+    archive.write_report(by_host, "accounts", f"{root}/report")
+    archive.write_tsv(by_host, f"{root}/tsv")
+    archive.write_lines(ledger.where("status = 'failed'").select(F.concat(F.lit("did:"), "did").alias("did")), "did", f"{root}/dids")
+    report = spark.read.schema("pds_host string, accounts long, failed long").json(f"{root}/report")
+    lines = report.select("accounts", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("at"))
+    jumps = lines.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("at", "accounts"))).alias("r")).where("size(r) > 1 and exists(sequence(1, greatest(size(r) - 1, 1)), k -> get(r, k).accounts > get(r, k - 1).accounts)")  # a row a host
+    tsv = spark.read.schema("pds_host string, accounts long, failed long").option("sep", "\t").csv(f"{root}/tsv")
+    listed = archive.did_list(spark, f"{root}/dids").select("did").distinct().count()
+    return tsv.join(report.select("pds_host", F.col("accounts").alias("a"), F.col("failed").alias("f")), "pds_host").where("a = accounts and f = failed").select("pds_host", "accounts", "failed", F.lit(jumps.isEmpty()).alias("sorted"), F.lit(listed).alias("listed"))

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.scalars import floor_seconds, logical_shard
+from ..operators import bitmaps, stacks
 from ..schemas import EXCLUDED_PREFIXES, EXCLUDED_RUN, IDLE_SECONDS, ISSUE_EVENTS, LEGACY_RUNS, RATE_MINUTES, REASON_SHARDS, SETTLED, STATUSES, TARGET_REPOS, TERMINAL_EVENTS, TIMELINE_POINTS
 from ..sources import tables
 from ..sources.tables import with_tables
+from ..storage import materialize
 from .registry import query
 
 _PR, _EV, _VP = with_tables("events", "progress"), with_tables("events"), with_tables("verify")
@@ -224,14 +226,48 @@ def recrawl_status(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("loose_unique_dids", _EV + f", a AS (SELECT max(ts) AS t FROM ev) SELECT count(DISTINCT did) FILTER (WHERE event IN {_IN(TERMINAL_EVENTS)}) AS processed, count(DISTINCT did) FILTER (WHERE event = 'loaded') AS loaded, count(DISTINCT did) FILTER (WHERE event IN {_IN(ISSUE_EVENTS)}) AS issues, count(*) AS event_rows, round(count(DISTINCT did) FILTER (WHERE event IN {_IN(TERMINAL_EVENTS)} AND ts >= t - INTERVAL 1 DAY) / greatest(date_diff('second', min(ts) FILTER (WHERE ts >= t - INTERVAL 1 DAY), max(ts)) / 60, 1), 6) AS repos_per_min FROM ev, a WHERE starts_with(run_id, 'fail-')")
 def loose_unique_dids(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct accounts by outcome in one pass, and their rate over the last day."""
+    """Distinct accounts by outcome, and their rate over the last day: accounts are folded to flags first, so that four
+    conditional counts need one row an account and no copies of the events."""
     e = tables.repo_events(spark, sf)
     rows = e.join(F.broadcast(e.agg(F.max("ts").alias("as_of"))), F.lit(True)).where(F.col("run_id").startswith("fail-"))
     recent = F.col("ts") >= F.col("as_of") - F.expr("INTERVAL 1 DAY")
-    ids = lambda c: F.count_distinct(F.when(c, F.col("did")))
-    has = lambda *k: F.col("event").isin(*k)
-    minutes = F.timestamp_diff("SECOND", F.min(F.when(recent, F.col("ts"))), F.max("ts")) / 60
-    return rows.agg(ids(has(*TERMINAL_EVENTS)).alias("processed"), ids(has("loaded")).alias("loaded"), ids(has(*ISSUE_EVENTS)).alias("issues"), F.count("*").alias("event_rows"), F.round(ids(has(*TERMINAL_EVENTS) & recent) / F.greatest(minutes, F.lit(1.0)), 6).alias("repos_per_min"))
+    has = lambda *k: F.bool_or(F.col("event").isin(*k))
+    per = rows.groupBy("did").agg(
+        has(*TERMINAL_EVENTS).alias("processed"), has("loaded").alias("loaded"), has(*ISSUE_EVENTS).alias("issues"), F.bool_or(F.col("event").isin(*TERMINAL_EVENTS) & recent).alias("recent"),
+        F.count("*").alias("n"), F.min(F.when(recent, F.col("ts"))).alias("since"), F.max("ts").alias("last"),
+    )
+    minutes = F.timestamp_diff("SECOND", F.min("since"), F.max("last")) / 60
+    return per.agg(*[F.count_if(c).alias(c) for c in ("processed", "loaded", "issues")], F.sum("n").alias("event_rows"), F.round(F.count_if("recent") / F.greatest(minutes, F.lit(1.0)), 6).alias("repos_per_min"))
+
+
+_OUTCOMES = {"processed": TERMINAL_EVENTS, "loaded": ("loaded",), "issues": ISSUE_EVENTS}
+
+
+@query("distinct_by_day", _EV + ", d AS (SELECT DISTINCT ts::DATE AS day FROM ev) SELECT day, " + ", ".join(f"count(DISTINCT did) FILTER (WHERE ts::DATE = day AND event IN {_IN(k)}) AS {n}, count(DISTINCT did) FILTER (WHERE event IN {_IN(k)}) AS {n}_so_far" for n, k in _OUTCOMES.items()) + " FROM d JOIN ev ON ts::DATE <= day GROUP BY day")
+def distinct_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct accounts by outcome for each day and up to it, from bitmaps by day that are stored once and merged at read."""
+    events = tables.repo_events(spark, sf).withColumn("day", F.to_date("ts"))
+    ids = bitmaps.dense_ids(events, "did")
+    marks = bitmaps.marks(events.join(ids, "did"), ["day"], {n: F.col("event").isin(*k) for n, k in _OUTCOMES.items()})
+    stored = materialize(marks, "bitmaps-by-day")
+    own, upto = bitmaps.counts(stored, ["day"], list(_OUTCOMES)), bitmaps.counts(bitmaps.running(stored, "day", list(_OUTCOMES)), ["day"], list(_OUTCOMES))
+    return own.join(upto.select("day", *[F.col(n).alias(f"{n}_so_far") for n in _OUTCOMES]), "day")
+
+
+_FRAME = "event_type || '@' || (user_id % 3) || ':' || (event_id % 2)"
+
+
+@query("stack_shares", f"""WITH RECURSIVE n AS (SELECT event_id AS id, CASE WHEN event_id > 0 THEN event_id // 3 END AS parent, {_FRAME} AS frame FROM events),
+w AS (SELECT event_id AS sample, event_id // 10 AS cur, 0 AS depth, []::VARCHAR[] AS frames FROM events
+  UNION ALL SELECT w.sample, n.parent, w.depth + 1, list_append(w.frames, n.frame) FROM w JOIN n ON n.id = w.cur WHERE w.depth < 12),
+s AS (SELECT array_to_string(arg_max(frames, depth)[1:6], ' < ') AS stack FROM w GROUP BY sample)
+SELECT stack, count(*) AS samples, round(100 * count(*) / (SELECT count(*) FROM events), 1) AS share FROM s GROUP BY stack ORDER BY samples DESC, stack LIMIT 12""")
+def stack_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """The most frequent call stacks of a profile: nodes with parents, and samples at nodes, taken from the events."""
+    events = tables.read(spark, sf, "events")
+    nodes = events.select(F.col("event_id").alias("node"), F.when(F.col("event_id") > 0, F.floor(F.col("event_id") / 3)).alias("parent"), F.expr(_FRAME).alias("frame"))
+    samples = events.select(F.floor(F.col("event_id") / 10).alias("node"))
+    return stacks.top_stacks(nodes, samples, 12)
 
 
 @query("drain_remaining", _PR + ", s0 AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY ts DESC, run_id DESC) AS k FROM pr WHERE shard IN ('shard0', 'shard1', 'shard2', 'shard3')) SELECT sum(pending + fetching)::BIGINT AS remaining, count(*) AS shards, count(*) = 4 AS complete FROM s0 WHERE k = 1")

@@ -63,11 +63,6 @@ def write_report(df: DataFrame, by: str, path: str) -> None:
     df.orderBy(F.desc(by)).write.mode("overwrite").json(path)
 
 
-def expire(df: DataFrame, time: str, as_of, days: int) -> DataFrame:
-    """Rows younger than a table's time to live."""
-    return df.where(F.col(time) >= as_of - F.expr(f"INTERVAL {days} DAYS"))
-
-
 def replay_last(pages: DataFrame, key: str = "did", seq: str = "seq") -> DataFrame:
     """Paged enumeration, replayed: the last operation of each account counts, and the cursor is the largest sequence."""
     return pages.groupBy(key).agg(F.max_by(F.struct(*[c for c in pages.columns if c != key]), seq).alias("_row")).select(key, "_row.*")

@@ -10,7 +10,7 @@ from ..operators.aggregates import SPECS
 from ..operators.posts import archive_rows, normalize, text_policy
 from ..operators.rollups import RollupStore
 from ..plans.registry import query
-from ..schemas import RAW_EVENT, REWIND_SECONDS, SEEN_HOURS
+from ..schemas import RAW_EVENT, SEEN_HOURS
 from ..sources import tables
 from ..sources.tables import with_tables
 from ..storage import new_path
@@ -21,11 +21,6 @@ def raw_events(spark: SparkSession, path: str, files_per_batch: int = 100) -> Da
     return spark.readStream.schema(RAW_EVENT).option("maxFilesPerTrigger", files_per_batch).json(path)
 
 
-def rewound(events: DataFrame, cursor_us: int, seconds: int = REWIND_SECONDS) -> DataFrame:
-    """Events from some time before a cursor on; the seen keys absorb the overlap."""
-    return events.where(F.col("timeUs") >= cursor_us - seconds * 1_000_000)
-
-
 def first_seen(events: DataFrame, keys: list[str], time: str, hours: int = SEEN_HOURS) -> DataFrame:
     """Drop keys seen within the retention, which runs by time of receipt: late posts of old dates still pass."""
     return events.withWatermark(time, f"{hours} hours").dropDuplicatesWithinWatermark(keys)
