@@ -16,6 +16,7 @@ def session(name: str = "tessella", master: str | None = None, partitions: int |
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.parquet.compression.codec": "zstd",
+        "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     if partitions:
         settings["spark.sql.shuffle.partitions"] = str(partitions)

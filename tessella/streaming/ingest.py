@@ -21,9 +21,14 @@ def raw_events(spark: SparkSession, path: str, files_per_batch: int = 100) -> Da
     return spark.readStream.schema(RAW_EVENT).option("maxFilesPerTrigger", files_per_batch).json(path)
 
 
-def first_seen(events: DataFrame, keys: list[str], time: str, hours: int = SEEN_HOURS) -> DataFrame:
-    """Drop keys seen within the retention, which runs by time of receipt: late posts of old dates still pass."""
-    return events.withWatermark(time, f"{hours} hours").dropDuplicatesWithinWatermark(keys)
+def first_seen(events: DataFrame, keys: list[str], hours: int = SEEN_HOURS) -> DataFrame:
+    """Drop keys that were seen within the retention, counted from the batch that first held them.
+
+    Marks age by the time of the batch, which its offset log keeps, and not by any time of the events: an event of any age
+    passes once. A batch that is run again has the same time and finds the same marks, as these are kept once it is written.
+    """
+    seen = events.withColumn("_seen_at", F.current_timestamp())
+    return seen.withWatermark("_seen_at", f"{hours} hours").dropDuplicatesWithinWatermark(keys).drop("_seen_at")
 
 
 def start_ingest(events: DataFrame, root: str, checkpoint: str, policy: str = "emoji", once: bool = False) -> StreamingQuery:
@@ -40,15 +45,14 @@ def start_ingest(events: DataFrame, root: str, checkpoint: str, policy: str = "e
             return
         batch.persist()
         try:
-            posts = text_policy(batch.drop("anomalies", "received"), policy)
+            posts = text_policy(batch.drop("anomalies"), policy)
             posts.write.mode("overwrite").parquet(f"{root}/posts/batch={batch_id}")
             archive_rows(batch).write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/archive/batch={batch_id}")
             store.append(posts, batch_id, stored=f"{root}/posts/batch={batch_id}")
         finally:
             batch.unpersist()
 
-    timed = events.withColumn("received", F.timestamp_micros("timeUs"))
-    rows = normalize_stream(first_seen(timed, ["did", "rkey"], "received"))
+    rows = normalize_stream(first_seen(events, ["did", "rkey"]))
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 second")).start()
 
@@ -71,13 +75,13 @@ def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query("stream_dedupe_counts", "SELECT event_type, count(DISTINCT event_id) AS events, sum(CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END)::BIGINT AS even FROM events GROUP BY event_type")
 def stream_dedupe_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Every event delivered twice, counted once; counts leave as deltas by batch and are summed at read."""
-    once = stream_of(spark, sf, "events").withColumn("received", F.col("ts").cast("timestamp"))
+    once = stream_of(spark, sf, "events")
     out = new_path(spark, "stream-dedupe")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.groupBy("event_type").agg(F.count("*").alias("events"), F.count_if(F.col("event_id") % 2 == 0).alias("even")).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    run_batches(first_seen(once.unionByName(once), ["event_id"], "received", 24 * 365), "dedupe", write)
+    run_batches(first_seen(once.unionByName(once), ["event_id"]), "dedupe", write)
     return spark.read.parquet(out).groupBy("event_type").agg(F.sum("events").alias("events"), F.sum("even").alias("even"))
 
 
@@ -100,3 +104,18 @@ def ingest_replay(spark: SparkSession, sf: str) -> DataFrame:
         start_ingest(raw_events(spark, source), root, checkpoint, once=True).awaitTermination()
     stored = spark.read.parquet(f"{root}/posts").agg(F.count("*").alias("stored"))
     return RollupStore(spark, f"{root}/rollups").read("emoji_total").crossJoin(F.broadcast(stored))  # one row
+
+
+@query("seen_keys", with_tables("raw") + "SELECT did, count(*) AS events, count(*) FILTER (WHERE doc_id % 3 = 1) AS late FROM raw GROUP BY did")
+def seen_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Events delivered in three batches that repeat each other, the second with events that are a year older: each once."""
+    raw = tables.raw_events(spark, sf).withColumn("rkey", F.concat("rkey", F.lit("/"), "doc_id"))
+    raw = raw.withColumn("timeUs", F.when(F.col("doc_id") % 3 == 1, F.col("timeUs") - 365 * 86_400_000_000).otherwise(F.col("timeUs"))).withColumn("late", F.col("doc_id") % 3 == 1)
+    source, out, checkpoint = (new_path(spark, f"seen-{x}") for x in ("events", "once", "checkpoint"))
+    rows = raw.select("did", "rkey", "timeUs", "late")
+    for part in (rows.where(F.col("rkey").like("%0") | ~F.col("late")), rows.where("late"), rows):
+        part.write.mode("append").parquet(source)
+        once = first_seen(spark.readStream.schema(rows.schema).parquet(source), ["did", "rkey"])
+        writer = once.writeStream.foreachBatch(lambda batch, k: batch.write.mode("overwrite").parquet(f"{out}/batch={k}"))
+        writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(out).groupBy("did").agg(F.count("*").alias("events"), F.count_if("late").alias("late"))
