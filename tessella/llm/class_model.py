@@ -3,7 +3,8 @@
 Every training word is clustered by exchange: it moves to the class that raises the class-bigram likelihood most, from
 counts of its neighbours' classes. Words move in batches, half of the chunks at a time; after each batch the class pairs
 are counted anew over the whole corpus, and a batch that does not raise the likelihood is halved, at last taken back. Words
-that training lacks get a class of their last characters.
+that training lacks get a class of their last characters, whose neighbours are learned from the words that training has once:
+each counts in its own class and, as the unknown word that it nearly was, in the class of its ending.
 P(text) is the product over its tokens of P(class | class before) * P(word | class), each smoothed, the end included.
 
 All counts are over every training text. Words go by 64-bit hashes, dealt into parts, then by their places in these; the
@@ -38,12 +39,14 @@ CHUNK, RARE = 1024, 255
 HELD, HALVED = 1_000_000, 2
 #: Texts, and rows of neighbours (some MB each), that a worker is sent at once.
 TEXTS, BLOCKS = 1000, 16
-#: Hashes of start and end.
-_START, _STOP = np.uint64(1), np.uint64(2)
+#: Bytes of training text for each part that words are dealt into.
+PART_BYTES = 4_000_000
+#: Hashes of start and end; the last bits of a word's hash are the class of its ending.
+_START, _STOP, _TAILS = np.uint64(1), np.uint64(2), np.uint64(TAIL_CLASSES)
 
 
 def hashed(raw: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of a text's words and the tail class of each, by its last three bytes.
+    """64-bit hashes of a text's words and the tail class of each, by its last three bytes; a hash's last bits are that class.
 
     bytes.lower folds A-Z alone, bytes.split cuts at the six ASCII spaces alone.
     """
@@ -60,7 +63,12 @@ def hashed(raw: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     tail = np.zeros(len(stop), np.uint64)
     for k in (1, 2, 3):
         tail = tail * np.uint64(256) + np.where(size >= k, joined[np.maximum(stop - k, 0)], 0)
-    return mixed((prefix[stop] - prefix[start]) * down[start] + size.astype(np.uint64)), (mixed(tail) % np.uint64(TAIL_CLASSES)).astype(np.uint8)
+    kind = mixed(tail) % np.uint64(TAIL_CLASSES)
+    return mixed((prefix[stop] - prefix[start]) * down[start] + size.astype(np.uint64)) // _TAILS * _TAILS + kind, kind.astype(np.uint8)
+
+
+def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return hashes // _TAILS % np.uint64(parts)
 
 
 def raw_text(df: DataFrame) -> DataFrame:
@@ -78,7 +86,7 @@ def words_and_pairs(train: DataFrame, parts: int) -> DataFrame:
             pair = pair[at[:-1] != np.searchsorted(word, _STOP)]
             pair, n = np.unique(pair, return_counts=True)
             a, b = word[pair // len(word)], word[pair % len(word)]
-            part = a % np.uint64(parts)
+            part = part_of(a, parts)
             order = np.argsort(part, kind="stable")
             cut = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
             keep = [k for k in range(parts) if cut[k] < cut[k + 1]]
@@ -105,10 +113,10 @@ def words_and_pairs(train: DataFrame, parts: int) -> DataFrame:
         word = np.unique(a[a != _START])
         own = np.where(a == _START, -1, np.searchsorted(word, a)).astype("<i4")
         seen = np.bincount(own[own >= 0], n[own >= 0], len(word)).astype("<i8")  # each token has one follower
-        part = b % np.uint64(parts)
+        part = part_of(b, parts)
         order = np.argsort(part, kind="stable")
         cut = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
-        out = [(int(pdf["part"].iloc[0]), k, own[x].tobytes(), b[x].tobytes(), n[x].astype("<u4").tobytes()) for k in range(parts) if len(x := order[cut[k] : cut[k + 1]])]
+        out = [(int(pdf["part"].iloc[0]), k, own[x].tobytes(), b[x].tobytes(), n[x].astype("<i8").tobytes()) for k in range(parts) if len(x := order[cut[k] : cut[k + 1]])]
         out.append((int(pdf["part"].iloc[0]), None, None, word.tobytes(), seen.tobytes()))
         return pd.DataFrame(out, columns=["part", "dst", "own", "other", "n"]).astype({"dst": "Int32"})
 
@@ -124,6 +132,8 @@ def word_sides(pairs: DataFrame, first: np.ndarray, parts: int) -> DataFrame:
     them, the rest are pairs seen once. A chunk of -1 holds what stands before the end.
     """
     total = int(first[-1])
+    if total > (1 << 32) - 3:
+        raise ValueError(f"{total} distinct words; ids have 32 bits")
 
     def numbered(pdf: pd.DataFrame) -> pd.DataFrame:
         """Blocks of one dst, with ids, for the parts of either word."""
@@ -139,7 +149,7 @@ def word_sides(pairs: DataFrame, first: np.ndarray, parts: int) -> DataFrame:
         return pd.DataFrame(out, columns=["part", "ahead", "own", "other", "n"])
 
     def sorted_side(held: list[tuple], low: int) -> tuple[np.ndarray, ...]:
-        own, other, n = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.zeros(0, "<u4"),) * 3
+        own, other, n = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.zeros(0, "<u4"), np.zeros(0, "<u4"), np.zeros(0, "<i8"))
         held.clear()
         chunk = (own - np.uint32(low)) // np.uint32(CHUNK) * np.uint32(2) + (n == 1)
         order = np.argsort(chunk, kind="stable")
@@ -152,7 +162,7 @@ def word_sides(pairs: DataFrame, first: np.ndarray, parts: int) -> DataFrame:
             if ahead == 2:
                 word = np.frombuffer(other, "<u8")
                 continue
-            own, other, n = (np.frombuffer(x, "<u4") for x in (own, other, n))
+            own, other, n = np.frombuffer(own, "<u4"), np.frombuffer(other, "<u4"), np.frombuffer(n, "<i8")
             if ahead == 0 and (last := own == total + 1).any():
                 end.append((own[last], other[last], n[last]))
             inside = own < total
@@ -181,25 +191,74 @@ def weighted(place: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(place[: len(n)], n, size) + np.bincount(place[len(n) :], minlength=size)
 
 
-def class_counts(sides: DataFrame, classes) -> np.ndarray:
-    """Counts of class pairs under a class (of a broadcast array) for each word: partial sums in arrays, then by Spark."""
+def _pair_sums(sides: DataFrame, columns: list[str], add) -> np.ndarray:
+    """SYMBOLS x SYMBOLS counts that `add` puts together from rows: partial sums in arrays, then by Spark."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cls, total = classes.value, np.zeros(SYMBOLS * SYMBOLS)
+        total = np.zeros(SYMBOLS * SYMBOLS)
         for pdf in batches:
-            for first, own, other, n in zip(pdf["first"], pdf["own0"], pdf["other0"], pdf["n0"], strict=True):
-                b = cls[first : first + CHUNK][np.frombuffer(own, "<u2")]
-                pair = cls[np.frombuffer(other, "<u4")].astype(np.int64) * SYMBOLS + b
-                total += weighted(pair, np.frombuffer(n, "<u4"), SYMBOLS * SYMBOLS)
+            for row in zip(*(pdf[c] for c in columns), strict=True):
+                for pair, n in add(*row):
+                    total += weighted(pair, n, SYMBOLS * SYMBOLS)
         own = np.flatnonzero(total)
         yield pd.DataFrame({"pair": own, "n": total[own].astype(np.int64)})
 
-    rows = sides.select("first", "own0", "other0", "n0").mapInPandas(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()  # at most SYMBOLS^2
+    rows = sides.select(*columns).mapInPandas(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()  # at most SYMBOLS^2
     out = np.zeros(SYMBOLS * SYMBOLS)
     out[rows["pair"].to_numpy(np.int64)] = rows["n"].to_numpy(float)
     return out.reshape(SYMBOLS, SYMBOLS)
 
 
+def class_counts(sides: DataFrame, classes) -> np.ndarray:
+    """Counts of class pairs under a class (of a broadcast array) for each word."""
+
+    def add(first: int, own: bytes, other: bytes, n: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        b = classes.value[first : first + CHUNK][np.frombuffer(own, "<u2")]
+        yield classes.value[np.frombuffer(other, "<u4")].astype(np.int64) * SYMBOLS + b, np.frombuffer(n, "<i8")
+
+    return _pair_sums(sides, ["first", "own0", "other0", "n0"], add)
+
+
+def once(words: bytes, own: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Which words of a chunk are seen once, and the class of each word's ending."""
+    hashes = np.frombuffer(words, "<u8")
+    seen = weighted(np.frombuffer(own, "<u2"), np.frombuffer(n, "<i8"), len(hashes))
+    return seen == 1, (hashes % _TAILS).astype(np.int64) + CLASSES
+
+
+def tail_counts(sides: DataFrame, classes: np.ndarray) -> np.ndarray:
+    """Counts of class pairs in which a word seen once stands for its ending's class, beside or before any other."""
+    spark, inner = sides.sparkSession, sides.where("chunk >= 0")
+
+    def endings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [once(*x) for x in zip(pdf["words"], pdf["own0"], pdf["n0"], strict=True)]
+            yield pd.DataFrame({"first": pdf["first"], "kind": [np.where(single, kind, RARE).astype(np.uint8).tobytes() for single, kind in found]})
+
+    second = np.full(len(classes), RARE, np.uint8)
+    for r in inner.select("first", "words", "own0", "n0").mapInPandas(endings, "first long, kind binary").collect():  # a byte a word, as the classes
+        second[r.first : r.first + len(r.kind)] = np.frombuffer(r.kind, np.uint8)
+    sent, also = spark.sparkContext.broadcast(classes), spark.sparkContext.broadcast(second)
+
+    def add(words: bytes, own0: bytes, other0: bytes, n0: bytes, own1: bytes, other1: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        single, kind = once(words, own0, n0)
+        for ahead, own, other in ((0, own0, other0), (1, own1, other1)):
+            own, other = np.frombuffer(own, "<u2"), np.frombuffer(other, "<u4")
+            at = single[own]
+            mine, other, none = kind[own[at]], other[at], np.zeros(0, np.int64)  # each pair of a word seen once is seen once
+            theirs = sent.value[other].astype(np.int64)
+            yield (mine * SYMBOLS + theirs if ahead else theirs * SYMBOLS + mine), none
+            if not ahead:
+                theirs = also.value[other].astype(np.int64)
+                both = theirs != RARE
+                yield theirs[both] * SYMBOLS + mine[both], none
+
+    out = _pair_sums(inner, ["words", "own0", "other0", "n0", "own1", "other1"], add)
+    sent.unpersist()
+    also.unpersist()
+    return out
+
+
 def exchange(sides: DataFrame, classes, counts: np.ndarray, parity: int) -> list:
     """(first, cls): the best classes of the words of each chunk of one parity, a byte a word.
 
@@ -219,7 +278,7 @@ def exchange(sides: DataFrame, classes, counts: np.ndarray, parity: int) -> list
                 grids = []
                 for own, other, n in (two[:3], two[3:]):
                     place = np.frombuffer(own, "<u2").astype(np.int64) * SYMBOLS + cls[np.frombuffer(other, "<u4")]
-                    grids.append(weighted(place, np.frombuffer(n, "<u4"), size * SYMBOLS).reshape(size, SYMBOLS))
+                    grids.append(weighted(place, np.frombuffer(n, "<i8"), size * SYMBOLS).reshape(size, SYMBOLS))
                 best.append((np.hstack(grids) @ both).argmax(axis=1).astype(np.uint8).tobytes())
             yield pd.DataFrame({"first": pdf["first"], "cls": best})
 
@@ -263,8 +322,9 @@ class Model:
         return np.log10(c + FLOOR) - self.room[cls]
 
 
-def learn_classes(train: DataFrame, parts: int, trace: list[float] | None = None) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """(hash, c, cls) of every training word, the class of each word id (then start and end), counts of class pairs.
+def learn_classes(train: DataFrame, parts: int, trace: list[float] | None = None) -> tuple[DataFrame, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, c, cls) of every training word, the class of each word id (then start and end), counts of class pairs, and
+    of pairs with words seen once in the classes of their endings.
 
     `trace` gets the likelihood at the start and after each batch that is kept; it never falls.
     """
@@ -309,6 +369,7 @@ def learn_classes(train: DataFrame, parts: int, trace: list[float] | None = None
                 trace.append(best)
             elif (still := still + 1) == 2:  # neither half moves
                 break
+        tails = tail_counts(sides, classes)
     sent = spark.sparkContext.broadcast(classes)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -320,7 +381,7 @@ def learn_classes(train: DataFrame, parts: int, trace: list[float] | None = None
     learned = pairs.where("dst is null").select("part", "other", "n").mapInPandas(run, "hash long, c long, cls int")
     learned = materialize(learned, "word-classes")
     discard(pairs, sides)
-    return learned, classes, counts
+    return learned, classes, counts, tails
 
 
 def class_mass(vocabulary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -415,12 +476,13 @@ def score_documents(docs: DataFrame, held_out=None) -> DataFrame:
     held = fold() == 1 if held_out is None else held_out
     docs = raw_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", held)).drop("text")
     train = docs.where(~F.col("held_out"))
-    ends = train.count()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    vocabulary, classes, counts = learn_classes(train, parts)
+    # a part for so many bytes of text, so that what a task holds does not grow with the corpus
+    size = train.agg(F.coalesce(F.sum(F.length("raw")), F.lit(0)).alias("bytes"), F.count("*").alias("texts")).first()
+    ends, parts = size.texts, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 + size.bytes // PART_BYTES)
+    vocabulary, classes, counts, tails = learn_classes(train, parts)
     sums = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = sums.n + ends, sums.v + (ends > 0)
-    model = Model(classes, counts, *class_mass(vocabulary))
+    model = Model(classes, counts + tails, *class_mass(vocabulary))
     return score(docs, model, vocabulary, most_frequent(vocabulary, LOOKED_UP), ends, total, distinct)
 
 

@@ -41,7 +41,10 @@ def test_score_by_brute_force(spark, monkeypatch, looked_up):
     kind = lambda w: cls.get(key[w][0], key[w][1])
     path = lambda ws: [C.START, *map(kind, ws), C.STOP]
     train = [words[r[0]] for r in rows if zlib.crc32(str(r[0]).encode()) % 5 != 1]
-    seen, pair = Counter(w for ws in train for w in ws), Counter(p for ws in train for p in zip(path(ws), path(ws)[1:]))
+    seen = Counter(w for ws in train for w in ws)
+    kinds = lambda w: [kind(w), key[w][1]] if seen[w] == 1 else [kind(w)]
+    paths = [[[C.START], *map(kinds, ws), [C.STOP]] for ws in train]
+    pair = Counter((a, b) for p in paths for x, y in zip(p, p[1:]) for a in x for b in y)
     left, right, n = Counter(), Counter(), sum(pair.values())
     for (a, b), c in pair.items():
         left[a] += c
@@ -94,9 +97,20 @@ def test_every_training_word_is_clustered(spark):
     texts = [" ".join(w for a, b in zip(bags[0][k : k + 50], bags[1][k : k + 50], strict=True) for w in ("the", a, "to", b)) for k in range(0, 10_000, 50)]
     docs = spark.createDataFrame([(t,) for t in texts], "text string").select(C.F.col("text").cast("binary").alias("raw"))
     trace = []
-    learned, _, counts = C.learn_classes(docs, 4, trace)
+    learned, _, counts, _ = C.learn_classes(docs, 4, trace)
     assert len(trace) > 2 and all(a < b for a, b in zip(trace, trace[1:], strict=False))
     cls = {r["hash"]: r.cls for r in learned.collect()}
     assert len(cls) == len({*x, *y}) + 2 and counts.sum() == 40_000 + len(texts)
     of = [{cls[int(h)] for h in C.hashed(" ".join(kind).encode())[0].view(np.int64)} for kind in (x, y)]
     assert max(max(s) for s in of) < C.CLASSES and not of[0] & of[1]
+
+
+def test_endings_of_unknown_words(spark):
+    """Words seen once end in -ing after `is` and in -ed after `was`: an unknown word of either kind is likelier in its place."""
+    rows = [(k, f"is w{k}xing now and was w{k}yed then") for k in range(400)]
+    rows += [(1000 + k, " ".join((["is", f"q{k}ing"] if k % 2 else ["is", f"q{k}xed"]) + ["now"])) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in C.score_documents(docs, C.F.col("doc_id") >= 1000).collect()}
+    right, wrong = ([got[1000 + k] for k in range(40) if k % 2 == odd] for odd in (1, 0))
+    assert min(right) > max(wrong)
+    assert C.hashed(b"aing")[1] == C.hashed(b"bing")[1] != C.hashed(b"xed")[1]
