@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.scalars import floor_seconds, logical_shard
+from ..functions.scalars import floor_seconds, human_bytes, logical_shard
 from ..operators import bitmaps, stacks
 from ..schemas import EXCLUDED_PREFIXES, EXCLUDED_RUN, IDLE_SECONDS, ISSUE_EVENTS, LEGACY_RUNS, RATE_MINUTES, REASON_SHARDS, SETTLED, STATUSES, TARGET_REPOS, TERMINAL_EVENTS, TIMELINE_POINTS
 from ..sources import tables
@@ -270,6 +270,14 @@ def stack_shares(spark: SparkSession, sf: str) -> DataFrame:
     return stacks.top_stacks(nodes, samples, 12)
 
 
+@query("host_bytes", _EV + ", h AS (SELECT pds_host, sum(car_bytes)::BIGINT AS bytes, min(car_bytes) AS least FROM ev GROUP BY pds_host) SELECT pds_host, bytes, "
+       + ", ".join(f"CASE WHEN {c} >= 1099511627776 THEN printf('%.1f TiB', {c} / 1099511627776) WHEN {c} >= 1073741824 THEN printf('%.1f GiB', {c} / 1073741824) WHEN {c} >= 1048576 THEN printf('%.1f MiB', {c} / 1048576) WHEN {c} >= 1024 THEN printf('%.1f KiB', {c} / 1024) ELSE {c} || ' B' END AS {n}" for c, n in (("bytes", "shown"), ("least", "least_shown"))) + " FROM h")
+def host_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    """Bytes fetched from each host, as they are shown."""
+    by = tables.repo_events(spark, sf).groupBy("pds_host").agg(F.sum("car_bytes").alias("bytes"), F.min("car_bytes").alias("least"))
+    return by.select("pds_host", "bytes", human_bytes(F.col("bytes")).alias("shown"), human_bytes(F.col("least")).alias("least_shown"))
+
+
 @query("drain_remaining", _PR + ", s0 AS (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY ts DESC, run_id DESC) AS k FROM pr WHERE shard IN ('shard0', 'shard1', 'shard2', 'shard3')) SELECT sum(pending + fetching)::BIGINT AS remaining, count(*) AS shards, count(*) = 4 AS complete FROM s0 WHERE k = 1")
 def drain_remaining(spark: SparkSession, sf: str) -> DataFrame:
     """What named shards have left, and whether all of them report."""

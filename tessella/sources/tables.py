@@ -130,12 +130,13 @@ def expected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def actual_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored keys: some lost, some swapped, some repeated, some of unknown accounts."""
-    o = read(spark, sf_dir, "orders")
-    kept = o.where("o_orderkey % 997 <> 0").selectExpr("concat('c', o_custkey) as did", "if(o_orderkey % 991 = 0, concat('x', o_orderkey), cast(o_orderkey as string)) as rkey", "'backfill' as src")
-    again = o.where("o_orderkey % 997 <> 0 and o_orderkey % 991 <> 0 and o_orderkey % 5 = 0").selectExpr("concat('c', o_custkey) as did", "cast(o_orderkey as string) as rkey", "'live' as src")
-    orphans = o.where("o_custkey % 500 = 0").selectExpr("concat('orphan', o_custkey) as did", "cast(o_orderkey as string) as rkey", "'backfill' as src")
-    return kept.unionByName(again).unionByName(orphans)
+    """Stored keys: some lost, some swapped, some repeated, some of unknown accounts. The orders are scanned once."""
+    row = lambda when, did, rkey, src: f"if({when}, struct(concat('{did}', o_custkey) as did, {rkey} as rkey, '{src}' as src), null)"
+    key = "cast(o_orderkey as string)"
+    kept = row("o_orderkey % 997 <> 0", "c", f"if(o_orderkey % 991 = 0, concat('x', o_orderkey), {key})", "backfill")
+    again = row("o_orderkey % 997 <> 0 and o_orderkey % 991 <> 0 and o_orderkey % 5 = 0", "c", key, "live")
+    orphan = row("o_custkey % 500 = 0", "orphan", key, "backfill")
+    return read(spark, sf_dir, "orders").selectExpr(f"inline(array_compact(array({kept}, {again}, {orphan})))")
 
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
