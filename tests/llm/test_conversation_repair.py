@@ -91,7 +91,7 @@ TEXTS = ["", " \n", "Hi.", "Hi", "So it is!", "No", "What?", ".", "é.\n", None]
 SCHEMA = "conv_id long, turn long, role string, text string"
 
 
-def conversations(seed, n=60, most=40):
+def conversations(seed, n=25, most=25):
     rng = Random(seed)
     rows = []
     for conv in range(n):
@@ -121,9 +121,9 @@ def test_costs_of_chunks():
 
 @pytest.mark.parametrize("bits", [0, 2, 10])
 def test_chunks_of_any_length(spark, bits):
-    rows = conversations(bits) if bits < 10 else conversations(bits, 1500, 6)  # many to a batch
-    rows += [(9100, k, "tool", f"{k}.") for k in range(50)] + [(9101, k, "user", "same.") for k in range(50)] + [(None, k % 3, "user", f"{k}") for k in range(9)]
-    rows += [(9102, 7, "user", "again.")] * 40 + [(9103, k, ["user", "assistant"][k % 2], f"{k}.") for k in range(60)]
+    rows = conversations(bits) if bits < 10 else conversations(bits, 600, 5)  # many to a batch
+    rows += [(9100, k, "tool", f"{k}.") for k in range(20)] + [(9101, k, "user", "same.") for k in range(20)] + [(None, k % 3, "user", f"{k}") for k in range(9)]
+    rows += [(9102, 7, "user", "again.")] * 40 + [(9103, k, ["user", "assistant"][k % 2], f"{k}.") for k in range(30)]
     df = spark.createDataFrame(rows, SCHEMA)
     got = results(cr.repair(cr.damage(df), df, bits))
     want = brute(rows)
