@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from ..storage import discard, discard_since, mark, materialize, new_path, release, shared_dir
 
-__all__ = ["SPACES", "SPACE_CLASS", "WORD_CLASS", "discard", "discard_since", "fold", "mark", "materialize", "n_words_of", "new_path", "release", "running_sum", "salt_bits", "shared_dir", "slice_sums", "words_of"]
+__all__ = ["SPACES", "SPACE_CLASS", "WORD_CLASS", "crc32_sql", "discard", "discard_since", "fold", "mark", "materialize", "n_words_of", "new_path", "release", "running_sum", "salt_bits", "shared_dir", "slice_sums", "words_of"]
 
 #: The six characters that separate words, as a class for Java regular expressions and as text.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
@@ -30,6 +30,13 @@ def fold(doc_id: str = "doc_id", n: int = 5) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % n
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL of the unsigned CRC-32 of a text: a fold over its bytes, and over the bits of each."""
+    octets = f"list_transform(range(1, 2 * octet_length(encode({text})), 2), lambda i: ('0x' || substr(hex(encode({text})), i, 2))::BIGINT)"
+    bits = "lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, 3988292384 * (y & 1)))"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), {bits}), 4294967295)"
+
+
 def salt_bits(rows: int) -> int:
     """So many leading bits of a uniform hash that a group of all rows has as many slices as a slice has rows."""
     return max(rows, 1).bit_length() // 2

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import SPACES, discard, materialize
+from .common import SPACES, crc32_sql, discard, materialize
 
 #: Costs of the edits Keep, Rerole, Delete, Insert, and of a truncated row that stays.
 RECAST, DELETE, INSERT, TRUNCATED = 2, 3, 2, 1
@@ -492,3 +492,64 @@ def repaired_rows(rows: DataFrame, bits: int = CHUNK_BITS) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     return repair(damage(rows), rows)
+
+
+_INSERTED = "{{'c': {0}.c + 2, 'a': {0}.a || 'I'}}"
+_LEAST = "list_min([{}])"
+
+
+def _ways(state: str, letter: str, cost: str, when: str = "true") -> str:
+    """A way into another state, as (cost, letters); far too dear where it is not open."""
+    return f"{{'c': {state}.c + CASE WHEN {when} THEN {cost} ELSE 1000000000 END, 'a': {state}.a || '{letter}'}}"
+
+
+def _oracle() -> str:
+    """The forward pass over single rows: for each state the cheapest way into it, letters breaking ties."""
+    closed2 = _LEAST.format(", ".join(["s2", *[_INSERTED.format(s) for s in ("s0", "s1", "s3")]]))
+    closed3 = _LEAST.format("s3, " + _INSERTED.format("t2"))
+    live, cut = "NOT (blank OR again)", "cut::BIGINT"
+    keep = lambda s, who: _ways(s, "K", cut, f"{live} AND who = '{who}'")
+    recast = lambda s: _ways(s, "R", f"2 + {cut}", live)
+    after = [
+        [_ways("s0", "D", "3")],
+        [_ways("s1", "D", "3"), keep("s0", "s")],
+        [_ways("t2", "D", "3"), *[f(s) for s in ("s0", "s1", "t3") for f in (lambda s: keep(s, "u"), recast)]],
+        [_ways("t3", "D", "3"), keep("t2", "a"), recast("t2")],
+    ]
+    step = ", ".join(f"{_LEAST.format(', '.join(ways))} AS s{k}" for k, ways in enumerate(after))
+    first = ", ".join(f"{{'c': {0 if k == 0 else 1_000_000_000}::BIGINT, 'a': ''}} AS s{k}" for k in range(4))
+    shut = lambda rows: f"(SELECT *, {closed3} AS t3 FROM (SELECT *, {closed2} AS t2 FROM {rows}))"
+    space = r"[^\x20\x09-\x0D]"
+    return rf"""
+WITH RECURSIVE f0 AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {crc32_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS f FROM conversations
+), f1 AS (
+  SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN f = 3 THEN 2 ELSE 1 END)) AS copy FROM f0 WHERE f <> 0
+), f2 AS (SELECT *, sha256(length(role) || ':' || role || text) AS mark, NOT regexp_matches(text, '{space}') AS blank,
+  CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 't' END AS who FROM f1
+), f3 AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, mark, copy) AS i, NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, mark, copy) > 1 AS again FROM f2
+), r AS (SELECT *, NOT blank AND NOT again AND right(regexp_extract(text, '{space}[ 	-]*$')[1:1], 1) NOT IN ('.', '!', '?') AS cut, lag(who) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM f3
+), w AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS i, {first} FROM r
+  UNION ALL SELECT p.conv_id, r.i, {step} FROM {shut("w")} AS p JOIN r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1
+), best AS (
+  SELECT conv_id, list_min([s0, t3]) AS b FROM {shut("w")} QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1
+), letters AS (SELECT conv_id, unnest(string_split(b.a, '')) AS x, unnest(range(1, length(b.a) + 1)) AS place FROM best WHERE b.a <> ''
+), placed AS (SELECT *, sum((x <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY place) AS i FROM letters
+), output AS (
+  SELECT l.conv_id, x, place, role, text, who, row_number() OVER (PARTITION BY l.conv_id ORDER BY place) AS o FROM placed l LEFT JOIN r ON r.conv_id IS NOT DISTINCT FROM l.conv_id AND r.i = l.i WHERE x <> 'D'
+), headed AS (SELECT *, o - coalesce(bool_or(o = 1 AND x = 'K' AND who = 's') OVER (PARTITION BY conv_id), false)::INT AS nth FROM output
+), written AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN x = 'K' THEN role ELSE CASE WHEN nth % 2 = 1 THEN 'user' ELSE 'assistant' END END || ':' || CASE WHEN x = 'I' THEN '' ELSE text END, chr(10) ORDER BY place)) AS sha FROM headed GROUP BY conv_id
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank, count(*) FILTER (WHERE again) AS duplicate, count(*) FILTER (WHERE cut) AS truncated,
+         count(*) FILTER (WHERE before || who NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY conv_id
+)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(b.c, 0)::BIGINT AS cost, coalesce(b.a, '') AS audit, coalesce(sha, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN written s ON s.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
+
+
+ORACLE = _oracle()

@@ -20,4 +20,4 @@ QUERIES = {
     "op13_pii": pii.op13,
 }
 
-ORACLES = {"op3_mixing": mixing.ORACLE, "op5_quality_rules": quality_rules.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op4_embedding_dedup": embedding_dedup.ORACLE, "op10_ngram_join": ngram_join.ORACLE}
+ORACLES = {"op3_mixing": mixing.ORACLE, "op5_quality_rules": quality_rules.ORACLE, "op7_line_dedup": line_dedup.ORACLE, "op4_embedding_dedup": embedding_dedup.ORACLE, "op10_ngram_join": ngram_join.ORACLE, "op11_conversation_repair": conversation_repair.ORACLE, "op12_spelling": spelling.ORACLE}

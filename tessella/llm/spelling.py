@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from .common import crc32_sql, discard, materialize
 
 #: Runs of letters that can hold a word, fewest code points and occurrences of a word, how much more frequent a form is.
 RUN = r"[A-Za-zÀ-ÿ]"
@@ -213,3 +213,25 @@ def variants(words: DataFrame, ratio: int = RATIO, long: int = LONG, fewest: int
 
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(vocabulary(damaged_runs(spark.read.parquet(f"{sf_dir}/documents.parquet"))))
+
+
+ORACLE = rf"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]{{7,}}')) AS run FROM documents
+), each AS (SELECT id, run, count(*) AS n FROM runs GROUP BY id, run
+), crc AS (SELECT run, n, {crc32_sql("id || ':' || run")} AS h FROM each
+), words AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM crc
+), v AS (SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cut AS (SELECT word, p, substr(word, 1, p - 1) || substr(word, p + 1) AS less FROM (SELECT word, unnest(range(1, length(word) + 1)) AS p FROM v)
+), one AS (SELECT DISTINCT v.word AS a, cut.word AS b FROM v JOIN cut ON cut.less = v.word
+), near AS (
+  SELECT a, b FROM one UNION ALL SELECT b, a FROM one
+  UNION ALL SELECT x.word, y.word FROM cut x JOIN cut y ON x.less = y.less AND x.p = y.p AND x.word <> y.word
+), best AS (SELECT a, count(*) AS n_near, arg_min(b, (-v.n, b)) AS b, max(v.n) AS n FROM near JOIN v ON v.word = b GROUP BY a
+), formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN best.n >= 10 * v.n THEN best.b END AS form, CASE WHEN best.n >= 10 * v.n THEN best.n END AS form_n FROM v LEFT JOIN best ON best.a = v.word
+), walk AS (SELECT word, word AS reached, 0 AS steps FROM formed UNION ALL SELECT walk.word, form, steps + 1 FROM walk JOIN formed ON formed.word = walk.reached WHERE form IS NOT NULL
+), ends AS (SELECT word, arg_max(reached, steps) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
