@@ -146,7 +146,10 @@ def meet(rows: DataFrame, limit: float) -> DataFrame:
 def near_duplicates(vectors: DataFrame, limit: float = LIMIT, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row of vectors (vec_id, embedding, label). Equal vectors of a label are
     one node, named by a hash of both; ids come in at the end."""
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
+    # labels of any type: whole numbers as they are, others by a hash
+    whole = dict(vectors.dtypes)["label"] in ("tinyint", "smallint", "int", "bigint")
+    label = F.col("label").cast("long") if whole else F.when(F.col("label").isNotNull(), F.xxhash64("label"))
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), label.alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
     # -0.0 and 0.0 are equal
     node = F.xxhash64("label", F.size("embedding"), F.transform("embedding", lambda x: x + F.lit(0.0)))
     point = mark()

@@ -80,3 +80,9 @@ def test_vectors(spark):
     df = spark.createDataFrame([(*r, 1, 2, 3) for r in rows], "vec_id long, embedding array<double>, label int, node int, unit int, signs int")
     got = sorted((str(r.vec_id), r.n_links) for r in embedding_dedup.near_duplicates(df).collect())
     assert got == [("1", 2), ("1", 2), ("2", 0), ("3", 0), ("4", 0), ("5", 2), ("None", 0)]
+
+
+def test_labels_of_text(spark):
+    rows = [(1, [1.0, 0.0], "cat"), (2, [1.0, 0.0], "cat"), (3, [1.0, 0.0], "dog"), (4, [1.0, 0.0], None), (5, [1.0, 0.0], "")]
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 0, 4: 0, 5: 0}
