@@ -17,7 +17,8 @@ result, and with no training text all counts are 0 and every token is unknown.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -25,8 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, fold, materialize, release
-from .suffix_dedup import mixed, powers
+from .common import discard, fold, materialize, shuffles_dropped
+from .suffix_dedup import mixed
 
 CLASSES, TAIL_CLASSES, LOOKED_UP, ROUNDS = 64, 64, 100_000, 6
 #: Class symbols: learned classes, tail classes, start, end.
@@ -39,32 +40,74 @@ CHUNK, RARE = 1024, 255
 HELD, HALVED = 1_000_000, 2
 #: Texts, and rows of neighbours (some MB each), that a worker is sent at once.
 TEXTS, BLOCKS = 1000, 16
+#: Bytes of text that are hashed at once; words of more bytes are digested one by one.
+AT_ONCE, LONG = 1 << 20, 64
 #: Bytes of training text for each part that words are dealt into.
 PART_BYTES = 4_000_000
 #: Hashes of start and end; the last bits of a word's hash are the class of its ending.
 _START, _STOP, _TAILS = np.uint64(1), np.uint64(2), np.uint64(TAIL_CLASSES)
 
 
-def hashed(raw: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of a text's words and the tail class of each, by its last three bytes; a hash's last bits are that class.
+_SPACE = np.isin(np.arange(256), np.frombuffer(b" \t\n\x0b\f\r", np.uint8))
+#: The bytes of an 8-byte block that belong to a word of which so many bytes are left.
+_KEPT = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
 
-    bytes.lower folds A-Z alone, bytes.split cuts at the six ASCII spaces alone.
+def hashed_texts(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the texts' words and the tail class of each, by its last three bytes; a hash's last bits are that class.
+    Then the number of words of each text.
+
+    bytes.lower folds A-Z alone. Words are taken in by blocks of 8 bytes.
     """
-    words = (raw or b"").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint8)
-    joined = np.frombuffer(b" ".join(words) + b" ", np.uint8)
-    table, up, down = powers(len(joined) + 1)
-    prefix = np.zeros(len(joined) + 1, np.uint64)
-    np.cumsum(table[joined] * up[: len(joined)], out=prefix[1:])
-    stop = np.flatnonzero(joined == 32)
-    start = np.concatenate(([0], stop[:-1] + 1))
+    text = b" ".join(raws).lower() + b" "
+    held = text + bytes(8)
+    joined, block = np.frombuffer(text, np.uint8), np.ndarray(len(text), "<u8", held, strides=(1,))
+    space = _SPACE[joined]
+    edge = np.flatnonzero(space != np.concatenate(([True], space[:-1])))
+    start, stop = edge[::2], edge[1::2]
+    n = np.diff(np.searchsorted(start, np.cumsum([0, *(len(x) + 1 for x in raws)])))
     size = stop - start
+    hashes = mixed((block[start] & _KEPT[np.minimum(size, 8)]) + mixed(size.astype(np.uint64)))
+    more, done = np.flatnonzero((size > 8) & (size <= LONG)), 8
+    while len(more):
+        hashes[more] = mixed(hashes[more] ^ (block[start[more] + done] & _KEPT[np.minimum(size[more] - done, 8)]))
+        done += 8
+        more = more[size[more] > done]
+    for k in np.flatnonzero(size > LONG):
+        hashes[k] = int.from_bytes(hashlib.blake2b(text[start[k] : stop[k]], digest_size=8).digest(), "little")
     tail = np.zeros(len(stop), np.uint64)
     for k in (1, 2, 3):
         tail = tail * np.uint64(256) + np.where(size >= k, joined[np.maximum(stop - k, 0)], 0)
-    kind = mixed(tail) % np.uint64(TAIL_CLASSES)
-    return mixed((prefix[stop] - prefix[start]) * down[start] + size.astype(np.uint64)) // _TAILS * _TAILS + kind, kind.astype(np.uint8)
+    kind = mixed(tail) % _TAILS
+    return hashes // _TAILS * _TAILS + kind, kind.astype(np.uint8), n
+
+
+def hashed(raw: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and tail classes of one text's words."""
+    return hashed_texts([raw or b""])[:2]
+
+
+def groups_of(raws: Iterable[bytes]) -> Iterator[list[bytes]]:
+    """Texts that follow each other, of AT_ONCE bytes together or one more text."""
+    group, size = [], 0
+    for raw in raws:
+        group.append(raw)
+        size += len(raw)
+        if size >= AT_ONCE:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def framed(inner: np.ndarray, n: np.ndarray, start, stop) -> np.ndarray:
+    """The texts' values, n of each, each text's between a start and a stop."""
+    last = np.cumsum(n + 2) - 1
+    out, inside = np.empty(len(inner) + 2 * len(n), inner.dtype), np.ones(len(inner) + 2 * len(n), bool)
+    out[last - n - 1], out[last] = start, stop
+    inside[last - n - 1] = inside[last] = False
+    out[inside] = inner
+    return out
 
 
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -95,8 +138,9 @@ def words_and_pairs(train: DataFrame, parts: int) -> DataFrame:
 
         held, size = [], 0
         for pdf in batches:
-            for raw in pdf["raw"]:
-                held.append(np.concatenate(([_START], hashed(raw)[0], [_STOP])))
+            for raws in groups_of(pdf["raw"]):
+                words, _, n = hashed_texts(raws)
+                held.append(framed(words, n, _START, _STOP))
                 size += len(held[-1])
                 if size > HELD:
                     yield rows(held)
@@ -269,17 +313,26 @@ def exchange(sides: DataFrame, classes, counts: np.ndarray, parity: int) -> list
     log_in = np.log((counts + alpha) / (counts.sum(axis=0) + alpha * SYMBOLS)[None, :])[:, :CLASSES]  # of what stands before, given the class
     log_out = np.log((counts + alpha) / (counts.sum(axis=1) + alpha * SYMBOLS)[:, None])[:CLASSES].T  # of what follows
     both = np.concatenate((log_in, log_out))
+    # a word seen once has one neighbour on either side, whose classes tell its own
+    alone = (log_in[:, None, :] + log_out[None, :, :]).argmax(axis=2).astype(np.uint8)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cls = classes.value
         for pdf in batches:
             best = []
             for size, *two in zip(pdf["size"], *(pdf[f"{c}{k}"] for k in (0, 1) for c in ("own", "other", "n")), strict=True):
-                grids = []
-                for own, other, n in (two[:3], two[3:]):
-                    place = np.frombuffer(own, "<u2").astype(np.int64) * SYMBOLS + cls[np.frombuffer(other, "<u4")]
-                    grids.append(weighted(place, np.frombuffer(n, "<i8"), size * SYMBOLS).reshape(size, SYMBOLS))
-                best.append((np.hstack(grids) @ both).argmax(axis=1).astype(np.uint8).tobytes())
+                two = [(np.frombuffer(own, "<u2"), cls[np.frombuffer(other, "<u4")], np.frombuffer(n, "<i8")) for own, other, n in (two[:3], two[3:])]
+                single = weighted(two[0][0], two[0][2], size) == 1
+                rank, rest = np.cumsum(~single) - 1, size - int(single.sum())
+                beside, grids = np.zeros((2, size), np.uint8), []
+                for k, (own, theirs, n) in enumerate(two):
+                    one = single[own]
+                    beside[k][own[one]] = theirs[one]
+                    place = rank[own[~one]] * SYMBOLS + theirs[~one]  # pairs seen more than once come first, and are none of a single word's
+                    grids.append(weighted(place, n, rest * SYMBOLS).reshape(rest, SYMBOLS))
+                found = alone[beside[0], beside[1]]
+                found[~single] = (np.hstack(grids) @ both).argmax(axis=1)
+                best.append(found.tobytes())
             yield pd.DataFrame({"first": pdf["first"], "cls": best})
 
     half = sides.where((F.col("chunk") >= 0) & (F.col("chunk") % 2 == parity)).withColumn("size", (F.length("words") / 8).cast("int"))
@@ -288,14 +341,16 @@ def exchange(sides: DataFrame, classes, counts: np.ndarray, parity: int) -> list
 
 @contextmanager
 def batches_of(spark: SparkSession, rows: int):
-    """So many rows at most go to a Python worker at once, for what is run inside: texts and blocks take much memory."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    usual = spark.conf.get(name)
-    spark.conf.set(name, rows)
+    """So many rows at most are read at once and go to a Python worker, for what is run inside: texts and blocks take much memory."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    usual = [spark.conf.get(name) for name in names]
+    for name in names:
+        spark.conf.set(name, rows)
     try:
         yield
     finally:
-        spark.conf.set(name, usual)
+        for name, value in zip(names, usual, strict=True):
+            spark.conf.set(name, value)
 
 
 def likelihood(counts: np.ndarray) -> float:
@@ -329,15 +384,14 @@ def learn_classes(train: DataFrame, parts: int, trace: list[float] | None = None
     `trace` gets the likelihood at the start and after each batch that is kept; it never falls.
     """
     spark = train.sparkSession
-    with batches_of(spark, TEXTS):
+    with batches_of(spark, TEXTS), shuffles_dropped(spark):
         pairs = materialize(words_and_pairs(train, parts), "word-pairs")
-    release(spark)
     sizes = np.zeros(parts, np.int64)
     for r in pairs.where("dst is null").select("part", (F.length("other") / 8).cast("long").alias("n")).collect():  # a row a part
         sizes[r.part] = r.n
     first = np.concatenate(([0], np.cumsum(sizes)))
-    sides = materialize(word_sides(pairs, first, parts), "word-sides")
-    release(spark)
+    with shuffles_dropped(spark):
+        sides = materialize(word_sides(pairs, first, parts), "word-sides")
     classes = np.append(np.arange(first[-1]) % CLASSES, (START, STOP)).astype(np.uint8)
     still = 0
 
@@ -405,23 +459,34 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame, top: np.ndarray,
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for k in range(0, len(pdf), 2000):
-                part, rows = pdf.iloc[k : k + 2000], []
-                for doc_id, held, raw in zip(part["doc_id"], part["held_out"], part["raw"], strict=True):
-                    words, tail = hashed(raw)
-                    at = np.minimum(np.searchsorted(index, words), max(len(index) - 1, 0))
-                    met = index[at] == words if len(index) else np.zeros(len(words), bool)
-                    path = np.full(len(words) + 2, RARE, np.int64)
-                    path[0], path[-1] = START, STOP
-                    path[1:-1][met] = cls[at[met]]
-                    x, y = path[:-1], path[1:]
-                    plain = (x != RARE) & (y != RARE)
-                    own = float(transition[x[plain], y[plain]].sum() + emitted[at[met]].sum())
-                    rare = np.flatnonzero(~met)
-                    names, place, which = np.unique(words[rare], return_index=True, return_inverse=True)
-                    sides = [path[rare + d].astype(np.uint8).tobytes() for d in (0, 2)]
-                    rows.append((doc_id, bool(held), len(words) + 1, int(met.sum()) + (ends > 0), float(base[at[met]].sum()) + end_base, own, names.view(np.int64), tail[rare][place].tobytes(), which.astype("<i4").tobytes(), *sides))
-                yield pd.DataFrame(rows, columns=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "tails", "which", "before", "after"]).astype({"doc_id": "Int64"})
+            done = 0
+            for raws in groups_of(pdf["raw"]):
+                part = pdf.iloc[done : done + len(raws)]
+                done += len(raws)
+                words, tail, n = hashed_texts(raws)
+                size, text = len(n), np.repeat(np.arange(len(n)), n)
+                at = np.minimum(np.searchsorted(index, words), max(len(index) - 1, 0))
+                met = index[at] == words if len(index) else np.zeros(len(words), bool)
+                rare, at, of = np.flatnonzero(~met), at[met], text[met]
+                kinds = np.full(len(words), RARE, np.int64)
+                kinds[met] = cls[at]
+                path = framed(kinds, n, START, STOP)
+                x, y = path[:-1], path[1:]
+                plain = np.flatnonzero((x != RARE) & (y != RARE) & (x != STOP))
+                own = np.bincount(np.repeat(np.arange(size), n + 2)[plain], transition[x[plain], y[plain]], size) + np.bincount(of, emitted[at], size)
+                # the distinct rare words of each text, and which of these each rare word is
+                by = text[rare]
+                order = np.lexsort((words[rare], by))
+                names, owner = words[rare][order], by[order]
+                new = np.concatenate(([True], (names[1:] != names[:-1]) | (owner[1:] != owner[:-1])))[: len(names)]
+                cut, cut_rare = (np.searchsorted(x, np.arange(size + 1)) for x in (owner[new], by))
+                which = np.empty(len(rare), "<i4")
+                which[order] = np.cumsum(new) - 1 - cut[owner]
+                names, tails = names[new].view(np.int64), tail[rare][order][new]
+                before, after = (path[rare + 2 * by + d].astype(np.uint8) for d in (0, 2))
+                spans, spans_rare = ([slice(*x) for x in zip(c[:-1], c[1:], strict=True)] for c in (cut, cut_rare))
+                out = part[["doc_id", "held_out"]].astype({"doc_id": "Int64"}).assign(n_tokens=n + 1, n_known=np.bincount(of, minlength=size) + (ends > 0), base_score=np.bincount(of, base[at], size) + end_base, score=own)
+                yield out.assign(rare=[names[k] for k in spans], tails=[tails[k].tobytes() for k in spans], **{c: [v[k].tobytes() for k in spans_rare] for c, v in (("which", which), ("before", before), ("after", after))})
 
     def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The rare words of each row, at their places."""
@@ -446,7 +511,7 @@ def score(docs: DataFrame, model: Model, vocabulary: DataFrame, top: np.ndarray,
             yield out.assign(n_known=pdf["n_known"] + known, base_score=pdf["base_score"] + b, score=pdf["score"] + s)
 
     scored = docs.select("doc_id", "held_out", "raw").mapInPandas(run, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<long>, tails binary, which binary, before binary, after binary")
-    with batches_of(docs.sparkSession, TEXTS):
+    with batches_of(docs.sparkSession, TEXTS), shuffles_dropped(docs.sparkSession):
         scored = materialize(scored.withColumn("row", F.monotonically_increasing_id()), "partial-scores")
     # words that are not looked up meet their counts and classes here
     rare = scored.select("row", F.posexplode("rare").alias("place", "hash"))

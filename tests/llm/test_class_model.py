@@ -114,3 +114,67 @@ def test_endings_of_unknown_words(spark):
     right, wrong = ([got[1000 + k] for k in range(40) if k % 2 == odd] for odd in (1, 0))
     assert min(right) > max(wrong)
     assert C.hashed(b"aing")[1] == C.hashed(b"bing")[1] != C.hashed(b"xed")[1]
+
+
+def test_texts_are_hashed_together():
+    """Words of 1 to 200 bytes, blank and odd texts: a text's hashes do not follow from what stands beside it, and no two words share one."""
+    import random
+
+    rng = random.Random(2)
+    words = list({bytes(rng.choice(b"ab\xc3\x00\x85") for _ in range(rng.randint(1, 200))) for _ in range(3000)} | {b"x" * k for k in range(1, 200)})
+    texts = [b"", b" \t\x0b", b"\x0cone\r\n", *(b" \n".join(rng.choices(words, k=rng.randint(0, 90))) + b"\t" * rng.randint(0, 2) for _ in range(200)), b"AbC " * 3]
+    hashes, kinds, n = C.hashed_texts(texts)
+    assert list(n) == [len(t.split()) for t in texts] and len(hashes) == sum(n)
+    for t, own, kind in zip(texts, np.split(hashes, np.cumsum(n)[:-1]), np.split(kinds, np.cumsum(n)[:-1]), strict=True):
+        assert (own == C.hashed(t)[0]).all() and (kind == C.hashed(t)[1]).all()
+    assert len({int(C.hashed(w)[0][0]) for w in words}) == len(words)
+    assert C.hashed(b"AbC")[0] == C.hashed(b"abc")[0] != C.hashed("äbc".encode())[0]
+    assert b"".join(b"".join(g) for g in C.groups_of(texts)) == b"".join(texts)
+
+
+def sides_of(spark, rows, parts=3):
+    docs = C.raw_text(spark.createDataFrame(rows, SCHEMA).select("doc_id", "text"))
+    pairs = C.materialize(C.words_and_pairs(docs, parts), "pairs")
+    sizes = {r.part: len(r.other) // 8 for r in pairs.where("dst is null").collect()}
+    first = np.cumsum([0, *(sizes.get(k, 0) for k in range(parts))])
+    return C.word_sides(pairs, first, parts), int(first[-1])
+
+
+def test_exchange_by_whole_grids(spark):
+    """The class of each word, seen once or often, is the best by the counts of all its neighbours' classes."""
+    sides, total = sides_of(spark, corpus(3, 30))
+    rng = np.random.default_rng(0)
+    classes = np.append(rng.integers(0, C.CLASSES, total), (C.START, C.STOP)).astype(np.uint8)
+    counts = rng.integers(0, 50, (C.SYMBOLS, C.SYMBOLS)).astype(float)
+    log_in = np.log((counts + 0.1) / (counts.sum(axis=0) + 0.1 * C.SYMBOLS)[None, :])[:, : C.CLASSES]
+    log_out = np.log((counts + 0.1) / (counts.sum(axis=1) + 0.1 * C.SYMBOLS)[:, None])[: C.CLASSES].T
+    gain, seen = np.zeros((total, C.CLASSES)), np.zeros(total, int)
+    for r in sides.where("chunk >= 0").collect():
+        for log, own, other, n in ((log_in, r.own0, r.other0, r.n0), (log_out, r.own1, r.other1, r.n1)):
+            own, other, n = np.frombuffer(own, "<u2"), np.frombuffer(other, "<u4"), np.frombuffer(n, "<i8")
+            n = np.append(n, np.ones(len(own) - len(n), np.int64))
+            np.add.at(gain, r.first + own, log[classes[other]] * n[:, None])
+            np.add.at(seen, r.first + own, n)
+    moves = [m for parity in (0, 1) for m in C.exchange(sides, spark.sparkContext.broadcast(classes), counts, parity)]
+    got = np.full(total, 255)
+    for r in moves:
+        got[r.first : r.first + len(r.cls)] = np.frombuffer(r.cls, np.uint8)
+    assert (seen == 2).any() and (seen > 2).any()  # once on either side
+    assert gain[np.arange(total), got] == pytest.approx(gain.max(axis=1))
+
+
+def test_shuffle_files_go_when_tables_are_written(spark, monkeypatch):
+    """No wait for the driver's garbage: what dealt out pairs and scores is gone once these are written."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {f for f in (lambda s: [s.apply(k).getName() for k in range(s.length())])(files.getAllFiles().toList()) if f.startswith("shuffle_") and f.endswith(".data")}
+    write, left = C.materialize, {}
+
+    def watched(df, name):
+        before = held()
+        out = write(df, name)
+        left[name] = held() - before
+        return out
+
+    monkeypatch.setattr(C, "materialize", watched)
+    C.score_documents(spark.createDataFrame(corpus(4, 20), SCHEMA)).count()
+    assert {"word-pairs", "word-sides", "partial-scores"} <= set(left) and not left["word-pairs"] and not left["word-sides"]
