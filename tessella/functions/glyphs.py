@@ -35,11 +35,23 @@ def _class(ranges) -> str:
 
 @cache
 def emoji_pattern() -> str:
-    """A Java regular expression for one emoji."""
-    every = _class([r for r in _ranges("Emoji") if r[0] > 0xFF or r[0] in (0xA9, 0xAE)] + [(0xA9, 0xA9), (0xAE, 0xAE)])
-    one = rf"[{every}](?:[\x{{1F3FB}}-\x{{1F3FF}}]|\x{{FE0F}}|\x{{FE0E}})?"
+    """A Java regular expression for one emoji.
+
+    The whole set is a chain of some 150 ranges, and nearly all characters of a text are in none: so one wide range and a few
+    coarse ones, of which the set is a part, are looked at before.
+    """
+    listed = [(0xA9, 0xA9), (0xAE, 0xAE), *(r for r in _ranges("Emoji") if r[0] > 0xFF)]
+    coarse: list[tuple[int, int]] = []
+    for a, b in listed:
+        if coarse and a > 0xFF and a - coarse[-1][1] <= 0x100:
+            coarse[-1] = (coarse[-1][0], b)
+        else:
+            coarse.append((a, b))
+    wide = _class([*listed[:2], (listed[2][0], listed[-1][1])])
+    one = rf"[{_class(listed)}](?:[\x{{1F3FB}}-\x{{1F3FF}}]|\x{{FE0F}}|\x{{FE0E}})?"
     tags = r"\x{1F3F4}[\x{E0020}-\x{E007E}]+\x{E007F}"
-    return rf"[\x{{1F1E6}}-\x{{1F1FF}}]{{2}}|[0-9#*]\x{{FE0F}}?\x{{20E3}}|{tags}|{one}(?:\x{{200D}}{one})*"
+    rest = rf"[\x{{1F1E6}}-\x{{1F1FF}}]{{2}}|{tags}|{one}(?:\x{{200D}}{one})*"
+    return rf"(?=[0-9#*{wide}])(?:[0-9#*]\x{{FE0F}}?\x{{20E3}}|(?=[{_class(coarse)}])(?:{rest}))"
 
 
 @cache

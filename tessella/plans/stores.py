@@ -51,8 +51,8 @@ UNION ALL SELECT 'live_ingest_second', second::VARCHAR, count(*), NULL, NULL FRO
 
 @query("rollups_normalized", _ALL)
 def rollups_normalized(spark: SparkSession, sf: str) -> DataFrame:
-    """All seven rollups of normalized raw events, computed whole."""
-    posts = normalized(spark, sf)
+    """All seven rollups of normalized raw events, computed whole. Texts are looked through once, and what rollups need is written."""
+    posts = materialize(normalized(spark, sf).drop("did", "rkey", "text"), "normalized")
     return reduce(DataFrame.unionByName, [listing(name, spec, spec.select(posts)) for name, spec in SPECS.items()])
 
 

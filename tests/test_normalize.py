@@ -1,6 +1,8 @@
 """Golden cases of the normalizer and scalar functions."""
 
 import datetime as dt
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,3 +119,27 @@ def test_policy_archive_and_last_wins(spark):
     posts = normalize(spark.createDataFrame([("d", "r", "no glyph", None, None, us(RECEIVED), {"reply": "{}"})], RAW_EVENT))
     assert text_policy(posts).first().text == "" and text_policy(posts, "all").first().text == "no glyph"
     assert archive_rows(posts).first().reply is None
+
+
+PLAIN = r"[\x{1F1E6}-\x{1F1FF}]{2}|[0-9#*]\x{FE0F}?\x{20E3}|\x{1F3F4}[\x{E0020}-\x{E007E}]+\x{E007F}|%s(?:\x{200D}%s)*"
+
+
+def test_quick_looks_change_no_match(spark):
+    """The pattern takes what it takes without its looks ahead: every emoji alone, and parts of emoji in any order."""
+    every = glyphs._class([(0xA9, 0xA9), (0xAE, 0xAE), *[r for r in glyphs._ranges("Emoji") if r[0] > 0xFF]])
+    one = rf"[{every}](?:[\x{{1F3FB}}-\x{{1F3FF}}]|\x{{FE0F}}|\x{{FE0E}})?"
+    alone = "a".join(chr(c) for a, b in glyphs._ranges("Emoji") if a > 0xFF or a in (0xA9, 0xAE) for c in range(a, b + 1))
+    parts, pick = "1#x é\xa9\u203c\u20e3\ufe0f\ufe0e\u200d\u2764\u3042\u4e00\U0001f1e9\U0001f1ea\U0001f3fd\U0001f3f4\U000e0067\U000e007f\U0001f469\U0001faf0", random.Random(4)
+    rows = spark.createDataFrame([(alone,), *[("".join(pick.choices(parts, k=60)),) for _ in range(300)]], "t string")
+    both = rows.select(glyphs.extract_emojis(F.col("t")).alias("quick"), F.regexp_extract_all("t", F.lit(PLAIN % (one, one)), 0).alias("plain")).collect()
+    assert len(both[0].quick) > 1000 and all(r.quick == r.plain for r in both)
+
+
+def test_plain_words_are_passed_over(spark):
+    """Text without an emoji takes a part of the time that the set of all emoji takes."""
+    rows, took = spark.range(1).select(F.repeat(F.lit("plain words, "), 160_000).alias("t")), {}
+    for name, pattern in {"warm-up": glyphs.emoji_pattern(), "quick": glyphs.emoji_pattern(), "set": f"[{glyphs._class(glyphs._ranges('Emoji'))}]"}.items():
+        begun = time.monotonic()
+        assert rows.select(F.size(F.regexp_extract_all("t", F.lit(pattern), 0)).alias("n")).agg(F.sum("n")).first()[0] == 0
+        took[name] = time.monotonic() - begun
+    assert took["quick"] < took["set"] / 2, took

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tessella.operators import aggregates as A
 from tessella.operators.ledger import balanced_parts, upsert
 from tessella.operators.rollups import RollupStore
+from tessella.plans import stores
 from tessella.schemas import POSTS, check_schema, empty
-from tessella.sources import archive
+from tessella.sources import archive, tables
 from tessella.streaming.hosts import streak_step
 from tessella.streaming.ingest import raw_events, start_ingest
 
@@ -101,3 +102,19 @@ def test_balance_and_upsert(spark):
     ledger = spark.createDataFrame([("a", "h1", "pending"), ("b", "h1", "loaded")], "did string, pds_host string, status string")
     found = spark.createDataFrame([("a", "h2", 1), ("a", "h3", 2), ("b", "h9", 1), ("c", "h4", 1)], "did string, pds_host string, seq long")
     assert {r.did: (r.pds_host, r.status) for r in upsert(ledger, found).collect()} == {"a": ("h3", "pending"), "b": ("h1", "loaded"), "c": ("h4", "pending")}
+
+
+def test_texts_are_looked_through_once(spark, monkeypatch):
+    """All seven rollups of normalized events from one pass over the texts."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        seen.add(1)
+        return text
+
+    read = tables.read
+    monkeypatch.setattr(tables, "read", lambda *a: read(*a).withColumn("text", F.udf(counted, "string")("text")))
+    documents = read(spark, "/root/testdata/sf0.001", "documents").count()
+    rollups = stores.rollups_normalized(spark, "/root/testdata/sf0.001").collect()
+    assert {r.rollup for r in rollups} == set(A.SPECS) and sum(r.posts for r in rollups if r.rollup == "posts_hourly") == documents
+    assert seen.value == documents
